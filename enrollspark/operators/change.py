@@ -45,7 +45,8 @@ def member_timeline(demo: DataFrame, elig: DataFrame) -> DataFrame:
     """DEMO ⋈ ELIG on the member key only: every member row with every span of the member.
 
     The reference also left-joins COB here; no COB column reaches the state, so
-    that join would only repeat rows whose keys are deduplicated anyway.
+    that join would only repeat rows whose keys are deduplicated anyway. The
+    state update itself reads ``eligible_spans`` instead of this product.
     """
     e = elig.drop("RECORD_TYPE")
     return demo.join(e, demo["CM_DEMO_MEME_CK"] == e["CM_ELIG_MEME_CK"], "inner")
@@ -73,10 +74,20 @@ def eligible_members(timeline: DataFrame) -> DataFrame:
     return timeline.filter(F.col("CM_ELIG_IND") == "Y")
 
 
-def _normalised_spans(timeline: DataFrame) -> DataFrame:
-    t = eligible_members(timeline)
-    return t.select(
-        blank_to_empty("CM_DEMO_MEME_CK").alias("MEME_CK"),
+def eligible_spans(demo: DataFrame, elig: DataFrame) -> DataFrame:
+    """ELIG rows of members with a DEMO row flagged ``'Y'`` (left semi join on the member).
+
+    The state columns come from ELIG alone and the member key is equal on both
+    sides, so every timeline row of one span gives the same state row: a semi
+    join yields the spans once, without forming member rows × spans.
+    """
+    m = demo.filter(F.col("CM_ELIG_IND") == "Y").select(F.col("CM_DEMO_MEME_CK").alias("_m"))
+    return elig.join(m, elig["CM_ELIG_MEME_CK"] == m["_m"], "left_semi")
+
+
+def _normalised_spans(spans: DataFrame) -> DataFrame:
+    return spans.select(
+        blank_to_empty("CM_ELIG_MEME_CK").alias("MEME_CK"),
         blank_to_empty("CM_ELIG_EFF_DT").alias("_eff"),
         blank_to_empty("CM_ELIG_TERM_DT").alias("_term"),
         *[blank_to_empty(src).alias(dst) for src, dst in _SPAN_VALUE_COLS],
@@ -95,20 +106,21 @@ def _normalised_spans(timeline: DataFrame) -> DataFrame:
     )
 
 
-def span_rejects(timeline: DataFrame) -> DataFrame:
-    """New spans that cannot be stored: blank member, unparseable effective or termination date."""
-    return _normalised_spans(timeline).filter(F.col("reason").isNotNull())
+def span_rejects(spans: DataFrame) -> DataFrame:
+    """Spans (output of ``eligible_spans``) that cannot be stored: blank member,
+    unparseable effective or termination date; with the reason and raw dates."""
+    return _normalised_spans(spans).filter(F.col("reason").isNotNull())
 
 
-def new_spans(timeline: DataFrame) -> DataFrame:
-    """State rows to put: one per row key.
+def new_spans(spans: DataFrame) -> DataFrame:
+    """State rows to put from ``eligible_spans``: one per row key.
 
     When several spans map to one key the store would keep one of them; here it
     is the latest termination date, then the greatest other values, so reruns
     give the same state. ``row_number() == 1`` is planned with a map-side
     window group limit, so repeated keys are cut before the shuffle.
     """
-    good = _normalised_spans(timeline).filter(F.col("reason").isNull()).select(*STATE_COLS)
+    good = _normalised_spans(spans).filter(F.col("reason").isNull()).select(*STATE_COLS)
     order = [F.col(c).desc_nulls_last() for c in ["MEPE_TERM_DT", *[dst for _, dst in _SPAN_VALUE_COLS], "MEME_CK", "MEPE_EFF_DT"]]
     w = Window.partitionBy("row_key").orderBy(*order)
     return good.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
@@ -137,8 +149,8 @@ def apply_change(state: DataFrame, demo: DataFrame, elig: DataFrame) -> ChangeRe
     ``rejects``       new spans that could not be stored, with a reason;
     ``state_after``   ``kept ∪ new_spans``, the next snapshot.
     """
-    timeline = member_timeline(demo, elig)
-    spans = new_spans(timeline)
+    candidates = eligible_spans(demo, elig)
+    spans = new_spans(candidates)
     members = replaced_members(spans)
     st = state.select(*STATE_COLS)
     deleted = st.join(members, "MEME_CK", "left_semi")
@@ -147,6 +159,6 @@ def apply_change(state: DataFrame, demo: DataFrame, elig: DataFrame) -> ChangeRe
         deleted_keys=deleted.select("row_key"),
         kept=kept,
         new_spans=spans,
-        rejects=span_rejects(timeline),
+        rejects=span_rejects(candidates),
         state_after=kept.unionByName(spans),
     )

@@ -158,10 +158,11 @@ def elig_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def elig(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ELIG file: one row per span plus an ``'N'`` twin of every fiftieth order's span."""
     rows = elig_base(spark, sf_dir)
-    twins = rows.filter(F.col("o_orderkey") % TWIN_ORDER_MOD == TWIN_ORDER_REM).withColumn(
-        "CM_MEPE_ELIG_IND", F.lit("N")
-    )
-    return rows.unionByName(twins).drop("o_orderkey")
+    is_twin_source = F.col("o_orderkey") % TWIN_ORDER_MOD == TWIN_ORDER_REM
+    copies = F.when(is_twin_source, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    out = rows.withColumn("_twin", F.explode(copies))
+    out = out.withColumn("CM_MEPE_ELIG_IND", F.when(F.col("_twin"), F.lit("N")).otherwise(F.col("CM_MEPE_ELIG_IND")))
+    return out.drop("o_orderkey", "_twin")
 
 
 def prpr(spark: SparkSession, sf_dir: str) -> DataFrame:
