@@ -1,0 +1,99 @@
+"""A member key holding a third of all rows: results stay whole and the hot partition is split."""
+
+import datetime as dt
+import hashlib
+from collections import Counter
+
+import pytest
+from helpers import DEMO_MIN, ELIG_MIN, strings
+
+from enrollspark.operators.change import apply_change
+from enrollspark.operators.spans import active_members, span_detail
+from enrollspark.sources.state import STATE_SCHEMA
+
+AS_OF = dt.date(2020, 6, 15)
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "8",
+}
+
+
+@pytest.fixture()
+def skew_conf(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def _data():
+    """600 ordinary members with two spans each; one hot member with 600 spans (a third of
+    all rows), spread through the input as a hot key is in real files."""
+    elig, demo = [], [("HOT", "G", "dhot1"), ("HOT", "G", "dhot2")]
+    for i in range(600):
+        demo.append((str(i), "G", f"d{i}"))
+        for j in range(2):
+            elig.append((str(i), "G", "20200101", f"2020{12 - j:02d}31", "Y" if j == 0 else "N", "A", f"e{i}-{j}"))
+        payload = hashlib.sha256(str(i).encode()).hexdigest()  # distinct values, as real spans carry
+        elig.append(("HOT", "G", "20200101", "20201231", "Y" if i % 3 else "N", payload, f"h{i}"))
+    return demo, elig
+
+
+def test_hot_member_results_are_whole(spark, skew_conf):
+    demo_rows, elig_rows = _data()
+    demo = strings(spark, DEMO_MIN, demo_rows)
+    elig = strings(spark, ELIG_MIN, elig_rows)
+    members = active_members(demo, elig, AS_OF)
+    detail = span_detail(elig, members, AS_OF)
+    got_members = members.count()
+    got_detail = Counter(r.TAG for r in detail.select("TAG").collect())
+
+    # brute force
+    demo_by_key = Counter((r[0], r[1]) for r in demo_rows)
+    active = [e for e in elig_rows if e[4] == "Y" and e[2] <= "20200615" <= e[3]]
+    exp_members = sum(demo_by_key[(e[0], e[1])] for e in active)
+    mult = Counter()
+    for e in active:
+        mult[(e[0], e[1], e[2], e[3])] += demo_by_key[(e[0], e[1])]
+    exp_detail = Counter()
+    for e in elig_rows:
+        k = (e[0], e[1], e[2], e[3])
+        if mult[k]:
+            exp_detail[e[6]] += mult[k]
+    assert got_members == exp_members
+    assert got_detail == exp_detail
+
+    plan = members._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    members.collect()
+    final = members._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in final
+
+
+def test_hot_member_change_run(spark, skew_conf):
+    state_rows = [(f"HOT_2019-01-{d:02d}", "HOT", dt.date(2019, 1, d), None, "", "", "", "", "") for d in range(1, 29)]
+    state_rows += [(f"{i}_2019-01-01", str(i), dt.date(2019, 1, 1), None, "", "", "", "", "") for i in range(56)]
+    state = spark.createDataFrame(state_rows, STATE_SCHEMA)
+    demo = strings(spark, ["CM_DEMO_MEME_CK", "CM_ELIG_IND"], [("HOT", "Y"), ("1", "Y")])
+    cols = ["CM_ELIG_MEME_CK", "CM_ELIG_EFF_DT", "CM_ELIG_TERM_DT", "CM_CSPI_ID", "CM_SGSG_ID", "CM_CSCS_ID",
+            "CM_MEPE_FI", "CM_PDPD_ID"]
+    rows = [("HOT", f"202101{d % 28 + 1:02d}", "20211231", f"C{d}", None, None, None, None) for d in range(300)]
+    rows += [("1", "20210101", "20211231", "X", None, None, None, None)]
+    r = apply_change(state, demo, strings(spark, cols, rows))
+    assert r.deleted_keys.count() == 29
+    assert r.new_spans.count() == 29  # 28 distinct HOT dates + member 1
+    hot = {x.row_key: x.CSPI_ID for x in r.new_spans.filter("MEME_CK = 'HOT'").collect()}
+    # greatest CSPI_ID wins among equal keys (same term date)
+    assert hot["HOT_2021-01-01"] == max(f"C{d}" for d in range(300) if d % 28 == 0)
+    assert r.state_after.count() == 84 - 29 + 29
