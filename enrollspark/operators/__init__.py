@@ -1,0 +1 @@
+"""Relational operators of the extract: spans, providers, records, change runs, optional operators."""

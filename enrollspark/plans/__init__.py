@@ -1,0 +1 @@
+"""Whole-job plans (extract, sort, sink, change publication) and the named query registry."""

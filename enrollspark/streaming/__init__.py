@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The extract has no stream source, watermark, window or stateful operator: it is
+one batch job per run, and a change run is a batch replacement of spans in a
+versioned snapshot (``enrollspark.plans.extract.publish_change``). This package
+stays empty on purpose rather than carry operators the extract does not have.
+"""
