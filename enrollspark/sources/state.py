@@ -1,14 +1,19 @@
 """Versioned span-state snapshots (SRC-5, SNK-2/3).
 
-The state lives under ``<root>/v=<n>/`` as parquet. A change run reads the
-newest version and writes ``v=<n+1>``; a version is never overwritten, so a
-failed or repeated run leaves the previous snapshot intact, and readers only
-see a version once Spark's commit has published it.
+Layout under a state root::
+
+    data/v=<n>/        the snapshot rows (parquet)
+    published/v=<n>/   a one-row marker (version, rows), written after the data
+
+A version exists for readers only once its marker is written, so a run that
+dies while writing (even during the file commit) leaves the previous version
+as the latest one, and its unpublished leftovers are simply overwritten by the
+next run. Published versions are never rewritten.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,35 +31,52 @@ STATE_SCHEMA = T.StructType(
     ]
 )
 
+MARKER_SCHEMA = T.StructType([T.StructField("rows", T.LongType())])
 
-def _all_versions(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(root)
-    except Exception as e:  # no snapshot written yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
+
+def _data(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/data/v={version}"
+
+
+def _marker(root: str, version: int | None = None) -> str:
+    base = f"{root.rstrip('/')}/published"
+    return base if version is None else f"{base}/v={version}"
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
-    """Newest published version under ``root`` (from partition values, one small aggregate)."""
-    df = _all_versions(spark, root)
-    if df is None or "v" not in df.columns:
+    """Newest published version under ``root`` (one small aggregate over the markers)."""
+    try:
+        markers = spark.read.schema(MARKER_SCHEMA).json(_marker(root))
+    except Exception as e:  # nothing published yet
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    if "v" not in markers.columns:
         return None
-    return df.select(F.max("v")).first()[0]
+    return markers.select(F.max("v")).first()[0]
 
 
 def read_state(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The snapshot ``version`` (default: newest); an empty state when none exists."""
+    """The published snapshot ``version`` (default: newest); an empty state when none exists."""
     if version is None:
         version = latest_version(spark, root)
     if version is None:
         return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.schema(STATE_SCHEMA).parquet(f"{root.rstrip('/')}/v={version}")
+    return spark.read.schema(STATE_SCHEMA).parquet(_data(root, version))
 
 
 def write_snapshot(state: DataFrame, root: str, version: int) -> str:
-    """Write ``state`` as version ``version``; fails if that version already exists."""
-    path = f"{root.rstrip('/')}/v={version}"
-    state.select(*STATE_SCHEMA.fieldNames()).write.mode("errorifexists").parquet(path)
+    """Write ``state`` as version ``version`` and publish it; refuses a version already published."""
+    spark = state.sparkSession
+    latest = latest_version(spark, root)
+    if latest is not None and version <= latest:
+        raise ValueError(f"state version {version} is not newer than the published version {latest}")
+    obs = Observation("snapshot")
+    path = _data(root, version)
+    # an unpublished folder of this version can only be a failed run's leftover: overwrite it
+    state.select(*STATE_SCHEMA.fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(
+        "overwrite"
+    ).parquet(path)
+    marker = spark.createDataFrame([(int(obs.get["rows"]),)], MARKER_SCHEMA)
+    marker.coalesce(1).write.mode("overwrite").json(_marker(root, version))
     return path

@@ -47,5 +47,18 @@ def test_state_versions(spark, tmp_out):
     assert latest_version(spark, root) == 2
     assert read_state(spark, root).count() == 2
     assert read_state(spark, root, 1).count() == 1
-    with pytest.raises(Exception):
+    with pytest.raises(ValueError):
         write_snapshot(spark.createDataFrame([row], STATE_SCHEMA), root, 2)
+
+
+def test_unpublished_leftover_is_invisible_and_replaced(spark, tmp_out):
+    root = f"{tmp_out}/state"
+    row = ("1_2020-01-01", "1", dt.date(2020, 1, 1), None, "", "", "", "", "")
+    write_snapshot(spark.createDataFrame([row], STATE_SCHEMA), root, 1)
+    # a run that died after writing data files but before publishing
+    spark.createDataFrame([row] * 5, STATE_SCHEMA).write.parquet(f"{root}/data/v=2")
+    assert latest_version(spark, root) == 1
+    assert read_state(spark, root).count() == 1
+    write_snapshot(spark.createDataFrame([row] * 3, STATE_SCHEMA), root, 2)
+    assert latest_version(spark, root) == 2
+    assert read_state(spark, root).count() == 3
