@@ -20,7 +20,8 @@ from enrollspark.operators.records import (
     elig_records,
     merge_records,
 )
-from enrollspark.operators.spans import active_members, span_detail
+from enrollspark.operators.spans import active_members, current_spans, span_detail
+from enrollspark.session import scratch_path
 from enrollspark.sources.delimited import read_input
 from enrollspark.sources.state import latest_version, read_state, write_snapshot
 
@@ -89,6 +90,7 @@ class ExtractConfig:
     strict_width: bool = False
     single_file: bool = True
     include_cob: bool = False
+    stage_spans: bool = True
 
     def output_path(self) -> str:
         return "/".join([self.output_dir.rstrip("/"), self.vendor, self.mode, self.state])
@@ -103,13 +105,29 @@ class ExtractResult:
     rejects: int | None = None
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared folder and read it back.
+
+    Cuts the lineage (a lost executor recomputes from this table, not from the
+    raw files) and lets several branches of one plan read one columnar copy.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def run_extract(spark: SparkSession, cfg: ExtractConfig, prpr: DataFrame, prrg: DataFrame) -> ExtractResult:
-    """Read the run's files, write the extract, and in ``CHANGE`` mode publish the next state version."""
+    """Read the run's files, write the extract, and in ``CHANGE`` mode publish the next state version.
+
+    With ``stage_spans`` the spans containing the run date are parsed from the
+    delimited file once and staged as parquet; both span joins read that copy.
+    """
     t0 = time.monotonic()
     read = lambda kind: read_input(spark, cfg.layouts_dir, cfg.staging_dir, cfg.vendor, cfg.mode, cfg.state, kind)
     demo, elig = read("DEMO"), read("ELIG")
     cob = read("COB") if cfg.include_cob else None
-    records = build_extract(demo, elig, prpr, prrg, cfg.as_of, cob=cob, strict_width=cfg.strict_width)
+    spans = stage(current_spans(elig, cfg.as_of), "spans") if cfg.stage_spans else elig
+    records = build_extract(demo, spans, prpr, prrg, cfg.as_of, cob=cob, strict_width=cfg.strict_width)
     rows = write_records(records, cfg.output_path(), single_file=cfg.single_file)
     log.info("extract %s/%s/%s: %d records", cfg.vendor, cfg.mode, cfg.state, rows)
     version = rejects = None
@@ -121,14 +139,20 @@ def run_extract(spark: SparkSession, cfg: ExtractConfig, prpr: DataFrame, prrg:
 def publish_change(spark: SparkSession, state_root: str, demo: DataFrame, elig: DataFrame) -> tuple[int, int]:
     """Write ``kept ∪ new spans`` as the next state version; return (version, reject count).
 
-    The new version is written from the previous one plus the change files and
-    becomes visible only when Spark commits it; the previous version stays.
+    The rejected spans are written first to ``<state_root>/rejects/v=<n>``; the
+    new version is built from the previous one plus the change files and becomes
+    visible only when its marker is written, so the previous version stays the
+    latest until then.
     """
     prev = latest_version(spark, state_root)
     result: ChangeResult = apply_change(read_state(spark, state_root, prev), demo, elig)
     version = (prev or 0) + 1
-    write_snapshot(result.state_after, state_root, version)
-    rejects = result.rejects.count()
+    obs = Observation("rejects")
+    result.rejects.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
+        f"{state_root.rstrip('/')}/rejects/v={version}"
+    )
+    rejects = int(obs.get["rows"])
     if rejects:
         log.warning("change run: %d spans rejected", rejects)
+    write_snapshot(result.state_after, state_root, version)
     return version, rejects

@@ -29,6 +29,7 @@ def test_change_run_writes_file_and_next_state(spark, tmp_out):
         assert sum(1 for _ in f) == res.rows > 0
     assert res.state_version == 2 and latest_version(spark, state_root) == 2
     assert res.rejects == 5
+    assert spark.read.parquet(f"{state_root}/rejects/v=2").count() == 5
     assert read_state(spark, state_root).count() == 682
     assert read_state(spark, state_root, 1).count() == 500
 
