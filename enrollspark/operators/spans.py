@@ -49,28 +49,29 @@ def active_members(demo: DataFrame, elig: DataFrame, as_of: dt.date) -> DataFram
     return j.drop("_ck", "_gk")
 
 
-def span_multiplicity(members: DataFrame) -> DataFrame:
-    """How many active-member rows carry each span key (member, group, eff, term).
+def span_multiplicity(demo: DataFrame, elig: DataFrame, as_of: dt.date) -> DataFrame:
+    """How many active-member rows (output of ``active_members``) carry each span key
+    (member, group, eff, term): DEMO rows of the member and group × active spans with the key.
 
-    An aggregate with map-side partial counts: a member holding many rows sends
-    one count per task through the shuffle, not its rows.
+    Both factors are aggregates with map-side partial counts, so neither the
+    member × span product nor a hot key's rows cross the shuffle.
     """
-    return members.groupBy(
-        F.col("CM_DEMO_MEME_CK").alias(MEMBER),
-        F.col("CM_DEMO_GRGR_CK").alias(GROUP),
-        F.col(EFF),
-        F.col(TERM),
-    ).agg(F.count(F.lit(1)).alias("_n"))
+    d = demo.groupBy(F.col("CM_DEMO_MEME_CK").alias("_ck"), F.col("CM_DEMO_GRGR_CK").alias("_gk")).agg(
+        F.count(F.lit(1)).alias("_d")
+    )
+    a = active_spans(elig, as_of).groupBy(*SPAN_KEYS).agg(F.count(F.lit(1)).alias("_a"))
+    m = a.join(d, (a[MEMBER] == d["_ck"]) & (a[GROUP] == d["_gk"]), "inner")
+    return m.select(*SPAN_KEYS, (F.col("_a") * F.col("_d")).alias("_n"))
 
 
-def span_detail(elig: DataFrame, members: DataFrame, as_of: dt.date) -> DataFrame:
-    """ELIG ⋈ active members on all four span keys (JN-2).
+def span_detail(elig: DataFrame, demo: DataFrame, as_of: dt.date) -> DataFrame:
+    """ELIG ⋈ active members (``active_members(demo, elig, as_of)``) on all four span keys (JN-2).
 
     ELIG is not filtered on the indicator, so an ``'N'`` twin of an active span
     is kept. Each ELIG row appears once per matching active-member row, as in
-    the plain join; the member side is first reduced to one count per key and
-    the rows are repeated after the join.
+    the plain join; the member side is reduced to one count per key and the
+    rows are repeated after the join.
     """
-    counts = span_multiplicity(members)
+    counts = span_multiplicity(demo, elig, as_of)
     j = current_spans(elig, as_of).join(counts, SPAN_KEYS, "inner")
     return j.withColumn("_rep", F.explode(F.array_repeat(F.lit(True), F.col("_n").cast("int")))).drop("_n", "_rep")

@@ -42,7 +42,7 @@ def build_extract(
     """All records of the extract (unsorted): type 1 per active member row, type 2 per span
     detail row with the provider's latest Medicaid id, and type 3 when ``cob`` is given."""
     members = active_members(demo, elig, as_of)
-    spans = with_registration(span_detail(elig, members, as_of), prpr, prrg)
+    spans = with_registration(span_detail(elig, demo, as_of), prpr, prrg)
     parts = [demo_records(members, strict_width), elig_records(spans)]
     if cob is not None:
         parts.append(cob_records(cob_top(cob_of_members(cob, demo))))

@@ -30,7 +30,7 @@ def _members(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _detail(spark: SparkSession, d: str) -> DataFrame:
-    return span_detail(fx.elig(spark, d), _members(spark, d), fx.AS_OF)
+    return span_detail(fx.elig(spark, d), fx.demo(spark, d), fx.AS_OF)
 
 
 def _with_reg(spark: SparkSession, d: str) -> DataFrame:

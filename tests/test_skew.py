@@ -55,7 +55,7 @@ def test_hot_member_results_are_whole(spark, skew_conf):
     demo = strings(spark, DEMO_MIN, demo_rows)
     elig = strings(spark, ELIG_MIN, elig_rows)
     members = active_members(demo, elig, AS_OF)
-    detail = span_detail(elig, members, AS_OF)
+    detail = span_detail(elig, demo, AS_OF)
     got_members = members.count()
     got_detail = Counter(r.TAG for r in detail.select("TAG").collect())
 

@@ -44,7 +44,7 @@ def test_span_detail_keeps_n_twin_and_fans_out_like_the_join(spark):
     )
     members = active_members(demo, elig, AS_OF)
     assert members.count() == 4  # 2 member rows x 2 active spans
-    detail = span_detail(elig, members, AS_OF)
+    detail = span_detail(elig, demo, AS_OF)
     # each of y1, y2, twin matches the 4 member rows of its key
     counts = {r.TAG: r["count"] for r in detail.groupBy("TAG").count().collect()}
     assert counts == {"y1": 4, "y2": 4, "twin": 4}
