@@ -45,3 +45,22 @@ def test_full_run_leaves_state_alone(spark, tmp_out):
     assert res.rows == 332
     assert res.state_version is None
     assert latest_version(spark, f"{tmp_out}/state") is None
+
+
+def test_command_line_job(spark, tmp_out):
+    from enrollspark.__main__ import main
+
+    d = SF_SMALL
+    staging, layouts, out = (f"{tmp_out}/{x}" for x in ("staging", "layouts", "out"))
+    for kind, df in (("DEMO", fx.demo(spark, d)), ("ELIG", fx.elig(spark, d)), ("COB", fx.cob(spark, d))):
+        write_delimited(df, input_path(staging, "V", "FULL", "ALL", kind), layout_path(layouts, kind))
+    fx.prpr(spark, d).write.parquet(f"{tmp_out}/prpr")
+    fx.prrg(spark, d).write.parquet(f"{tmp_out}/prrg")
+    res = main(
+        ["--vendor", "V", "--state", "ALL", "--mode", "FULL", "--staging-dir", staging, "--layouts-dir", layouts,
+         "--output-dir", out, "--providers", f"{tmp_out}/prpr", "--registrations", f"{tmp_out}/prrg",
+         "--as-of", fx.AS_OF.isoformat(), "--parts", "--include-cob"],
+        spark=spark,
+    )
+    assert res["rows"] == 332 + 375
+    assert res["state_version"] is None
