@@ -11,6 +11,20 @@ from enrollspark.functions.text import parse_ymd
 
 MEMBER, GROUP, EFF, TERM = "CM_ELIG_MEME_CK", "CM_ELIG_GRGR_CK", "CM_ELIG_EFF_DT", "CM_ELIG_TERM_DT"
 SPAN_KEYS = [MEMBER, GROUP, EFF, TERM]
+REPEAT_CHUNK = 10_000
+
+
+def repeat_rows(df: DataFrame, times: str, chunk: int = REPEAT_CHUNK) -> DataFrame:
+    """Each row ``times`` times (a long column ≥ 1), then ``times`` dropped.
+
+    Two generator levels — chunks, then rows within a chunk — keep every
+    generated array at most ``chunk`` long however large the count is.
+    """
+    n = F.col(times)
+    chunks = F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk).cast("long"))
+    out = df.withColumn("_chunk", F.explode(chunks))
+    size = F.least(F.lit(chunk).cast("long"), n - F.col("_chunk") * chunk).cast("int")
+    return out.withColumn("_rep", F.explode(F.array_repeat(F.lit(True), size))).drop(times, "_chunk", "_rep")
 
 
 def current_spans(elig: DataFrame, as_of: dt.date) -> DataFrame:
@@ -73,5 +87,4 @@ def span_detail(elig: DataFrame, demo: DataFrame, as_of: dt.date) -> DataFrame:
     rows are repeated after the join.
     """
     counts = span_multiplicity(demo, elig, as_of)
-    j = current_spans(elig, as_of).join(counts, SPAN_KEYS, "inner")
-    return j.withColumn("_rep", F.explode(F.array_repeat(F.lit(True), F.col("_n").cast("int")))).drop("_n", "_rep")
+    return repeat_rows(current_spans(elig, as_of).join(counts, SPAN_KEYS, "inner"), "_n")

@@ -58,3 +58,16 @@ def test_span_detail_keeps_n_twin_and_fans_out_like_the_join(spark):
         ],
     )
     assert plain.count() == detail.count()
+
+
+def test_repeat_rows_is_exact_across_chunks(spark):
+    from pyspark.sql import functions as F
+
+    from enrollspark.operators.spans import repeat_rows
+
+    df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 10), ("d", 23)], "k string, n long")
+    got = {r.k: r["count"] for r in repeat_rows(df, "n", chunk=5).groupBy("k").count().collect()}
+    assert got == {"a": 1, "b": 7, "c": 10, "d": 23}
+    assert repeat_rows(df, "n", chunk=5).columns == ["k"]
+    big = spark.createDataFrame([("x", 2_500_001)], "k string, n long")
+    assert repeat_rows(big, "n").agg(F.count("*")).first()[0] == 2_500_001
