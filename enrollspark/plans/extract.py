@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from enrollspark.operators.change import ChangeResult, apply_change
-from enrollspark.operators.optional import cob_of_members, cob_top
+from enrollspark.operators.optional import cob_top, cob_with_members
 from enrollspark.operators.providers import with_registration
 from enrollspark.operators.records import (
     SORT_KEYS,
@@ -45,7 +45,7 @@ def build_extract(
     spans = with_registration(span_detail(elig, demo, as_of), prpr, prrg)
     parts = [demo_records(members, strict_width), elig_records(spans)]
     if cob is not None:
-        parts.append(cob_records(cob_top(cob_of_members(cob, demo))))
+        parts.append(cob_records(cob_top(cob_with_members(cob, demo))))
     return merge_records(*parts)
 
 

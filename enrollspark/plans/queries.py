@@ -42,7 +42,7 @@ def _extract(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _cob_top(spark: SparkSession, d: str) -> DataFrame:
-    return opt.cob_top(opt.cob_of_members(fx.cob(spark, d), fx.demo(spark, d)))
+    return opt.cob_top(opt.cob_with_members(fx.cob(spark, d), fx.demo(spark, d)))
 
 
 def _timeline(spark: SparkSession, d: str) -> DataFrame:
