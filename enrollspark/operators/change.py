@@ -41,15 +41,20 @@ REJECT_BAD_EFF = "unparseable effective date"
 REJECT_BAD_TERM = "unparseable termination date"
 
 
-def member_timeline(demo: DataFrame, elig: DataFrame) -> DataFrame:
-    """DEMO ⋈ ELIG on the member key only: every member row with every span of the member.
+def member_timeline(demo: DataFrame, elig: DataFrame, cob: DataFrame | None = None) -> DataFrame:
+    """DEMO ⋈ ELIG on the member key only (JN-6): every member row with every span of the member;
+    with ``cob``, also ⟕ COB on the member (JN-7), one row per COB policy of the member.
 
-    The reference also left-joins COB here; no COB column reaches the state, so
-    that join would only repeat rows whose keys are deduplicated anyway. The
-    state update itself reads ``eligible_spans`` instead of this product.
+    No COB column reaches the state, so the state update leaves COB out (the
+    join would only repeat rows whose keys are deduplicated anyway) and reads
+    ``eligible_spans`` instead of this product.
     """
     e = elig.drop("RECORD_TYPE")
-    return demo.join(e, demo["CM_DEMO_MEME_CK"] == e["CM_ELIG_MEME_CK"], "inner")
+    t = demo.join(e, demo["CM_DEMO_MEME_CK"] == e["CM_ELIG_MEME_CK"], "inner")
+    if cob is None:
+        return t
+    c = cob.drop("RECORD_TYPE")
+    return t.join(c, t["CM_ELIG_MEME_CK"] == c["CM_COB_MEME_CK"], "left")
 
 
 def with_composite_keys(timeline: DataFrame) -> DataFrame:

@@ -111,8 +111,11 @@ def delimited_roundtrip_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def member_timeline_q(spark: SparkSession, d: str) -> DataFrame:
-    return _timeline(spark, d).groupBy("CM_DEMO_MEME_CK").agg(
+    """Per member of the change run: rows of DEMO ⋈ ELIG ⟕ COB, rows with a COB match, first and last span."""
+    t = ch.member_timeline(fx.change_demo(spark, d), fx.change_elig(spark, d), fx.change_cob(spark, d))
+    return t.groupBy("CM_DEMO_MEME_CK").agg(
         F.count(F.lit(1)).alias("timeline_rows"),
+        F.count("CM_COB_POLICY_ID").alias("cob_rows"),
         F.min("CM_ELIG_EFF_DT").alias("first_eff"),
         F.max("CM_ELIG_EFF_DT").alias("last_eff"),
     )

@@ -265,6 +265,12 @@ def change_elig(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.filter(F.col("CM_ELIG_MEME_CK").cast("long") % CHANGE_MEMBER_MOD == CHANGE_MEMBER_REM)
 
 
+def change_cob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """COB file of a change run: the COB rows of the changed members."""
+    c = cob(spark, sf_dir)
+    return c.filter(F.col("CM_COB_MEME_CK").cast("long") % CHANGE_MEMBER_MOD == CHANGE_MEMBER_REM)
+
+
 def static_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Static list of state ids: one per nation plus one per region (the latter never has members)."""
     n = table(spark, sf_dir, "nation").select(F.lpad(_s("n_nationkey"), 2, "0").alias("STATE_ID"))
