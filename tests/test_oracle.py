@@ -49,3 +49,29 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["rec_type", "SBSB_ID", "REC_NUM", "EFF_DT", "STATE_ID"]
     assert df.count() == 332
+
+
+SHUFFLE_JOIN_QUERIES = ["extract_records", "with_registration", "state_after_change", "state_deleted_keys",
+                        "cob_top5", "maintenance_code", "state_scaffold", "member_timeline"]
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", SHUFFLE_JOIN_QUERIES)
+def test_query_matches_oracle_with_shuffle_joins(spark, duck, no_broadcast, name):
+    """The plans a large input gets (every join a shuffle join) give the same rows."""
+    df = E.queries()[name](spark, SF_SMALL)
+    assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+    rows = df.collect()
+    res = duck.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert _canon(rows, df.columns) == _canon(res.fetchall(), ocols)
