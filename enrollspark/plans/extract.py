@@ -21,7 +21,7 @@ from enrollspark.operators.records import (
     merge_records,
 )
 from enrollspark.operators.spans import active_members, current_spans, span_detail
-from enrollspark.session import scratch_path
+from enrollspark.session import shared_root
 from enrollspark.sources.delimited import read_input
 from enrollspark.sources.state import latest_version, read_state, write_snapshot
 
@@ -105,17 +105,21 @@ class ExtractResult:
     rejects: int | None = None
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared folder and read it back.
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as parquet to ``path`` (overwriting) and read it back.
 
     Cuts the lineage (a lost executor recomputes from this table, not from the
     raw files) and lets several branches of one plan read one columnar copy.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def staging_path(spark: SparkSession, cfg: ExtractConfig, name: str) -> str:
+    """Fixed place in the shared folder for one run key, so each run overwrites the previous copy."""
+    return "/".join([shared_root(spark).rstrip("/"), "enrollspark-stage", cfg.vendor, cfg.mode, cfg.state, name])
+
+
 def run_extract(spark: SparkSession, cfg: ExtractConfig, prpr: DataFrame, prrg: DataFrame) -> ExtractResult:
     """Read the run's files, write the extract, and in ``CHANGE`` mode publish the next state version.
 
@@ -126,7 +130,7 @@ def run_extract(spark: SparkSession, cfg: ExtractConfig, prpr: DataFrame, prrg:
     read = lambda kind: read_input(spark, cfg.layouts_dir, cfg.staging_dir, cfg.vendor, cfg.mode, cfg.state, kind)
     demo, elig = read("DEMO"), read("ELIG")
     cob = read("COB") if cfg.include_cob else None
-    spans = stage(current_spans(elig, cfg.as_of), "spans") if cfg.stage_spans else elig
+    spans = stage(current_spans(elig, cfg.as_of), staging_path(spark, cfg, "spans")) if cfg.stage_spans else elig
     records = build_extract(demo, spans, prpr, prrg, cfg.as_of, cob=cob, strict_width=cfg.strict_width)
     rows = write_records(records, cfg.output_path(), single_file=cfg.single_file)
     log.info("extract %s/%s/%s: %d records", cfg.vendor, cfg.mode, cfg.state, rows)

@@ -53,6 +53,12 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The configured shared folder itself (``spark.checkpoint.dir``), stable across applications;
+    the per-application checkpoint folder when only that is known."""
+    return spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
