@@ -27,3 +27,16 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<p_partkey:bigint,p_size:int>" in p or "struct<p_partkey:bigint,p_size:int>" in p
     p = _plan(QUERIES["max_span"](spark, SF_SMALL))
     assert "o_totalprice" not in p
+
+
+def test_delimited_scan_gets_indicator_filter_and_pruned_columns(spark, tmp_out):
+    from enrollspark.operators.spans import active_spans
+    from enrollspark.sources import fixtures as fx
+    from enrollspark.sources.delimited import layout_schema, read_delimited, write_delimited
+
+    write_delimited(fx.elig(spark, SF_SMALL), f"{tmp_out}/d", f"{tmp_out}/l")
+    elig = read_delimited(spark, f"{tmp_out}/d", layout_schema(spark, f"{tmp_out}/l"))
+    p = _plan(active_spans(elig, fx.AS_OF).select("CM_ELIG_MEME_CK"))
+    assert "PushedFilters: [IsNotNull(CM_MEPE_ELIG_IND), EqualTo(CM_MEPE_ELIG_IND,Y)]" in p
+    assert ("ReadSchema: struct<CM_ELIG_MEME_CK:string,CM_ELIG_EFF_DT:string,CM_ELIG_TERM_DT:string,"
+            "CM_MEPE_ELIG_IND:string>") in p
