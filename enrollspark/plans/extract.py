@@ -24,6 +24,7 @@ from enrollspark.operators.spans import active_members, current_spans, span_deta
 from enrollspark.session import shared_root
 from enrollspark.sources.delimited import read_input
 from enrollspark.sources.state import latest_version, read_state, write_snapshot
+from enrollspark.sources.tables import read_slice
 
 log = logging.getLogger(__name__)
 
@@ -91,6 +92,8 @@ class ExtractConfig:
     single_file: bool = True
     include_cob: bool = False
     stage_spans: bool = True
+    # inputs as partitioned tables instead of delimited files: kind (DEMO, ELIG, COB) -> table root
+    input_tables: dict[str, str] | None = None
 
     def output_path(self) -> str:
         return "/".join([self.output_dir.rstrip("/"), self.vendor, self.mode, self.state])
@@ -127,7 +130,12 @@ def run_extract(spark: SparkSession, cfg: ExtractConfig, prpr: DataFrame, prrg:
     delimited file once and staged as parquet; both span joins read that copy.
     """
     t0 = time.monotonic()
-    read = lambda kind: read_input(spark, cfg.layouts_dir, cfg.staging_dir, cfg.vendor, cfg.mode, cfg.state, kind)
+
+    def read(kind: str) -> DataFrame:
+        if cfg.input_tables:
+            return read_slice(spark, cfg.input_tables[kind], cfg.vendor, cfg.mode, cfg.state)
+        return read_input(spark, cfg.layouts_dir, cfg.staging_dir, cfg.vendor, cfg.mode, cfg.state, kind)
+
     demo, elig = read("DEMO"), read("ELIG")
     cob = read("COB") if cfg.include_cob else None
     spans = stage(current_spans(elig, cfg.as_of), staging_path(spark, cfg, "spans")) if cfg.stage_spans else elig

@@ -64,3 +64,17 @@ def test_command_line_job(spark, tmp_out):
     )
     assert res["rows"] == 332 + 375
     assert res["state_version"] is None
+
+
+def test_run_from_partitioned_tables(spark, tmp_out):
+    from enrollspark.sources.tables import write_slice
+
+    d = SF_SMALL
+    tables = {k: f"{tmp_out}/{k.lower()}" for k in ("DEMO", "ELIG")}
+    write_slice(fx.demo(spark, d), tables["DEMO"], "V", "FULL", "DC")
+    write_slice(fx.elig(spark, d), tables["ELIG"], "V", "FULL", "DC")
+    write_slice(fx.change_demo(spark, d), tables["DEMO"], "V", "CHANGE", "DC")  # another slice, not read
+    cfg = ExtractConfig(vendor="V", state="DC", mode="FULL", staging_dir="", layouts_dir="", output_dir=f"{tmp_out}/out",
+                        as_of=fx.AS_OF, input_tables=tables)
+    res = run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
+    assert res.rows == 332

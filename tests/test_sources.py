@@ -62,3 +62,19 @@ def test_unpublished_leftover_is_invisible_and_replaced(spark, tmp_out):
     write_snapshot(spark.createDataFrame([row] * 3, STATE_SCHEMA), root, 2)
     assert latest_version(spark, root) == 2
     assert read_state(spark, root).count() == 3
+
+
+def test_table_slices_are_read_by_partition_pruning(spark, tmp_out):
+    from enrollspark.sources.tables import read_slice, write_slice
+
+    a = strings(spark, ["K", "V"], [("1", "a"), ("2", "b")])
+    b = strings(spark, ["K", "V"], [("3", "c")])
+    write_slice(a, f"{tmp_out}/elig", "V", "FULL", "DC")
+    write_slice(b, f"{tmp_out}/elig", "V", "CHANGE", "DC")
+    write_slice(strings(spark, ["K", "V"], [("9", "z")]), f"{tmp_out}/elig", "V", "FULL", "DC")  # replaces FULL only
+    sl = read_slice(spark, f"{tmp_out}/elig", "V", "CHANGE", "DC")
+    assert sl.columns == ["K", "V"]
+    assert [tuple(r) for r in sl.collect()] == [("3", "c")]
+    assert [tuple(r) for r in read_slice(spark, f"{tmp_out}/elig", "V", "FULL", "DC").collect()] == [("9", "z")]
+    plan = sl._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(vendor" in plan and "(mode" in plan
