@@ -28,8 +28,11 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--vendor", required=True)
     p.add_argument("--state", required=True, help="state id of the run (input and output folder name)")
     p.add_argument("--mode", required=True, help="extraction mode; CHANGE also updates the span state")
-    p.add_argument("--staging-dir", required=True, help="root of <vendor>/<mode>/<state>/{DEMOFILE,ELIGFILE,COBFILE}")
-    p.add_argument("--layouts-dir", required=True, help="root of {DEMO,ELIG,COB}LAYOUT header files")
+    p.add_argument("--staging-dir", default="", help="root of <vendor>/<mode>/<state>/{DEMOFILE,ELIGFILE,COBFILE}")
+    p.add_argument("--layouts-dir", default="", help="root of {DEMO,ELIG,COB}LAYOUT header files")
+    p.add_argument("--demo-table", help="DEMO input as a vendor/mode/state-partitioned parquet table (instead of files)")
+    p.add_argument("--elig-table", help="ELIG input table (with --demo-table)")
+    p.add_argument("--cob-table", help="COB input table (with --demo-table and --include-cob)")
     p.add_argument("--output-dir", required=True)
     p.add_argument("--providers", required=True, help="provider table (PRPR_ID, PRCR_ID): catalog name or parquet path")
     p.add_argument("--registrations", required=True, help="registration table (PRCR_ID, PRRG_MCTR_TYPE, PRRG_SEQ_NO, PRRG_ID)")
@@ -43,6 +46,9 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     a = parse_args(sys.argv[1:] if argv is None else argv)
+    tables = {k: v for k, v in (("DEMO", a.demo_table), ("ELIG", a.elig_table), ("COB", a.cob_table)) if v}
+    if not tables and not (a.staging_dir and a.layouts_dir):
+        raise SystemExit("give --staging-dir and --layouts-dir, or --demo-table and --elig-table")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     if spark is None:
         b = SparkSession.builder.appName(f"{a.vendor}_{a.state}_{a.mode}_EXTRACT")
@@ -61,6 +67,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         strict_width=a.strict_width,
         single_file=not a.parts,
         include_cob=a.include_cob,
+        input_tables=tables or None,
     )
     res = run_extract(spark, cfg, _table(spark, a.providers), _table(spark, a.registrations))
     out = {
