@@ -78,3 +78,14 @@ def test_table_slices_are_read_by_partition_pruning(spark, tmp_out):
     assert [tuple(r) for r in read_slice(spark, f"{tmp_out}/elig", "V", "FULL", "DC").collect()] == [("9", "z")]
     plan = sl._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(vendor" in plan and "(mode" in plan
+
+
+def test_read_input_names_missing_layout_columns(spark, tmp_out):
+    from enrollspark.sources import fixtures as fx
+    from enrollspark.sources.delimited import input_path, layout_path, read_input
+
+    d = "/root/testdata/sf0.001"
+    elig = fx.elig(spark, d).drop("CM_MEPE_ELIG_IND", "CM_PRPR_NAME")
+    write_delimited(elig, input_path(f"{tmp_out}/s", "V", "FULL", "DC", "ELIG"), layout_path(f"{tmp_out}/l", "ELIG"))
+    with pytest.raises(ValueError, match="lacks columns: CM_MEPE_ELIG_IND, CM_PRPR_NAME"):
+        read_input(spark, f"{tmp_out}/l", f"{tmp_out}/s", "V", "FULL", "DC", "ELIG")
