@@ -7,7 +7,9 @@ from enrollspark.functions.layout import (  # noqa: F401
     ELIG_LAYOUT,
     Field,
     Layout,
+    Lit,
     encode,
+    source_columns,
 )
 from enrollspark.functions.text import (  # noqa: F401
     blank_to_empty,
