@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from enrollspark.functions.text import blank_to_empty, parse_ymd, row_key
+
 # The run date of the fixtures and the member subset of the change run.
 AS_OF = _dt.date(1998, 7, 1)
 CHANGE_MEMBER_MOD, CHANGE_MEMBER_REM = 4, 1
@@ -233,10 +235,6 @@ def cob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def span_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prior span state: every third order's span, one row per member and effective date."""
-    from pyspark.sql import Window
-
-    from enrollspark.functions.text import blank_to_empty, parse_ymd, row_key
-
     e = elig_base(spark, sf_dir).filter(F.col("o_orderkey") % STATE_ORDER_MOD == 0)
     w = Window.partitionBy("CM_ELIG_MEME_CK", "CM_ELIG_EFF_DT").orderBy("o_orderkey")
     first = e.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1)
