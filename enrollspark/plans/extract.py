@@ -113,8 +113,11 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 
     Cuts the lineage (a lost executor recomputes from this table, not from the
     raw files) and lets several branches of one plan read one columnar copy.
+    The ``rebalance`` hint lets AQE cut the (filtered) rows into partitions of
+    the advisory size, so a selective filter over many input splits does not
+    leave one small file per split.
     """
-    df.write.mode("overwrite").parquet(path)
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
