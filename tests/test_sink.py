@@ -46,3 +46,14 @@ def test_record_lengths(spark):
         fx.demo(spark, d), fx.elig(spark, d), fx.prpr(spark, d), fx.prrg(spark, d), fx.AS_OF, strict_width=True
     )
     assert strict.filter(F.length("rec_type") != 1000).count() == 0
+
+
+def test_empty_extract_writes_an_empty_file(spark, tmp_out):
+    import datetime as dt
+
+    d = SF_SMALL
+    # a run date before every span: no member is active
+    recs = build_extract(fx.demo(spark, d), fx.elig(spark, d), fx.prpr(spark, d), fx.prrg(spark, d), dt.date(1900, 1, 1))
+    assert write_records(recs, f"{tmp_out}/empty", single_file=True) == 0
+    assert _lines(f"{tmp_out}/empty") == []
+    assert write_records(recs, f"{tmp_out}/empty_parts", single_file=False) == 0
