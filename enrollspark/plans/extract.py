@@ -31,7 +31,7 @@ log = logging.getLogger(__name__)
 CHANGE_MODE = "CHANGE"
 
 
-def build_extract(
+def extract_parts(
     demo: DataFrame,
     elig: DataFrame,
     prpr: DataFrame,
@@ -39,15 +39,28 @@ def build_extract(
     as_of: dt.date,
     cob: DataFrame | None = None,
     strict_width: bool = False,
-) -> DataFrame:
-    """All records of the extract (unsorted): type 1 per active member row, type 2 per span
-    detail row with the provider's latest Medicaid id, and type 3 when ``cob`` is given."""
+) -> list[DataFrame]:
+    """The extract's record sets: type 1 per active member row, type 2 per span detail row with
+    the provider's latest Medicaid id, and type 3 when ``cob`` is given."""
     members = active_members(demo, elig, as_of)
     spans = with_registration(span_detail(elig, demo, as_of), prpr, prrg)
     parts = [demo_records(members, strict_width), elig_records(spans)]
     if cob is not None:
         parts.append(cob_records(cob_top(cob_with_members(cob, demo))))
-    return merge_records(*parts)
+    return parts
+
+
+def build_extract(
+    demo: DataFrame,
+    elig: DataFrame,
+    prpr: DataFrame,
+    prrg: DataFrame,
+    as_of: dt.date,
+    cob: DataFrame | None = None,
+    strict_width: bool = False,
+) -> DataFrame:
+    """All records of the extract (unsorted), the union of ``extract_parts``."""
+    return merge_records(*extract_parts(demo, elig, prpr, prrg, as_of, cob, strict_width))
 
 
 def sort_records(records: DataFrame, single_file: bool = True, parts: int | None = None) -> DataFrame:

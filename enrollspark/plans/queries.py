@@ -17,7 +17,7 @@ from enrollspark.operators import optional as opt
 from enrollspark.operators.providers import latest_registration, with_registration
 from enrollspark.operators.records import RECORD_COLS, cob_records, demo_records, elig_body, elig_records, merge_records
 from enrollspark.operators.spans import active_members, span_detail
-from enrollspark.plans.extract import build_extract
+from enrollspark.plans.extract import build_extract, extract_parts
 from enrollspark.session import scratch_path
 from enrollspark.sources import fixtures as fx
 from enrollspark.sources.delimited import input_path, layout_path, read_input, write_delimited
@@ -142,7 +142,8 @@ def reason_code_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def state_scaffold_q(spark: SparkSession, d: str) -> DataFrame:
-    return opt.state_scaffold(_extract(spark, d), fx.static_states(spark, d))
+    parts = extract_parts(fx.demo(spark, d), fx.elig(spark, d), fx.prpr(spark, d), fx.prrg(spark, d), fx.AS_OF)
+    return opt.state_scaffold(parts, fx.static_states(spark, d))
 
 
 QUERIES: dict[str, Query] = {
