@@ -14,7 +14,7 @@ EXTRACT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # file dates are strings; a bad one must not abort the job
+    # dates are formatted and compared the same wherever the driver runs
     "spark.sql.session.timeZone": "UTC",
 }
 
