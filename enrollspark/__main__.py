@@ -41,6 +41,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--parts", action="store_true", help="write ordered part files instead of one file")
     p.add_argument("--include-cob", action="store_true", help="add type-3 COB records")
     p.add_argument("--strict-width", action="store_true", help="pad every record to 1000 characters")
+    p.add_argument("--shuffle-partitions", type=int,
+                   help="initial shuffle partitions (about shuffle bytes / 200 MB); AQE coalesces small ones")
     return p.parse_args(argv)
 
 
@@ -55,6 +57,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         for k, v in EXTRACT_CONF.items():
             b = b.config(k, v)
         spark = b.getOrCreate()
+    if a.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(a.shuffle_partitions))
     cfg = ExtractConfig(
         vendor=a.vendor,
         state=a.state,
