@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from enrollspark.operators import change as ch
 from enrollspark.operators import optional as opt
 from enrollspark.operators.providers import latest_registration, with_registration
-from enrollspark.operators.records import RECORD_COLS, cob_records, demo_records, elig_body, elig_records, merge_records
+from enrollspark.operators.records import cob_records, demo_records, elig_body, elig_records
 from enrollspark.operators.spans import active_members, span_detail
 from enrollspark.plans.extract import build_extract, extract_parts
 from enrollspark.session import scratch_path
@@ -178,4 +178,4 @@ QUERIES: dict[str, Query] = {
     "state_scaffold": state_scaffold_q,
 }
 
-__all__ = ["QUERIES", "RECORD_COLS", "merge_records"]
+__all__ = ["QUERIES", "Query"]
