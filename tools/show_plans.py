@@ -52,6 +52,7 @@ def main() -> None:
         "state_after_change": QUERIES["state_after_change"](spark, sf),
         "latest_registration": QUERIES["latest_registration"](spark, sf),
         "cob_top5": QUERIES["cob_top5"](spark, sf),
+        "state_scaffold": QUERIES["state_scaffold"](spark, sf),
     }
     for name, df in shown.items():
         print(f"## {name}\n\n```\n{tree(df)}\n```\n")
