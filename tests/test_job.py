@@ -78,3 +78,20 @@ def test_run_from_partitioned_tables(spark, tmp_out):
                         as_of=fx.AS_OF, input_tables=tables)
     res = run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
     assert res.rows == 332
+
+
+def test_repeated_change_run_publishes_identical_state(spark, tmp_out):
+    d = SF_SMALL
+    staging, layouts, state_root = (f"{tmp_out}/{x}" for x in ("staging", "layouts", "state"))
+    for kind, df in (("DEMO", fx.change_demo(spark, d)), ("ELIG", fx.change_elig(spark, d))):
+        write_delimited(df, input_path(staging, "V", "CHANGE", "DC", kind), layout_path(layouts, kind))
+    write_snapshot(fx.span_state(spark, d), state_root, 1)
+    cfg = ExtractConfig(vendor="V", state="DC", mode="CHANGE", staging_dir=staging, layouts_dir=layouts,
+                        output_dir=f"{tmp_out}/out", state_root=state_root, as_of=fx.AS_OF)
+    first = run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
+    second = run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
+    assert (first.state_version, second.state_version) == (2, 3)
+    v2 = sorted(tuple(r) for r in read_state(spark, state_root, 2).collect())
+    v3 = sorted(tuple(r) for r in read_state(spark, state_root, 3).collect())
+    assert v2 == v3 and len(v2) == 682
+    assert read_state(spark, state_root, 1).count() == 500
