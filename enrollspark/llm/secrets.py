@@ -140,13 +140,14 @@ def guess_spans(text: str, low: str, words: Iterable[str] = COMMON, least: float
 def scan(text: str | None) -> list[tuple[str, int, int, float | None]]:
     """(kind, start, end, log10 guesses or None) by start, then kind; places in code points, end exclusive.
 
-    The pattern spans all stay; a guessed span is added unless a pattern span holds it.
+    The pattern spans all stay. A guessed span, the value alone, is added to them
+    unless a pattern span has the same places.
     """
     if not text:
         return []
     low = text.lower()
     base = base_spans(text, low)
-    more = [(s, e, "guess", g) for s, e, g in guess_spans(text, low) if not any(a <= s and e <= b for a, b, _ in base)]
+    more = [(s, e, "guess", g) for s, e, g in guess_spans(text, low) if (s, e) not in {x[:2] for x in base}]
     spans = [(*x, None) for x in base] + more
     return [(k, s, e, g) for s, e, k, g in sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))]
 
