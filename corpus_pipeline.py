@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from enrollspark.llm import rules, secrets, simhash
+from enrollspark.llm import mixing, packing, rules, secrets, simhash
 from enrollspark.llm.common import crc_bucket, read_table, stage
 
 
@@ -31,7 +31,17 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redact_secrets(docs)
 
 
-STAGES = [("quality", quality), ("near_dedup", near_dedup), ("secret_scan", secret_scan)]
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows in the order of the mixed stream; the files in name order are the stream."""
+    return mixing.mixed_order(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens and their places in sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality", quality), ("near_dedup", near_dedup), ("secret_scan", secret_scan), ("mix", mix), ("pack", pack)]
 
 ORACLE_SQL = None
 
