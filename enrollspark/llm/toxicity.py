@@ -34,7 +34,8 @@ STEM = 4  # letters of a word that count
 WINDOW = 32  # words
 MAX_WINDOWS = 20_000
 COMMON_STEMS, CLASS_STEMS = 256, 256
-LEAST_DOCS, LEAST_Z, LEAST_RATIO = 8, 6.0, 4.0
+LEAST_DOCS = 5  # labelled documents with a stem
+STANDS_OUT = ((4.5, 3.0), (6.0, 4.0), (8.0, 4.0))  # least z and least ratio of a class's own stem; held-out rows choose
 BASE_BYTES = 1024
 POINT = 0.3
 SEED = 7
@@ -76,7 +77,7 @@ class Advantage:
         for d in (ordinary, toxic):
             dictionary = zs.ZstdCompressionDict(d)
             params = zs.ZstdCompressionParameters(
-                window_log=16, hash_log=15, chain_log=15, search_log=4, min_match=7, strategy=zs.STRATEGY_FAST, write_content_size=0, write_checksum=0, write_dict_id=0
+                window_log=16, hash_log=15, chain_log=15, search_log=4, min_match=6, strategy=zs.STRATEGY_GREEDY, write_content_size=0, write_checksum=0, write_dict_id=0
             )
             dictionary.precompute_compress(compression_params=params)
             self.compress.append(zs.ZstdCompressor(dict_data=dictionary, compression_params=params).compress)
@@ -118,21 +119,21 @@ class ToxicityModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-def contrast_stems(toxic: dict[str, int], ordinary: dict[str, int], n_toxic: int, n_ordinary: int) -> tuple[list[str], list[str], list[str]]:
-    """Stems that stand out in toxic documents, those in ordinary ones, strongest first; and the commonest of the rest."""
+Counts = dict[str, tuple[int, int]]  # toxic and ordinary documents with a stem
 
-    def lift(s: str) -> tuple[float, float]:
-        a, b = toxic.get(s, 0), ordinary.get(s, 0)
-        p = (a + b + 1) / (n_toxic + n_ordinary + 2)
-        ra, rb = (a + 0.5) / (n_toxic + 1), (b + 0.5) / (n_ordinary + 1)
-        return (a / max(1, n_toxic) - b / max(1, n_ordinary)) / np.sqrt(p * (1 - p) * (1 / max(1, n_toxic) + 1 / max(1, n_ordinary))), ra / rb
 
-    every = sorted(s for s in {*toxic, *ordinary} if s and toxic.get(s, 0) + ordinary.get(s, 0) >= LEAST_DOCS)
-    at = {s: lift(s) for s in every}
-    worst = sorted((s for s in every if at[s][0] >= LEAST_Z and at[s][1] >= LEAST_RATIO), key=lambda s: (-at[s][0], s))[:CLASS_STEMS]
-    best = sorted((s for s in every if at[s][0] <= -LEAST_Z and at[s][1] <= 1 / LEAST_RATIO), key=lambda s: (at[s][0], s))[:CLASS_STEMS]
+def contrast_stems(counts: Counts, n_toxic: int, n_ordinary: int, least_z: float, least_ratio: float) -> tuple[list[str], list[str], list[str]]:
+    """Stems that stand out in toxic documents, those in ordinary ones, strongest first; and the commonest of the rest."""
+    at = {}
+    for s in sorted(s for s, (a, b) in counts.items() if s and a + b >= LEAST_DOCS):
+        a, b = counts[s]
+        p = (a + b + 1) / (n_toxic + n_ordinary + 2)
+        z = (a / max(1, n_toxic) - b / max(1, n_ordinary)) / np.sqrt(p * (1 - p) * (1 / max(1, n_toxic) + 1 / max(1, n_ordinary)))
+        at[s] = (z, (a + 0.5) / (n_toxic + 1) / ((b + 0.5) / (n_ordinary + 1)))
+    worst = sorted((s for s, (z, r) in at.items() if z >= least_z and r >= least_ratio), key=lambda s: (-at[s][0], s))[:CLASS_STEMS]
+    best = sorted((s for s, (z, r) in at.items() if z <= -least_z and r <= 1 / least_ratio), key=lambda s: (at[s][0], s))[:CLASS_STEMS]
     out = {*worst, *best}
-    common = sorted((s for s in every if s not in out), key=lambda s: (-toxic.get(s, 0) - ordinary.get(s, 0), s))[:COMMON_STEMS]
+    common = sorted((s for s in at if s not in out), key=lambda s: (-sum(counts[s]), s))[:COMMON_STEMS]
     return worst, best, common
 
 
@@ -188,29 +189,55 @@ def _doc_stems(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([sorted(set(stems(t))) for t in texts], dtype=object)
 
 
-def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_FIT) -> ToxicityModel:
-    """Fit from labelled documents; of equal texts one counts. One label only: a constant score."""
-    sample = labelled_sample(docs, labels, "toxic", learn, most)
-    sample = sample.withColumn("text", text_or_empty(F.col("text"))).groupBy(F.xxhash64("text").alias("h")).agg(F.min_by(F.struct("doc_id", "text", "label"), "doc_id").alias("r"))
-    sample = stage(sample.select("r.*"), "labelled")
-    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
+def _stem_counts(sample: DataFrame, n_toxic: int, n_ordinary: int) -> Counts:
+    """Of all stems those that contrast most, either way, and the commonest: all that the dictionaries can take."""
     split = F.pandas_udf(_doc_stems, T.ArrayType(T.StringType()))
     by = sample.select("label", F.explode(split("text")).alias("stem")).groupBy("stem").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-    z_over = F.col("a") / max(1, sizes.get(1, 0)) - F.col("b") / max(1, sizes.get(0, 0))
-    p = (F.col("a") + F.col("b") + 1) / (sum(sizes.values()) + 2)
-    z = z_over / F.sqrt(p * (1 - p) * (1 / max(1, sizes.get(1, 0)) + 1 / max(1, sizes.get(0, 0))))
-    frequent = stage(by.filter(F.col("a") + F.col("b") >= LEAST_DOCS).withColumn("z", z), "stems")
-    # the strongest of either label and the commonest: all that the dictionaries can take
-    ends = [frequent.orderBy(o, "stem").limit(4 * CLASS_STEMS) for o in (F.desc("z"), F.asc("z"), F.desc(F.col("a") + F.col("b")))]
-    rows = {r["stem"]: (r["a"], r["b"]) for e in ends for r in e.collect()}
-    worst, best, common = contrast_stems({s: v[0] for s, v in rows.items()}, {s: v[1] for s, v in rows.items()}, sizes.get(1, 0), sizes.get(0, 0))
-    windows = sample.select("text").mapInPandas(_sample_windows, "h long, stems string").orderBy("h", "stems").limit(MAX_WINDOWS).select("stems")
-    toxic, ordinary = train_dictionaries([r["stems"].split(" ") for r in windows.collect()], worst, best, common)
-    seen = sample.select("doc_id", "label", window_features(F.col("text"), toxic, ordinary).alias("f")).select("doc_id", "label", "f.*").collect()
-    seen.sort(key=lambda r: r["doc_id"])
-    x = np.array([[r[n] for n in FEATURES] for r in seen], float).reshape(len(seen), len(FEATURES))
-    centre, scale, w = calibrate(x, np.array([r["label"] for r in seen], float))
-    return ToxicityModel(toxic, ordinary, *(tuple(map(float, v)) for v in (centre, scale, w)))
+    a, b, m, n = F.col("a"), F.col("b"), max(1, n_toxic), max(1, n_ordinary)
+    p = (a + b + 1) / (n_toxic + n_ordinary + 2)
+    by = stage(by.filter(a + b >= LEAST_DOCS).withColumn("z", (a / m - b / n) / F.sqrt(p * (1 - p) * (1 / m + 1 / n))), "stems")
+    ends = [by.orderBy(o, "stem").limit(4 * CLASS_STEMS) for o in (F.desc("z"), F.asc("z"), F.desc(a + b))]
+    return {r["stem"]: (r["a"], r["b"]) for e in ends for r in e.collect()}
+
+
+def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_FIT) -> ToxicityModel:
+    """Fit from labelled documents; of equal texts one counts. One label only: a constant score.
+
+    How far a stem must stand out is chosen on a quarter of the labelled documents,
+    which the stems and the curve are not learnt from; the model is then fitted on all.
+    """
+    sample = labelled_sample(docs, labels, "toxic", learn, most).withColumn("text", text_or_empty(F.col("text")))
+    sample = sample.groupBy(F.xxhash64("text").alias("h")).agg(F.min_by(F.struct("doc_id", "text", "label"), "doc_id").alias("r"))
+    sample = stage(sample.select("r.*", (F.pmod("h", F.lit(4)) == 0).alias("kept")), "labelled")
+    windows = sample.select("text").mapInPandas(_sample_windows, "h long, stems string").orderBy("h", "stems").limit(MAX_WINDOWS)
+    windows = [r["stems"].split(" ") for r in windows.collect()]
+    size = {(r["kept"], r["label"]): r["count"] for r in sample.groupBy("kept", "label").count().collect()}
+
+    def fit(part: DataFrame, folds: tuple[bool, ...]):
+        n = [sum(size.get((f, y), 0) for f in folds) for y in (1, 0)]
+        counts = _stem_counts(part, *n)
+        return lambda bar: train_dictionaries(windows, *contrast_stems(counts, *n, *bar))
+
+    def features(pair: tuple[bytes, bytes]):
+        rows = sample.select("doc_id", "label", "kept", window_features(F.col("text"), *pair).alias("f")).select("doc_id", "label", "kept", "f.*").collect()
+        rows.sort(key=lambda r: r["doc_id"])
+        x = np.array([[r[n] for n in FEATURES] for r in rows], float).reshape(len(rows), len(FEATURES))
+        return x, np.array([r["label"] for r in rows], float), np.array([r["kept"] for r in rows], bool)
+
+    bar = STANDS_OUT[1]
+    if all(size.get((f, y), 0) >= LEAST_DOCS for f in (True, False) for y in (0, 1)):
+        made, worth = fit(sample.filter(~F.col("kept")), (False,)), []
+        for b in STANDS_OUT:
+            x, y, kept = features(made(b))
+            centre, scale, w = calibrate(x[~kept], y[~kept])
+            margin = ((x - centre) / scale) @ w[:-1] + w[-1]
+            good, bad = np.sort(margin[kept & (y == 0)]), margin[kept & (y == 1)]
+            # the share of pairs in the right order, ties half
+            worth.append(float((np.searchsorted(good, bad, "left") + np.searchsorted(good, bad, "right")).mean()) / 2 / len(good))
+        bar = STANDS_OUT[int(np.argmax(worth))]
+    pair = fit(sample, (True, False))(bar)
+    x, y, _ = features(pair)
+    return ToxicityModel(*pair, *(tuple(map(float, v)) for v in calibrate(x, y)))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, score: str = "score", text: str = "text") -> DataFrame:
