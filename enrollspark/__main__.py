@@ -1,7 +1,7 @@
 """Command-line job: ``spark-submit --py-files enrollspark.zip -m enrollspark ...`` or ``python -m enrollspark ...``.
 
-Runs one extract (and, in ``CHANGE`` mode with ``--state-root``, publishes the
-next state version). Provider tables are catalog table names or parquet paths.
+Runs one extract (and, in ``CHANGE`` mode, publishes the next state version
+under ``--state-root``). Provider tables are catalog table names or parquet paths.
 Prints one JSON line with the result.
 """
 
@@ -15,7 +15,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from enrollspark.plans.extract import ExtractConfig, run_extract
+from enrollspark.plans.extract import CHANGE_MODE, ExtractConfig, run_extract
 from enrollspark.session import EXTRACT_CONF
 
 
@@ -38,7 +38,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--registrations", required=True, help="registration table (PRCR_ID, PRRG_MCTR_TYPE, PRRG_SEQ_NO, PRRG_ID)")
     p.add_argument("--state-root", help="root of the versioned span state (CHANGE mode)")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today(), help="run date, yyyy-mm-dd")
-    p.add_argument("--parts", action="store_true", help="write ordered part files instead of one file")
+    p.add_argument("--single-file", action="store_true", help="write one file (one task) instead of ordered part files")
     p.add_argument("--include-cob", action="store_true", help="add type-3 COB records")
     p.add_argument("--strict-width", action="store_true", help="pad every record to 1000 characters")
     p.add_argument("--shuffle-partitions", type=int,
@@ -51,6 +51,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     tables = {k: v for k, v in (("DEMO", a.demo_table), ("ELIG", a.elig_table), ("COB", a.cob_table)) if v}
     if not tables and not (a.staging_dir and a.layouts_dir):
         raise SystemExit("give --staging-dir and --layouts-dir, or --demo-table and --elig-table")
+    need = {"DEMO", "ELIG", *(["COB"] if a.include_cob else [])}
+    if tables and need - set(tables):
+        raise SystemExit("table inputs lack " + ", ".join(f"--{k.lower()}-table" for k in sorted(need - set(tables))))
+    if a.mode == CHANGE_MODE and not a.state_root:
+        raise SystemExit("--mode CHANGE needs --state-root")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     if spark is None:
         b = SparkSession.builder.appName(f"{a.vendor}_{a.state}_{a.mode}_EXTRACT")
@@ -69,7 +74,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         state_root=a.state_root,
         as_of=a.as_of,
         strict_width=a.strict_width,
-        single_file=not a.parts,
+        single_file=a.single_file,
         include_cob=a.include_cob,
         input_tables=tables or None,
     )

@@ -41,8 +41,12 @@ def blank_to_empty(c: str | Column) -> Column:
 
 
 def parse_ymd(c: str | Column) -> Column:
-    """``yyyyMMdd`` string to ``date``; blank or impossible dates give null instead of failing."""
-    return F.try_to_date(_col(c), FILE_DATE_FORMAT)
+    """``yyyyMMdd`` string to ``date``; blank or impossible dates give null instead of failing.
+
+    Fields are padded with blanks, so blanks behind the digits count for nothing; a
+    blank before them makes the date impossible.
+    """
+    return F.try_to_date(F.rtrim(_col(c)), FILE_DATE_FORMAT)
 
 
 def ymd_to_iso(c: str | Column) -> Column:

@@ -57,6 +57,28 @@ def member_timeline(demo: DataFrame, elig: DataFrame, cob: DataFrame | None = No
     return t.join(c, t["CM_ELIG_MEME_CK"] == c["CM_COB_MEME_CK"], "left")
 
 
+def timeline_counts(demo: DataFrame, elig: DataFrame, cob: DataFrame) -> DataFrame:
+    """Per member what ``member_timeline`` would hold: its rows, those with a COB policy, the first and last span.
+
+    Every side is reduced to a row for each member first; the product of member
+    rows, spans and policies is counted, never formed.
+    """
+    d = demo.groupBy("CM_DEMO_MEME_CK").agg(F.count(F.lit(1)).alias("_d"))
+    e = elig.groupBy("CM_ELIG_MEME_CK").agg(
+        F.count(F.lit(1)).alias("_e"), F.min("CM_ELIG_EFF_DT").alias("first_eff"), F.max("CM_ELIG_EFF_DT").alias("last_eff")
+    )
+    c = cob.groupBy("CM_COB_MEME_CK").agg(F.count(F.lit(1)).alias("_c"), F.count("CM_COB_POLICY_ID").alias("_p"))
+    j = d.join(e, F.col("CM_DEMO_MEME_CK") == F.col("CM_ELIG_MEME_CK")).join(c, F.col("CM_DEMO_MEME_CK") == F.col("CM_COB_MEME_CK"), "left")
+    rows = F.col("_d") * F.col("_e")
+    return j.select(
+        "CM_DEMO_MEME_CK",
+        (rows * F.coalesce("_c", F.lit(1))).alias("timeline_rows"),
+        (rows * F.coalesce("_p", F.lit(0))).alias("cob_rows"),
+        "first_eff",
+        "last_eff",
+    )
+
+
 def with_composite_keys(timeline: DataFrame) -> DataFrame:
     """Adds the six group/plan composite keys (null when any part is null) and two aliases."""
     g = F.col("CM_ELIG_GRGR_ID")
@@ -90,7 +112,8 @@ def eligible_spans(demo: DataFrame, elig: DataFrame) -> DataFrame:
     return elig.join(m, elig["CM_ELIG_MEME_CK"] == m["_m"], "left_semi")
 
 
-def _normalised_spans(spans: DataFrame) -> DataFrame:
+def normalised_spans(spans: DataFrame) -> DataFrame:
+    """The spans (output of ``eligible_spans``) as state rows, with the reason why a row can't be stored, or null."""
     return spans.select(
         blank_to_empty("CM_ELIG_MEME_CK").alias("MEME_CK"),
         blank_to_empty("CM_ELIG_EFF_DT").alias("_eff"),
@@ -112,28 +135,33 @@ def _normalised_spans(spans: DataFrame) -> DataFrame:
 
 
 def span_rejects(spans: DataFrame) -> DataFrame:
-    """Spans (output of ``eligible_spans``) that cannot be stored: blank member,
+    """Spans (output of ``normalised_spans``) that cannot be stored: blank member,
     unparseable effective or termination date; with the reason and raw dates."""
-    return _normalised_spans(spans).filter(F.col("reason").isNotNull())
+    return spans.filter(F.col("reason").isNotNull())
 
 
 def new_spans(spans: DataFrame) -> DataFrame:
-    """State rows to put from ``eligible_spans``: one per row key.
+    """State rows to put (output of ``normalised_spans``): one per row key.
 
     When several spans map to one key the store would keep one of them; here it
     is the latest termination date, then the greatest other values, so reruns
     give the same state. ``row_number() == 1`` is planned with a map-side
     window group limit, so repeated keys are cut before the shuffle.
     """
-    good = _normalised_spans(spans).filter(F.col("reason").isNull()).select(*STATE_COLS)
+    good = spans.filter(F.col("reason").isNull()).select(*STATE_COLS)
     order = [F.col(c).desc_nulls_last() for c in ["MEPE_TERM_DT", *[dst for _, dst in _SPAN_VALUE_COLS], "MEME_CK", "MEPE_EFF_DT"]]
     w = Window.partitionBy("row_key").orderBy(*order)
     return good.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") == 1).drop("_n")
 
 
 def replaced_members(spans: DataFrame) -> DataFrame:
-    """Distinct members that receive at least one new span."""
-    return spans.select("MEME_CK").distinct()
+    """Members (output of ``normalised_spans``) that receive at least one span, one row for each span.
+
+    Keeping one span of each key never drops a member, so the members come from the
+    spans as they are: a semi or anti join needs neither a window nor a distinct,
+    and Spark can split a hot member of the state.
+    """
+    return spans.filter(F.col("reason").isNull()).select("MEME_CK")
 
 
 @dataclass(frozen=True)
@@ -146,7 +174,12 @@ class ChangeResult:
 
 
 def apply_change(state: DataFrame, demo: DataFrame, elig: DataFrame) -> ChangeResult:
-    """Replace the spans of changed members in ``state`` (lazy; nothing is written here).
+    """Replace the spans of changed members in ``state`` (lazy; nothing is written here)."""
+    return replace_spans(state, normalised_spans(eligible_spans(demo, elig)))
+
+
+def replace_spans(state: DataFrame, candidates: DataFrame) -> ChangeResult:
+    """Put ``candidates`` (output of ``normalised_spans``) into ``state``.
 
     ``deleted_keys``  row keys of the state rows removed;
     ``kept``          state rows of members not replaced;
@@ -154,12 +187,11 @@ def apply_change(state: DataFrame, demo: DataFrame, elig: DataFrame) -> ChangeRe
     ``rejects``       new spans that could not be stored, with a reason;
     ``state_after``   ``kept ∪ new_spans``, the next snapshot.
     """
-    candidates = eligible_spans(demo, elig)
     spans = new_spans(candidates)
-    members = replaced_members(spans)
+    members = replaced_members(candidates).withColumnRenamed("MEME_CK", "_member")
     st = state.select(*STATE_COLS)
-    deleted = st.join(members, "MEME_CK", "left_semi")
-    kept = st.join(members, "MEME_CK", "left_anti")
+    deleted = st.join(members, F.col("MEME_CK") == F.col("_member"), "left_semi")
+    kept = st.join(members, F.col("MEME_CK") == F.col("_member"), "left_anti")
     return ChangeResult(
         deleted_keys=deleted.select("row_key"),
         kept=kept,

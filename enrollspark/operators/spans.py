@@ -12,6 +12,7 @@ from enrollspark.functions.text import parse_ymd
 MEMBER, GROUP, EFF, TERM = "CM_ELIG_MEME_CK", "CM_ELIG_GRGR_CK", "CM_ELIG_EFF_DT", "CM_ELIG_TERM_DT"
 SPAN_KEYS = [MEMBER, GROUP, EFF, TERM]
 REPEAT_CHUNK = 10_000
+SALTS = 8  # parts that a member's span keys are dealt to
 
 
 def repeat_rows(df: DataFrame, times: str, chunk: int = REPEAT_CHUNK) -> DataFrame:
@@ -68,13 +69,17 @@ def span_multiplicity(demo: DataFrame, elig: DataFrame, as_of: dt.date) -> DataF
     (member, group, eff, term): DEMO rows of the member and group × active spans with the key.
 
     Both factors are aggregates with map-side partial counts, so neither the
-    member × span product nor a hot key's rows cross the shuffle.
+    member × span product nor a hot key's rows cross the shuffle. The span keys of a
+    member are dealt to SALTS parts by their dates and its one count goes to each
+    part, so a member with very many spans isn't one task's.
     """
     d = demo.groupBy(F.col("CM_DEMO_MEME_CK").alias("_ck"), F.col("CM_DEMO_GRGR_CK").alias("_gk")).agg(
         F.count(F.lit(1)).alias("_d")
     )
     a = active_spans(elig, as_of).groupBy(*SPAN_KEYS).agg(F.count(F.lit(1)).alias("_a"))
-    m = a.join(d, (a[MEMBER] == d["_ck"]) & (a[GROUP] == d["_gk"]), "inner")
+    a = a.withColumn("_part", F.pmod(F.xxhash64(EFF, TERM), F.lit(SALTS)).cast("int"))
+    d = d.withColumn("_dpart", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    m = a.join(d, (a[MEMBER] == d["_ck"]) & (a[GROUP] == d["_gk"]) & (a["_part"] == d["_dpart"]), "inner")
     return m.select(*SPAN_KEYS, (F.col("_a") * F.col("_d")).alias("_n"))
 
 

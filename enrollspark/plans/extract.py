@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from enrollspark.operators.change import ChangeResult, apply_change
+from enrollspark.operators.change import eligible_spans, normalised_spans, replace_spans, replaced_members
 from enrollspark.operators.optional import cob_top, cob_with_members
 from enrollspark.operators.providers import with_registration
 from enrollspark.operators.records import (
@@ -21,9 +21,9 @@ from enrollspark.operators.records import (
     merge_records,
 )
 from enrollspark.operators.spans import active_members, current_spans, span_detail
-from enrollspark.session import shared_root
-from enrollspark.sources.delimited import read_input
-from enrollspark.sources.state import latest_version, read_state, write_snapshot
+from enrollspark.session import remove_path, scratch_path
+from enrollspark.sources.delimited import REQUIRED_COLUMNS, read_input, require_columns
+from enrollspark.sources.state import update_state
 from enrollspark.sources.tables import read_slice
 
 log = logging.getLogger(__name__)
@@ -46,7 +46,7 @@ def extract_parts(
     spans = with_registration(span_detail(elig, demo, as_of), prpr, prrg)
     parts = [demo_records(members, strict_width), elig_records(spans)]
     if cob is not None:
-        parts.append(cob_records(cob_top(cob_with_members(cob, demo))))
+        parts.append(cob_records(cob_with_members(cob_top(cob), demo)))
     return parts
 
 
@@ -63,30 +63,39 @@ def build_extract(
     return merge_records(*extract_parts(demo, elig, prpr, prrg, as_of, cob, strict_width))
 
 
-def sort_records(records: DataFrame, single_file: bool = True, parts: int | None = None) -> DataFrame:
+def sort_records(records: DataFrame, single_file: bool = False, parts: int | None = None) -> DataFrame:
     """Records in file order (subscriber, record number, effective date, record text).
 
-    ``single_file``: one partition, sorted inside it — the shuffle's map side is
-    parallel and no sampling pass over the records is needed. Otherwise range
-    partitions by the sort keys (``parts`` of them, default the shuffle
-    setting), each sorted, so part files in name order are the file.
+    Range partitions by the sort keys, each sorted, so part files in name order are
+    the file; their number is ``parts``, or follows the data's size (AQE). Give staged
+    records: the sampling of the ranges reads them once more. ``single_file``: one
+    partition, sorted inside it, for a receiver that wants one file.
     """
     keys = [F.col(k).asc_nulls_first() for k in SORT_KEYS]
     if single_file:
         return records.repartition(1).sortWithinPartitions(*keys)
-    n = parts or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return records.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = records.repartitionByRange(parts, *keys) if parts else records.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
 
 
-def write_records(records: DataFrame, path: str, single_file: bool = True, parts: int | None = None) -> int:
+def write_records(records: DataFrame, path: str, single_file: bool = False, parts: int | None = None) -> int:
     """Write the sorted ``rec_type`` column as text (overwrite) and return the record count.
 
-    The count is observed during the write itself, so the plan runs once.
+    The records are staged once before they are sorted into ranges, so that neither
+    the joins nor the encoding run twice; the count is observed during the write.
     """
+    spark = records.sparkSession
+    staged = None
+    if not single_file:
+        staged = scratch_path(spark, "records")
+        records = stage(records, staged)
     obs = Observation("extract")
     out = sort_records(records, single_file, parts).observe(obs, F.count(F.lit(1)).alias("rows"))
     out.select("rec_type").write.mode("overwrite").text(path)
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    if staged:
+        remove_path(spark, staged)
+    return rows
 
 
 @dataclass(frozen=True)
@@ -102,7 +111,7 @@ class ExtractConfig:
     state_root: str | None = None
     as_of: dt.date = field(default_factory=dt.date.today)
     strict_width: bool = False
-    single_file: bool = True
+    single_file: bool = False
     include_cob: bool = False
     stage_spans: bool = True
     # inputs as partitioned tables instead of delimited files: kind (DEMO, ELIG, COB) -> table root
@@ -122,7 +131,7 @@ class ExtractResult:
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as parquet to ``path`` (overwriting) and read it back.
+    """Write ``df`` as parquet to ``path`` and read it back.
 
     Cuts the lineage (a lost executor recomputes from this table, not from the
     raw files) and lets several branches of one plan read one columnar copy.
@@ -130,13 +139,8 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     the advisory size, so a selective filter over many input splits does not
     leave one small file per split.
     """
-    df.hint("rebalance").write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def staging_path(spark: SparkSession, cfg: ExtractConfig, name: str) -> str:
-    """Fixed place in the shared folder for one run key, so each run overwrites the previous copy."""
-    return "/".join([shared_root(spark).rstrip("/"), "enrollspark-stage", cfg.vendor, cfg.mode, cfg.state, name])
+    df.hint("rebalance").write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def run_extract(spark: SparkSession, cfg: ExtractConfig, prpr: DataFrame, prrg: DataFrame) -> ExtractResult:
@@ -144,43 +148,50 @@ def run_extract(spark: SparkSession, cfg: ExtractConfig, prpr: DataFrame, prrg:
 
     With ``stage_spans`` the spans containing the run date are parsed from the
     delimited file once and staged as parquet; both span joins read that copy.
+    Staged tables have a folder of their own for each run, removed after success.
     """
+    if cfg.mode == CHANGE_MODE and not cfg.state_root:
+        raise ValueError("a CHANGE run updates the span state: give state_root")
     t0 = time.monotonic()
 
     def read(kind: str) -> DataFrame:
         if cfg.input_tables:
-            return read_slice(spark, cfg.input_tables[kind], cfg.vendor, cfg.mode, cfg.state)
+            df = read_slice(spark, cfg.input_tables[kind], cfg.vendor, cfg.mode, cfg.state)
+            require_columns(df.schema, REQUIRED_COLUMNS[kind], f"{kind} table")
+            return df
         return read_input(spark, cfg.layouts_dir, cfg.staging_dir, cfg.vendor, cfg.mode, cfg.state, kind)
 
     demo, elig = read("DEMO"), read("ELIG")
     cob = read("COB") if cfg.include_cob else None
-    spans = stage(current_spans(elig, cfg.as_of), staging_path(spark, cfg, "spans")) if cfg.stage_spans else elig
+    staged = scratch_path(spark, "spans")
+    spans = stage(current_spans(elig, cfg.as_of), staged) if cfg.stage_spans else elig
     records = build_extract(demo, spans, prpr, prrg, cfg.as_of, cob=cob, strict_width=cfg.strict_width)
     rows = write_records(records, cfg.output_path(), single_file=cfg.single_file)
+    if cfg.stage_spans:
+        remove_path(spark, staged)
     log.info("extract %s/%s/%s: %d records", cfg.vendor, cfg.mode, cfg.state, rows)
     version = rejects = None
-    if cfg.mode == CHANGE_MODE and cfg.state_root:
+    if cfg.mode == CHANGE_MODE:
         version, rejects = publish_change(spark, cfg.state_root, demo, elig)
     return ExtractResult(rows, time.monotonic() - t0, cfg.output_path(), version, rejects)
 
 
 def publish_change(spark: SparkSession, state_root: str, demo: DataFrame, elig: DataFrame) -> tuple[int, int]:
-    """Write ``kept ∪ new spans`` as the next state version; return (version, reject count).
+    """Replace the changed members' spans as the next state version; return (version, reject count).
 
-    The rejected spans are written first to ``<state_root>/rejects/v=<n>``; the
-    new version is built from the previous one plus the change files and becomes
-    visible only when its marker is written, so the previous version stays the
-    latest until then.
+    The candidate spans are staged once: rejects, members and new spans read that
+    table. The rejected spans are written to a folder of their own under
+    ``<state_root>/rejects`` before the version is published; only the buckets of
+    the changed members are rewritten.
     """
-    prev = latest_version(spark, state_root)
-    result: ChangeResult = apply_change(read_state(spark, state_root, prev), demo, elig)
-    version = (prev or 0) + 1
+    path = scratch_path(spark, "candidates")
+    candidates = stage(normalised_spans(eligible_spans(demo, elig)), path)
     obs = Observation("rejects")
-    result.rejects.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-        f"{state_root.rstrip('/')}/rejects/v={version}"
-    )
+    lost = candidates.filter(F.col("reason").isNotNull()).observe(obs, F.count(F.lit(1)).alias("rows"))
+    lost.write.parquet(f"{state_root.rstrip('/')}/rejects/{path.rstrip('/').rsplit('/', 1)[-1]}")
     rejects = int(obs.get["rows"])
     if rejects:
         log.warning("change run: %d spans rejected", rejects)
-    write_snapshot(result.state_after, state_root, version)
+    version = update_state(spark, state_root, replaced_members(candidates), lambda rows: replace_spans(rows, candidates).state_after)
+    remove_path(spark, path)
     return version, rejects

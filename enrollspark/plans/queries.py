@@ -7,9 +7,10 @@ twin of each, with the same column names.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from enrollspark.operators import change as ch
@@ -17,13 +18,17 @@ from enrollspark.operators import optional as opt
 from enrollspark.operators.providers import latest_registration, with_registration
 from enrollspark.operators.records import cob_records, demo_records, elig_body, elig_records
 from enrollspark.operators.spans import active_members, span_detail
-from enrollspark.plans.extract import build_extract, extract_parts
+from enrollspark.plans.extract import build_extract, publish_change, stage, write_records
 from enrollspark.session import scratch_path
 from enrollspark.sources import fixtures as fx
 from enrollspark.sources.delimited import input_path, layout_path, read_input, write_delimited
+from enrollspark.sources.state import read_state, write_snapshot
+from enrollspark.sources.tables import read_slice, write_slice
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SLICES = ("01", "1", "ALL")
+
 
 def _members(spark: SparkSession, d: str) -> DataFrame:
     return active_members(fx.demo(spark, d), fx.elig(spark, d), fx.AS_OF)
@@ -42,11 +47,11 @@ def _extract(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _cob_top(spark: SparkSession, d: str) -> DataFrame:
-    return opt.cob_top(opt.cob_with_members(fx.cob(spark, d), fx.demo(spark, d)))
+    return opt.cob_with_members(opt.cob_top(fx.cob(spark, d)), fx.demo(spark, d))
 
 
 def _timeline(spark: SparkSession, d: str) -> DataFrame:
-    return ch.member_timeline(fx.change_demo(spark, d), fx.change_elig(spark, d))
+    return ch.member_timeline(fx.demo(spark, d), fx.elig(spark, d))
 
 
 def _change(spark: SparkSession, d: str) -> ch.ChangeResult:
@@ -98,27 +103,84 @@ def extract_by_state_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def delimited_roundtrip_q(spark: SparkSession, d: str) -> DataFrame:
-    """Writes DEMO and ELIG as pipe-delimited files with layout headers under the shared
-    folder, reads them back through the layouts, and runs the extract on them."""
+    """Writes DEMO, ELIG and COB as pipe-delimited files with layout headers under the shared
+    folder, reads them back through the layouts, and runs the extract with COB on them."""
     root = scratch_path(spark, "delimited")
     staging, layouts = f"{root}/staging", f"{root}/layouts"
     vendor, mode, state = "VENDOR", "FULL", "ALL"
-    for kind, df in (("DEMO", fx.demo(spark, d)), ("ELIG", fx.elig(spark, d))):
+    for kind, df in _inputs(spark, d).items():
         write_delimited(df, input_path(staging, vendor, mode, state, kind), layout_path(layouts, kind))
-    demo = read_input(spark, layouts, staging, vendor, mode, state, "DEMO")
-    elig = read_input(spark, layouts, staging, vendor, mode, state, "ELIG")
-    return build_extract(demo, elig, fx.prpr(spark, d), fx.prrg(spark, d), fx.AS_OF)
+    demo, elig, cob = (read_input(spark, layouts, staging, vendor, mode, state, k) for k in ("DEMO", "ELIG", "COB"))
+    return build_extract(demo, elig, fx.prpr(spark, d), fx.prrg(spark, d), fx.AS_OF, cob=cob)
+
+
+def _inputs(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {"DEMO": fx.demo(spark, d), "ELIG": fx.elig(spark, d), "COB": fx.cob(spark, d)}
+
+
+def table_slice_roundtrip_q(spark: SparkSession, d: str) -> DataFrame:
+    """Writes each input table in three slices whose names look alike (``01``, ``1``, ``ALL``), by member,
+    and reads each back, and one that isn't there: rows and distinct members of each."""
+    out = None
+    for kind, (df, key) in {
+        "DEMO": (fx.demo(spark, d), "CM_DEMO_MEME_CK"),
+        "ELIG": (fx.elig(spark, d), "CM_ELIG_MEME_CK"),
+        "COB": (fx.cob(spark, d), "CM_COB_MEME_CK"),
+    }.items():
+        root = scratch_path(spark, f"slices-{kind}")
+        for rest, state in enumerate(SLICES):
+            write_slice(df.filter(F.col(key).cast("long") % len(SLICES) == rest), root, "VENDOR", "FULL", state)
+        for state in (*SLICES, "none"):
+            back = read_slice(spark, root, "VENDOR", "FULL", state)
+            counts = back.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(key).alias("members"), F.sum(F.col(key).cast("long")).alias("member_sum"))
+            counts = counts.select(F.lit(kind).alias("kind"), F.lit(state).alias("state"), "rows", "members", "member_sum")
+            out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+def extract_file_lines_q(spark: SparkSession, d: str) -> DataFrame:
+    """Writes the extract in ordered parts, reads the files back and numbers their lines in file order;
+    with the count that the write observed."""
+    path = scratch_path(spark, "extract")
+    rows = write_records(_extract(spark, d), path)
+    lines = spark.read.text(path).select(
+        F.col("value").alias("rec_type"),
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    here = F.row_number().over(Window.partitionBy("file", "block").orderBy("at"))
+    # a row for each block of a file
+    blocks = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    out = lines.withColumn("here", here).join(starts, ["file", "block"])
+    return out.select((F.col("start") + F.col("here")).alias("line_no"), "rec_type", F.lit(rows).cast("long").alias("observed_count"))
+
+
+def state_snapshot_roundtrip_q(spark: SparkSession, d: str) -> DataFrame:
+    """Publishes the prior state as version 1, a change run as version 2, and reads the newest version."""
+    root = scratch_path(spark, "state")
+    write_snapshot(fx.span_state(spark, d), root, 1)
+    publish_change(spark, root, fx.change_demo(spark, d), fx.change_elig(spark, d))
+    return read_state(spark, root)
+
+
+def catalog_registration_q(spark: SparkSession, d: str) -> DataFrame:
+    """Saves providers and registrations as catalog tables in the shared folder and joins them by table name."""
+    tag = uuid.uuid4().hex[:12]
+    names = {}
+    for name, df in (("prpr", fx.prpr(spark, d)), ("prrg", fx.prrg(spark, d))):
+        names[name] = f"{name}_{tag}"
+        df.write.option("path", scratch_path(spark, name)).saveAsTable(names[name])
+    return with_registration(_detail(spark, d), spark.read.table(names["prpr"]), spark.read.table(names["prrg"])).select(
+        "CM_ELIG_SBSB_ID", "CM_ELIG_EFF_DT", "CM_PRPR_ID", "PRCR_ID", "elig_pcp_mdcd_id"
+    )
 
 
 def member_timeline_q(spark: SparkSession, d: str) -> DataFrame:
-    """Per member of the change run: rows of DEMO ⋈ ELIG ⟕ COB, rows with a COB match, first and last span."""
-    t = ch.member_timeline(fx.change_demo(spark, d), fx.change_elig(spark, d), fx.change_cob(spark, d))
-    return t.groupBy("CM_DEMO_MEME_CK").agg(
-        F.count(F.lit(1)).alias("timeline_rows"),
-        F.count("CM_COB_POLICY_ID").alias("cob_rows"),
-        F.min("CM_ELIG_EFF_DT").alias("first_eff"),
-        F.max("CM_ELIG_EFF_DT").alias("last_eff"),
-    )
+    """Per member: rows of DEMO ⋈ ELIG ⟕ COB, rows with a COB match, first and last span."""
+    return ch.timeline_counts(fx.demo(spark, d), fx.elig(spark, d), fx.cob(spark, d))
 
 
 def composite_keys_q(spark: SparkSession, d: str) -> DataFrame:
@@ -142,8 +204,8 @@ def reason_code_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 def state_scaffold_q(spark: SparkSession, d: str) -> DataFrame:
-    parts = extract_parts(fx.demo(spark, d), fx.elig(spark, d), fx.prpr(spark, d), fx.prrg(spark, d), fx.AS_OF)
-    return opt.state_scaffold(parts, fx.static_states(spark, d))
+    records = stage(_extract(spark, d), scratch_path(spark, "records"))
+    return opt.state_scaffold(records, fx.static_states(spark, d))
 
 
 QUERIES: dict[str, Query] = {
@@ -159,6 +221,10 @@ QUERIES: dict[str, Query] = {
     "extract_records": _extract,
     "extract_by_state": extract_by_state_q,
     "delimited_roundtrip": delimited_roundtrip_q,
+    "table_slice_roundtrip": table_slice_roundtrip_q,
+    "extract_file_lines": extract_file_lines_q,
+    "state_snapshot_roundtrip": state_snapshot_roundtrip_q,
+    "catalog_registration": catalog_registration_q,
     "member_timeline": member_timeline_q,
     "composite_keys": composite_keys_q,
     "state_deleted_keys": lambda s, d: _change(s, d).deleted_keys,

@@ -40,25 +40,35 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None, app: st
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session names none (local
-    tests) a fresh folder under the system temp dir is set as the checkpoint dir.
+    Read from ``spark.checkpoint.dir``. Where the session names none, a local
+    session gets a fresh folder under the system temp dir; on a cluster, whose
+    machines don't share one, that is an error.
     """
     d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master})")
         d = tempfile.mkdtemp(prefix="enrollspark-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d
     return d
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The configured shared folder itself (``spark.checkpoint.dir``), stable across applications;
-    the per-application checkpoint folder when only that is known."""
-    return spark.conf.get("spark.checkpoint.dir", None) or shared_dir(spark)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of the session's Hadoop configuration."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this run made."""
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)

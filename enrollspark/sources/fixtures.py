@@ -9,10 +9,6 @@ twin of each builder lives in :mod:`enrollspark.oracle`.
 from __future__ import annotations
 
 import datetime as _dt
-import functools
-import os
-from collections.abc import Callable
-from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,62 +22,9 @@ STATE_ORDER_MOD = 3
 TWIN_ORDER_MOD, TWIN_ORDER_REM = 50, 1
 
 
-# Primary key of each test table, used to spread a table that arrives in too few splits.
-TABLE_KEYS = {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "part": "p_partkey",
-              "supplier": "s_suppkey"}
-
-
-# A single-split table smaller than this is not worth an extra shuffle.
-SPREAD_MIN_BYTES = 2 << 20
-
-
-def _local_bytes(df: DataFrame) -> int | None:
-    total = 0
-    for uri in df.inputFiles():
-        u = urlparse(uri)
-        if u.scheme not in ("", "file"):
-            return None
-        total += os.path.getsize(u.path)
-    return total
-
-
-_PLANS: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def _memo(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Build an entity's plan once per application and table folder. A DataFrame is an
-    immutable plan, so reusing it saves only the client-side construction; every
-    query still scans and computes everything."""
-
-    @functools.wraps(build)
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), build.__name__)
-        if key not in _PLANS:
-            _PLANS[key] = build(spark, sf_dir)
-        return _PLANS[key]
-
-    return wrapper
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. When the scan yields fewer splits than the cluster's default
-    parallelism (a file of one row group) and the file is large enough to be
-    worth it, the table is hash-partitioned by its primary key so the per-row
-    work after the scan runs on every core; inputs that arrive in many splits,
-    small files and remote files are left as they are."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = TABLE_KEYS.get(name)
-    if key is None:
-        return df
-    try:
-        want = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave the scan as it is
-        return df
-    size = _local_bytes(df)
-    if splits < want and size is not None and size >= SPREAD_MIN_BYTES:
-        df = df.repartition(want, key)
-    return df
+    """A test table as it lies; Spark plans the scan."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c: str | Column) -> Column:
@@ -101,7 +44,6 @@ def _group_id(nationkey: str) -> Column:
     return F.concat(F.lpad(_s(nationkey), 2, "0"), F.lit("GRP"))
 
 
-@_memo
 def demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DEMO file: one row per member and group (from ``customer``)."""
     c = table(spark, sf_dir, "customer")
@@ -170,8 +112,8 @@ def _elig_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
         _sbsb("o_custkey").alias("CM_ELIG_SBSB_ID"),
         _s("o_custkey").alias("CM_ELIG_MEME_CK"),
         F.when(ok % 17 == 0, F.lit("X")).otherwise(_s("c_nationkey")).alias("CM_ELIG_GRGR_CK"),
-        _ymd(odate).alias("CM_ELIG_EFF_DT"),
-        term.alias("CM_ELIG_TERM_DT"),
+        F.when(ok % 19 == 0, F.concat(_ymd(odate), F.lit("  "))).otherwise(_ymd(odate)).alias("CM_ELIG_EFF_DT"),
+        F.when(ok % 23 == 0, F.concat(term, F.lit(" "))).otherwise(term).alias("CM_ELIG_TERM_DT"),
         F.when(F.col("o_orderstatus") == "P", F.lit("N")).otherwise(F.lit("Y")).alias("CM_MEPE_ELIG_IND"),
         F.when(ok % 11 == 0, F.lit("  "))
         .when(ok % 13 == 0, F.lit(None))
@@ -208,7 +150,6 @@ def _elig_rows(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
-@_memo
 def elig_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ELIG spans without twins, keeping ``o_orderkey`` (from ``orders`` ⋈ ``customer``)."""
     return _elig_rows(
@@ -217,7 +158,6 @@ def elig_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def elig(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ELIG file: one row per span plus an ``'N'`` twin of every fiftieth order's span."""
     rows = elig_base(spark, sf_dir)
@@ -228,7 +168,6 @@ def elig(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("o_orderkey", "_twin")
 
 
-@_memo
 def prpr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provider table (from ``supplier``)."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey")
@@ -238,7 +177,6 @@ def prpr(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def prrg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provider registration history (from ``part``)."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
@@ -246,12 +184,11 @@ def prrg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(
         F.concat(F.lit("C"), _s(k % 60)).alias("PRCR_ID"),
         F.when(k % 7 == 0, F.lit("NP")).when(k % 7 == 1, F.lit("MD ")).otherwise(F.lit("MD")).alias("PRRG_MCTR_TYPE"),
-        F.when(k % 31 == 0, F.lit(None)).otherwise(F.col("p_size")).cast("int").alias("PRRG_SEQ_NO"),
+        F.when(k % 31 == 0, F.lit(None)).when(k % 29 == 0, F.lit("n/a")).otherwise(_s("p_size")).alias("PRRG_SEQ_NO"),
         F.when(k % 37 == 0, F.lit(None)).otherwise(F.concat(F.lit("M"), _s(k))).alias("PRRG_ID"),
     )
 
 
-@_memo
 def cob(spark: SparkSession, sf_dir: str) -> DataFrame:
     """COB file: one row per order line (from ``lineitem`` ⋈ ``orders``)."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_returnflag")
@@ -278,7 +215,6 @@ def cob(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def span_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prior span state: every third order's span, one row per member and effective date."""
     e = elig_base(spark, sf_dir).filter(F.col("o_orderkey") % STATE_ORDER_MOD == 0)
@@ -297,28 +233,24 @@ def span_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def change_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DEMO file of a change run: the members with ``c_custkey % 4 = 1``."""
     d = demo(spark, sf_dir)
     return d.filter(F.col("CM_DEMO_MEME_CK").cast("long") % CHANGE_MEMBER_MOD == CHANGE_MEMBER_REM)
 
 
-@_memo
 def change_elig(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ELIG file of a change run: every span of the changed members."""
     e = elig(spark, sf_dir)
     return e.filter(F.col("CM_ELIG_MEME_CK").cast("long") % CHANGE_MEMBER_MOD == CHANGE_MEMBER_REM)
 
 
-@_memo
 def change_cob(spark: SparkSession, sf_dir: str) -> DataFrame:
     """COB file of a change run: the COB rows of the changed members."""
     c = cob(spark, sf_dir)
     return c.filter(F.col("CM_COB_MEME_CK").cast("long") % CHANGE_MEMBER_MOD == CHANGE_MEMBER_REM)
 
 
-@_memo
 def static_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Static list of state ids: one per nation plus one per region (the latter never has members)."""
     n = table(spark, sf_dir, "nation").select(F.lpad(_s("n_nationkey"), 2, "0").alias("STATE_ID"))
@@ -326,11 +258,11 @@ def static_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.unionByName(r)
 
 
-@_memo
 def member_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Member-span reason table: every seventh order gives its member a reason code."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return o.filter(F.col("o_orderkey") % 7 == 0).select(
+    """Member-span reason table: every order gives its member a reason code."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return o.select(
         _s("o_custkey").alias("MEME_CK"),
+        F.to_date("o_orderdate").alias("MEPE_EFF_DT"),
         F.concat(F.lit("R"), _s(F.col("o_orderkey") % 4)).alias("MEPE_MCTR_RSN"),
     )

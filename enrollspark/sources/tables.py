@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PARTITION_COLS = ["vendor", "mode", "state"]
 
@@ -24,7 +25,13 @@ def write_slice(df: DataFrame, root: str, vendor: str, mode: str, state: str) ->
 
 
 def read_slice(spark: SparkSession, root: str, vendor: str, mode: str, state: str) -> DataFrame:
-    """One run's slice of an input table, read through partition pruning; partition columns dropped."""
-    df = spark.read.parquet(root)
+    """One run's slice of an input table, read through partition pruning; partition columns dropped.
+
+    The partition columns are read as strings, so ``01`` and ``1`` are two slices.
+    A slice that isn't there has no rows.
+    """
+    data = [f for f in spark.read.parquet(root).schema.fields if f.name not in PARTITION_COLS]
+    schema = T.StructType([*data, *(T.StructField(c, T.StringType()) for c in PARTITION_COLS)])
+    df = spark.read.schema(schema).parquet(root)
     sl = df.filter((F.col("vendor") == vendor) & (F.col("mode") == mode) & (F.col("state") == state))
     return sl.drop(*PARTITION_COLS)

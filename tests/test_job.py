@@ -1,6 +1,9 @@
 """The whole run: delimited inputs through layouts, extract file, CHANGE state publication."""
 
 import glob
+import os
+
+import pytest
 
 from conftest import SF_SMALL
 from enrollspark.plans.extract import ExtractConfig, run_extract
@@ -20,7 +23,7 @@ def test_change_run_writes_file_and_next_state(spark, tmp_out):
 
     cfg = ExtractConfig(
         vendor=vendor, state=state, mode=mode, staging_dir=staging, layouts_dir=layouts, output_dir=out,
-        state_root=state_root, as_of=fx.AS_OF,
+        state_root=state_root, as_of=fx.AS_OF, single_file=True,
     )
     res = run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
     files = glob.glob(f"{res.output_path.removeprefix('file:')}/part-*")
@@ -29,7 +32,7 @@ def test_change_run_writes_file_and_next_state(spark, tmp_out):
         assert sum(1 for _ in f) == res.rows > 0
     assert res.state_version == 2 and latest_version(spark, state_root) == 2
     assert res.rejects == 5
-    assert spark.read.parquet(f"{state_root}/rejects/v=2").count() == 5
+    assert spark.read.parquet(f"{state_root}/rejects/*").count() == 5
     assert read_state(spark, state_root).count() == 682
     assert read_state(spark, state_root, 1).count() == 500
 
@@ -40,7 +43,7 @@ def test_full_run_leaves_state_alone(spark, tmp_out):
     for kind, df in (("DEMO", fx.demo(spark, d)), ("ELIG", fx.elig(spark, d))):
         write_delimited(df, input_path(staging, "V", "FULL", "DC", kind), layout_path(layouts, kind))
     cfg = ExtractConfig(vendor="V", state="DC", mode="FULL", staging_dir=staging, layouts_dir=layouts,
-                        output_dir=out, state_root=f"{tmp_out}/state", as_of=fx.AS_OF, single_file=False)
+                        output_dir=out, state_root=f"{tmp_out}/state", as_of=fx.AS_OF)
     res = run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
     assert res.rows == 332
     assert res.state_version is None
@@ -59,7 +62,7 @@ def test_command_line_job(spark, tmp_out):
     res = main(
         ["--vendor", "V", "--state", "ALL", "--mode", "FULL", "--staging-dir", staging, "--layouts-dir", layouts,
          "--output-dir", out, "--providers", f"{tmp_out}/prpr", "--registrations", f"{tmp_out}/prrg",
-         "--as-of", fx.AS_OF.isoformat(), "--parts", "--include-cob"],
+         "--as-of", fx.AS_OF.isoformat(), "--include-cob"],
         spark=spark,
     )
     assert res["rows"] == 332 + 375
@@ -95,3 +98,47 @@ def test_repeated_change_run_publishes_identical_state(spark, tmp_out):
     v3 = sorted(tuple(r) for r in read_state(spark, state_root, 3).collect())
     assert v2 == v3 and len(v2) == 682
     assert read_state(spark, state_root, 1).count() == 500
+
+
+def test_a_change_run_without_a_state_fails_before_any_work(spark, tmp_out):
+    cfg = ExtractConfig(vendor="V", state="DC", mode="CHANGE", staging_dir=f"{tmp_out}/none", layouts_dir=f"{tmp_out}/none", output_dir=f"{tmp_out}/out")
+    with pytest.raises(ValueError, match="state_root"):
+        run_extract(spark, cfg, fx.prpr(spark, SF_SMALL), fx.prrg(spark, SF_SMALL))
+    assert not os.path.exists(f"{tmp_out}/out".removeprefix("file:"))
+
+
+def test_command_line_checks_its_arguments(spark):
+    from enrollspark.__main__ import main
+
+    base = ["--vendor", "V", "--state", "DC", "--output-dir", "o", "--providers", "p", "--registrations", "r"]
+    for more, what in (
+        (["--mode", "FULL"], "--staging-dir"),
+        (["--mode", "FULL", "--demo-table", "d"], "--elig-table"),
+        (["--mode", "FULL", "--demo-table", "d", "--elig-table", "e", "--include-cob"], "--cob-table"),
+        (["--mode", "CHANGE", "--staging-dir", "s", "--layouts-dir", "l"], "--state-root"),
+    ):
+        with pytest.raises(SystemExit, match=what):
+            main(base + more, spark=spark)
+
+
+def test_table_inputs_must_have_the_columns(spark, tmp_out):
+    from enrollspark.sources.tables import write_slice
+
+    d = SF_SMALL
+    tables = {k: f"{tmp_out}/{k.lower()}" for k in ("DEMO", "ELIG")}
+    write_slice(fx.demo(spark, d), tables["DEMO"], "V", "FULL", "DC")
+    write_slice(fx.elig(spark, d).drop("CM_PRPR_NAME"), tables["ELIG"], "V", "FULL", "DC")
+    cfg = ExtractConfig(vendor="V", state="DC", mode="FULL", staging_dir="", layouts_dir="", output_dir=f"{tmp_out}/out", input_tables=tables)
+    with pytest.raises(ValueError, match="CM_PRPR_NAME"):
+        run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
+
+
+def test_staged_tables_are_removed_after_success(spark, tmp_out):
+    from enrollspark.plans.extract import build_extract, write_records
+    from enrollspark.session import shared_dir
+
+    d = SF_SMALL
+    root = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    write_records(build_extract(fx.demo(spark, d), fx.elig(spark, d), fx.prpr(spark, d), fx.prrg(spark, d), fx.AS_OF), f"{tmp_out}/x")
+    assert not [n for n in set(os.listdir(root)) - before if n.startswith("records-")]

@@ -10,8 +10,6 @@ def _plan(df):
 
 def test_no_python_udfs_anywhere(spark):
     for name, q in QUERIES.items():
-        if name == "delimited_roundtrip":
-            continue
         p = _plan(q(spark, SF_SMALL))
         assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p, name
 
@@ -22,6 +20,27 @@ def test_top_k_and_latest_use_map_side_group_limit(spark):
         assert "WindowGroupLimit" in p and "Partial" in p, name
 
 
+def test_cob_limit_lies_below_the_exchange_with_shuffle_joins(spark):
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        for name in ("cob_top5", "cob_records", "extract_with_cob"):
+            p = _plan(QUERIES[name](spark, SF_SMALL))
+            lines = p.splitlines()
+            partial = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line)
+            assert any("Exchange hashpartitioning(CM_COB_SBSB_ID" in line for line in lines[:partial]), name
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_replaced_members_need_no_window_or_distinct(spark):
+    p = _plan(QUERIES["state_kept"](spark, SF_SMALL).select("row_key"))
+    assert p.count("Window [") <= 1 and "LeftAnti" in p  # the one window makes the fixture's prior state
+
+
 def test_scans_read_only_needed_columns(spark):
     p = _plan(QUERIES["latest_registration"](spark, SF_SMALL))
     assert "ReadSchema: struct<p_partkey:bigint,p_size:int>" in p or "struct<p_partkey:bigint,p_size:int>" in p

@@ -6,9 +6,11 @@ from collections import Counter
 
 import pytest
 from helpers import DEMO_MIN, ELIG_MIN, strings
+from pyspark.sql import functions as F
 
 from enrollspark.operators.change import apply_change
-from enrollspark.operators.spans import active_members, span_detail
+from enrollspark.operators.optional import reason_code
+from enrollspark.operators.spans import active_members, span_detail, span_multiplicity
 from enrollspark.sources.state import STATE_SCHEMA
 
 AS_OF = dt.date(2020, 6, 15)
@@ -97,3 +99,59 @@ def test_hot_member_change_run(spark, skew_conf):
     # greatest CSPI_ID wins among equal keys (same term date)
     assert hot["HOT_2021-01-01"] == max(f"C{d}" for d in range(300) if d % 28 == 0)
     assert r.state_after.count() == 84 - 29 + 29
+
+
+def _final(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_member_with_many_dates_is_dealt_to_parts(spark, skew_conf):
+    """The member's span keys meet its count in several partitions."""
+    rows = [("HOT", "G", f"2020{1 + k % 5:02d}{1 + k // 5 % 28:02d}", f"2021{1 + k % 12:02d}01", "Y", "A", f"h{k}") for k in range(300)]
+    rows += [(str(k), "G", "20200101", "20201231", "Y", "A", f"e{k}") for k in range(300)]
+    demo = strings(spark, DEMO_MIN, [("HOT", "G", "x")] + [(str(k), "G", "d") for k in range(300)])
+    m = span_multiplicity(demo, strings(spark, ELIG_MIN, rows), AS_OF)
+    parts = m.filter("CM_ELIG_MEME_CK = 'HOT'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts >= 4
+    keys = {(r[0], *r[2:4]) for r in rows if r[2] <= "20200615" <= r[3]}
+    assert m.count() == len(keys)
+
+
+def test_hot_state_member_is_split(spark, skew_conf):
+    state = [(f"HOT_{k}", "HOT", dt.date(2019, 1, 1), None, hashlib.sha256(str(k).encode()).hexdigest(), "", "", "", "") for k in range(900)]
+    state += [(f"{k}_1", str(k), dt.date(2019, 1, 1), None, "", "", "", "", "") for k in range(900)]
+    demo = strings(spark, ["CM_DEMO_MEME_CK", "CM_ELIG_IND"], [("HOT", "Y"), ("3", "Y")])
+    cols = ["CM_ELIG_MEME_CK", "CM_ELIG_EFF_DT", "CM_ELIG_TERM_DT", "CM_CSPI_ID", "CM_SGSG_ID", "CM_CSCS_ID", "CM_MEPE_FI", "CM_PDPD_ID"]
+    elig = strings(spark, cols, [(m, "20210101", "20211231", "X", None, None, None, None) for m in ("HOT", "3")])
+    r = apply_change(spark.createDataFrame(state, STATE_SCHEMA).repartition(6), demo, elig)
+    assert "skew=true" in _final(r.kept)
+    assert r.kept.count() == 899 and r.deleted_keys.count() == 901
+
+
+def test_hot_reason_member_is_dealt_to_parts(spark, skew_conf):
+    spans = [("HOT", dt.date(2020, 1, 1) + dt.timedelta(days=k), f"R{k % 4}") for k in range(600)] + [(str(k), dt.date(2020, 1, 1), "R0") for k in range(200)]
+    m = strings(spark, ["CM_DEMO_MEME_CK", "CODE"], [("HOT", "001"), ("HOT", "024"), ("7", "021"), ("none", "021"), (None, "021")])
+    out = reason_code(m, spark.createDataFrame(spans, "MEME_CK string, MEPE_EFF_DT date, MEPE_MCTR_RSN string"))
+    got = Counter(tuple(r) for r in out.collect())
+    want = Counter()
+    for c, code in [("HOT", "001"), ("HOT", "024"), ("7", "021")]:
+        want.update((c, code, s[2]) for s in spans if s[0] == c)
+    want.update([("none", "021", None), (None, "021", None)])
+    assert got == want
+    assert out.filter("CM_DEMO_MEME_CK = 'HOT'").select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+
+
+def test_hot_subscriber_sends_few_rows(spark, skew_conf):
+    """Of a subscriber's policies every task sends its newest only."""
+    from enrollspark.operators.optional import cob_top, cob_with_members
+
+    cols = ["CM_COB_SBSB_ID", "CM_COB_EFF_DT", "CM_COB_POLICY_ID"]
+    rows = [("HOT", f"2020{1 + k % 12:02d}{1 + k % 28:02d}", f"p{k}") for k in range(900)] + [(f"S{k}", "20200101", "p") for k in range(300)]
+    demo = strings(spark, ["CM_DEMO_SBSB_ID"], [("HOT",), ("S1",)])
+    out = cob_with_members(cob_top(strings(spark, cols, rows)), demo)
+    want = sorted(rows[:900], key=lambda r: r[2])
+    want = sorted(want, key=lambda r: r[1], reverse=True)[:5] + [("S1", "20200101", "p")]
+    assert sorted(tuple(r) for r in out.collect()) == sorted(want)
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in p and "WindowGroupLimit" in p

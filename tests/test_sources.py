@@ -1,13 +1,24 @@
 """Layout-driven delimited input and versioned state snapshots."""
 
 import datetime as dt
+import glob
 import os
 
 import pytest
 from helpers import strings
+from pyspark.sql import functions as F
 
 from enrollspark.sources.delimited import layout_schema, read_delimited, require_columns, write_delimited
-from enrollspark.sources.state import STATE_SCHEMA, latest_version, read_state, write_snapshot
+from enrollspark.sources.state import (
+    STATE_SCHEMA,
+    latest_version,
+    read_manifest,
+    read_state,
+    retire_versions,
+    update_state,
+    versions,
+    write_snapshot,
+)
 
 
 def _write(path, text):
@@ -51,17 +62,115 @@ def test_state_versions(spark, tmp_out):
         write_snapshot(spark.createDataFrame([row], STATE_SCHEMA), root, 2)
 
 
-def test_unpublished_leftover_is_invisible_and_replaced(spark, tmp_out):
+def _row(member, day, cspi=""):
+    return (f"{member}_2020-01-{day:02d}", str(member), dt.date(2020, 1, day), None, cspi, "", "", "", "")
+
+
+def _files(root):
+    return sorted(f for f in glob.glob(f"{root.removeprefix('file:')}/data/*/bucket=*/*.parquet"))
+
+
+def test_unpublished_leftover_is_invisible(spark, tmp_out):
     root = f"{tmp_out}/state"
-    row = ("1_2020-01-01", "1", dt.date(2020, 1, 1), None, "", "", "", "", "")
-    write_snapshot(spark.createDataFrame([row], STATE_SCHEMA), root, 1)
+    write_snapshot(spark.createDataFrame([_row(1, 1)], STATE_SCHEMA), root, 1)
     # a run that died after writing data files but before publishing
-    spark.createDataFrame([row] * 5, STATE_SCHEMA).write.parquet(f"{root}/data/v=2")
-    assert latest_version(spark, root) == 1
-    assert read_state(spark, root).count() == 1
-    write_snapshot(spark.createDataFrame([row] * 3, STATE_SCHEMA), root, 2)
-    assert latest_version(spark, root) == 2
-    assert read_state(spark, root).count() == 3
+    spark.createDataFrame([_row(1, 2)] * 5, STATE_SCHEMA).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{root}/data/dead")
+    assert latest_version(spark, root) == 1 and read_state(spark, root).count() == 1
+    write_snapshot(spark.createDataFrame([_row(m, 1) for m in range(3)], STATE_SCHEMA), root, 2)
+    assert latest_version(spark, root) == 2 and read_state(spark, root).count() == 3
+
+
+def _put(spark, root, rows, hook=lambda: None):
+    new = spark.createDataFrame(rows, STATE_SCHEMA)
+
+    def change(old):
+        hook()
+        return old.join(new.select("MEME_CK").distinct(), "MEME_CK", "left_anti").select(*new.columns).unionByName(new)
+
+    return update_state(spark, root, new, change)
+
+
+def test_a_change_rewrites_only_the_buckets_of_its_members(spark, tmp_out):
+    root = f"{tmp_out}/state"
+    write_snapshot(spark.createDataFrame([_row(m, d) for m in range(200) for d in (1, 2)], STATE_SCHEMA), root, 1)
+    before = _files(root)
+    assert _put(spark, root, [_row(7, 9, "new")]) == 2
+    one, two = (read_manifest(spark, root, v)["runs"] for v in (1, 2))
+    assert sum(one[b] != two[b] for b in one) == 1
+    assert set(before) <= set(_files(root))
+    got = read_state(spark, root)
+    assert got.count() == 399 and [r["CSPI_ID"] for r in got.filter("MEME_CK = '7'").collect()] == ["new"]
+    assert read_state(spark, root, 1).count() == 400
+
+
+def test_two_runs_from_one_version_both_keep_their_change(spark, tmp_out):
+    root = f"{tmp_out}/state"
+    write_snapshot(spark.createDataFrame([_row(m, 1) for m in range(10)], STATE_SCHEMA), root, 1)
+    raced = []
+
+    def other_run_is_faster():
+        if not raced:
+            raced.append(_put(spark, root, [_row(1, 5, "other"), _row(2, 5, "other")]))
+
+    assert _put(spark, root, [_row(2, 7, "mine"), _row(3, 7, "mine")], other_run_is_faster) == 3
+    assert raced == [2]
+    got = {r["MEME_CK"]: r["CSPI_ID"] for r in read_state(spark, root).collect()}
+    assert (got["1"], got["2"], got["3"], got["4"]) == ("other", "mine", "mine", "")
+    assert len(got) == 10
+
+
+def test_retired_versions_leave_what_newer_ones_use(spark, tmp_out):
+    root = f"{tmp_out}/state"
+    write_snapshot(spark.createDataFrame([_row(m, 1) for m in range(50)], STATE_SCHEMA), root, 1)
+    for d in (2, 3, 4):
+        _put(spark, root, [_row(5, d)])
+    n = len(_files(root))
+    assert retire_versions(spark, root, 2) == [1, 2]
+    assert versions(spark, root) == [3, 4] and len(_files(root)) < n
+    assert read_state(spark, root).count() == 50 and read_state(spark, root, 3).count() == 50
+
+
+def test_a_change_may_not_put_other_members(spark, tmp_out):
+    root = f"{tmp_out}/state"
+    members = spark.createDataFrame([("1",)], "MEME_CK string")
+    rows = spark.createDataFrame([_row(m, 1) for m in range(40)], STATE_SCHEMA)
+    with pytest.raises(ValueError, match="doesn't name"):
+        update_state(spark, root, members, lambda old: rows)
+
+
+def test_slices_with_names_alike_stay_apart(spark, tmp_out):
+    from enrollspark.sources.tables import read_slice, write_slice
+
+    for state in ("01", "1", "1.0", "ALL"):
+        write_slice(strings(spark, ["K"], [(state,)]), f"{tmp_out}/t", "V", "FULL", state)
+    for state in ("01", "1", "1.0", "ALL"):
+        assert [r["K"] for r in read_slice(spark, f"{tmp_out}/t", "V", "FULL", state).collect()] == [state]
+    assert read_slice(spark, f"{tmp_out}/t", "V", "FULL", "2").count() == 0
+
+
+def test_rows_appended_to_a_table_are_seen(spark, tmp_out):
+    from enrollspark.sources import fixtures as fx
+
+    s = spark.read.parquet("/root/testdata/sf0.001/supplier.parquet")
+    s.write.parquet(f"{tmp_out}/supplier.parquet")
+    n = fx.prpr(spark, tmp_out).count()
+    s.write.mode("append").parquet(f"{tmp_out}/supplier.parquet")
+    assert fx.prpr(spark, tmp_out).count() == 2 * n
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from enrollspark.session import shared_dir
+
+    def session(master, folder=None):
+        context = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: folder))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(master))
+        assert shared_dir(session(master, "hdfs:///shared")) == "hdfs:///shared"
 
 
 def test_table_slices_are_read_by_partition_pruning(spark, tmp_out):
