@@ -29,7 +29,7 @@ def test_cob_limit_lies_below_the_exchange_with_shuffle_joins(spark):
         for name in ("cob_top5", "cob_records", "extract_with_cob"):
             p = _plan(QUERIES[name](spark, SF_SMALL))
             lines = p.splitlines()
-            partial = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line)
+            partial = next(i for i, line in enumerate(lines) if "WindowGroupLimit [CM_COB_SBSB_ID" in line and "Partial" in line)
             assert any("Exchange hashpartitioning(CM_COB_SBSB_ID" in line for line in lines[:partial]), name
     finally:
         for k, v in old.items():
