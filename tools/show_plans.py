@@ -2,8 +2,7 @@
 
     python tools/show_plans.py [sf_dir] > docs/plans.md
 
-Broadcasts are switched off so the plans have the shape they take on large inputs; the test
-tables are read without the single-split spreading so only the operators' own exchanges show.
+Broadcasts are switched off so the plans have the shape they take on large inputs.
 """
 
 from __future__ import annotations
@@ -17,7 +16,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from enrollspark.plans.extract import sort_records  # noqa: E402
 from enrollspark.plans.queries import QUERIES  # noqa: E402
 from enrollspark.session import local_session  # noqa: E402
-from enrollspark.sources import fixtures as fx  # noqa: E402
 
 KEEP = re.compile(
     r"(Exchange|Join|Aggregate|Window|WindowGroupLimit|Generate|Union|Sort |Expand|ReusedExchange|FileScan|AQEShuffleRead)"
@@ -44,7 +42,6 @@ def main() -> None:
     spark = local_session()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    fx.TABLE_KEYS.clear()
     print("# Final plans with every join as a shuffle join\n")
     print(f"Generated by `tools/show_plans.py {sf}`; node ids and plan ids removed, long lines cut.\n")
     shown = {
