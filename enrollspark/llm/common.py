@@ -57,7 +57,18 @@ def crc_bucket(id_col: Column, mod: int) -> Column:
     return F.crc32(text_or_empty(id_col.cast("string"))) % mod
 
 
-def number_rows(df: DataFrame, group: str, order: list[Column], out: str, rows_per_bucket: int = 20_000) -> DataFrame:
+def filter_above(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on columns that ``df`` computes, without computing them twice.
+
+    A plain filter is pushed below the projections, with the whole expression of every
+    column written out once for each use. The row number, which is never negative,
+    isn't deterministic to Spark, so the filter stays above it; the rows kept are the same.
+    """
+    (row,) = private(df, "row")
+    return df.withColumn(row, F.monotonically_increasing_id()).filter(condition & (F.col(row) >= 0)).drop(row)
+
+
+def number_rows(df: DataFrame, group: str, order: list[Column], out: str, rows_per_bucket: int = 4096) -> DataFrame:
     """Add ``out``: a gapless number from 0 within each ``group``, rows in ``order``.
 
     No group is gathered in one task, however large: rows are dealt to buckets of a

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from enrollspark.llm.common import private
+from enrollspark.llm.common import filter_above, private
 from enrollspark.llm.textstats import STATS, free_prefix, stat_columns, with_counts
 
 MAX_FIT = 20_000
@@ -220,4 +220,4 @@ def score_quality(docs: DataFrame, model: RuleModel, score: str = "score", text:
 def filter_quality(docs: DataFrame, model: RuleModel, point: float = POINT, text: str = "text") -> DataFrame:
     """The rows whose score is at least ``point``, with their own columns only."""
     (s,) = private(docs, "score")
-    return score_quality(docs, model, s, text).filter(F.col(s) >= point).drop(s)
+    return filter_above(score_quality(docs, model, s, text), F.col(s) >= point).drop(s)
