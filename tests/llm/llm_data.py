@@ -1,0 +1,51 @@
+"""Small tables for the tests of the training-data operators."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import types as T
+
+DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+LABEL_SCHEMA = "doc_id long, quality int, toxic int"
+SF = "/root/testdata/sf0.001"
+
+WORDS = "the river bank holds many stones under clear water while birds pass over green hills and small houses stand near old roads that lead to quiet towns".split()
+
+
+def prose(seed: int, n: int) -> str:
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) + r.choice(["", "", "", ",", ".\n"]) for _ in range(n))
+
+
+def documents(spark, rows):
+    """Rows of (doc_id, text) or (doc_id, text, source)."""
+    full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s0", None if r[1] is None else len(r[1])) for r in rows]
+    return spark.createDataFrame(full, DOC_SCHEMA)
+
+
+def edge_rows():
+    """Null and empty texts, a null id, repeated rows, a long text, a text without ASCII."""
+    return [
+        (1, None),
+        (2, ""),
+        (3, " \t\n "),
+        (None, "a text without an id"),
+        (4, "same row"),
+        (4, "same row"),
+        (5, prose(5, 30_000)),
+        (6, "x" * 50_000),
+        (7, "été ça   日本語 \U0001f600 text"),
+        (8, "one"),
+    ]
+
+
+def clashing(df, *names):
+    """The table with further columns whose names operators use themselves."""
+    from pyspark.sql import functions as F
+
+    return df.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+
+
+def strings(rows):
+    return T.StructType([T.StructField(c, T.StringType()) for c in rows])

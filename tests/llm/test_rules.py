@@ -1,0 +1,63 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from enrollspark.llm import rules
+from enrollspark.llm.common import crc_bucket, read_table
+from enrollspark.llm.textstats import STATS
+from llm_data import LABEL_SCHEMA, SF, clashing, documents, edge_rows
+
+
+def test_lasso_keeps_the_rules_that_matter():
+    rng = np.random.default_rng(1)
+    x = rng.random((800, len(STATS)))
+    y = ((x[:, 2] > 0.6) & (x[:, 4] <= 0.5)).astype(float)
+    m = rules.fit_rules(x, y)
+    t = rng.random((800, len(STATS)))
+    truth = (t[:, 2] > 0.6) & (t[:, 4] <= 0.5)
+    score = 1 / (1 + np.exp(-m.margin(t)))
+    assert ((score >= rules.POINT) == truth).mean() > 0.95
+    assert 0 < len(m.rules) < len(rules.tree_rules(x, y))
+
+
+def test_paths_are_conjunctions_of_thresholds():
+    rng = np.random.default_rng(2)
+    x = rng.random((300, 4))
+    got = rules.tree_rules(x, (x[:, 0] > 0.5).astype(float), trees=5)
+    assert got and all(1 <= len(r) <= rules.DEPTH for r in got)
+    assert rules.holds(((0, True, 0.5), (1, False, 0.5)), x).tolist() == ((x[:, 0] > 0.5) & (x[:, 1] <= 0.5)).tolist()
+
+
+def test_compiled_column_equals_the_model(spark):
+    docs, labels = read_table(spark, SF, "documents"), read_table(spark, SF, "labels")
+    m = rules.learn_quality(docs, labels, crc_bucket(F.col("doc_id"), 5) != 0)
+    from enrollspark.llm.textstats import stat_columns, with_counts
+
+    d = with_counts(docs, "q_").select("doc_id", *stat_columns("q_"))
+    rows = d.select("*", m.score().alias("score")).collect()
+    x = np.array([[r[s] for s in STATS] for r in rows])
+    assert np.allclose([r["score"] for r in rows], 1 / (1 + np.exp(-m.margin(x))))
+    d._jdf.queryExecution().executedPlan()
+    assert "Python" not in rules.score_quality(docs, m)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_held_out_accuracy(spark):
+    d = SF.replace("0.001", "0.01")
+    docs, labels = read_table(spark, d, "documents"), read_table(spark, d, "labels")
+    held = crc_bucket(F.col("doc_id"), 5) == 0
+    m = rules.learn_quality(docs, labels, ~held)
+    got = rules.score_quality(docs.filter(held).join(labels, "doc_id"), m).select("quality", "score").collect()
+    right = [(r["score"] >= rules.POINT) == (r["quality"] == 1) for r in got]
+    assert sum(right) / len(right) >= 0.9
+
+
+def test_edges(spark):
+    docs = clashing(documents(spark, edge_rows()), "score_", "st_", "counts")
+    labels = spark.createDataFrame([(2, 1, 0), (4, 0, 0), (4, 1, 0), (None, 1, 1), (8, None, 1)], LABEL_SCHEMA)
+    m = rules.learn_quality(docs, labels, F.lit(True))
+    out = rules.score_quality(docs, m)
+    assert out.columns == [*docs.columns, "score"]
+    rows = out.collect()
+    assert len(rows) == len(edge_rows()) and all(0 < r["score"] < 1 for r in rows)
+    assert len({r["score"] for r in rows if r["doc_id"] in (1, 2, 3)}) == 1
+    assert rules.learn_quality(docs, labels.limit(0), F.lit(True)).rules == ()
+    assert rules.filter_quality(documents(spark, []), m).columns == documents(spark, []).columns

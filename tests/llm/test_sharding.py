@@ -1,0 +1,71 @@
+import zlib
+
+from pyspark.sql import functions as F
+
+from enrollspark.llm import sharding as S
+from enrollspark.llm.common import number_rows, read_table
+from llm_data import SF, clashing, documents, edge_rows
+
+
+def test_all_columns(spark):
+    rows = [*edge_rows(), *((100 + k, f"text {k % 50}") for k in range(400))]
+    got = S.place_documents(documents(spark, rows)).collect()
+    assert len(got) == len(rows)
+    want = sorted((str(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in got) == want
+    slots = {}
+    for r in got:
+        assert r["law"] == "key" and 0 <= r["shard"] < 16 and r["grown_shard"] in (r["shard"], 16)
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert S.place_documents(documents(spark, [])).count() == 0
+
+
+def test_the_key_alone_decides(spark):
+    a = S.place_documents(documents(spark, [(k, "x") for k in range(200)])).collect()
+    b = S.place_documents(documents(spark, [(k, f"y{k}") for k in range(500)])).collect()
+    where = {r["doc_id"]: r["shard"] for r in b}
+    assert all(where[r["doc_id"]] == r["shard"] for r in a)
+
+
+def test_shares_follow_weights_and_moves_stay_in_changed_subtrees(spark):
+    keys = spark.range(40_000).withColumnRenamed("id", "doc_id")
+    tree = ((((0, 1.0), (1, 3.0)), ((2, 2.0),)), (((3, 1.0), (4, 1.0)),), (((5, 2.0),), ((6, 0.0),)))
+    got = {r["shard"]: r["count"] for r in S.assign_shards(keys, tree).groupBy("shard").count().collect()}
+    for s, w in {0: 1, 1: 3, 2: 2, 3: 1, 4: 1, 5: 2}.items():
+        assert abs(got[s] / 40_000 - w / 10) < 0.012
+    assert 6 not in got
+    # shard 3 becomes heavier: rows come into its region only, and nothing moves between other regions
+    heavier = (tree[0], (((3, 2.0), (4, 1.0)),), tree[2])
+    moves = S.movement(keys, tree, heavier).collect()
+    region = {0: 0, 1: 0, 2: 0, 3: 1, 4: 1, 5: 2}
+    assert moves and all(region[m["new_shard"]] == 1 for m in moves)
+    assert all(m["new_shard"] == 3 for m in moves if region[m["old_shard"]] == 1)
+
+
+def test_growth_moves_rows_into_the_new_shard_only(spark):
+    keys = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    for n in (16, 17, 18):
+        moves = S.movement(keys, S.shard_tree(n), S.shard_tree(n + 1)).collect()
+        assert {m["new_shard"] for m in moves} == {n}
+        assert abs(sum(m["rows"] for m in moves) / 20_000 - 1 / (n + 1)) < 0.01
+
+
+def test_names_do_not_clash(spark):
+    d = clashing(documents(spark, edge_rows()), "bucket", "row", "rows", "start", "slot")
+    out = S.place_documents(d)
+    assert out.count() == len(edge_rows())
+
+
+def test_numbering_is_gapless_over_many_buckets(spark):
+    d = spark.range(3000).select(F.col("id"), (F.col("id") % 3 == 0).cast("int").alias("g"), F.lit(1).alias("rows"))
+    got = number_rows(d, "g", [F.col("id")], "n", rows_per_bucket=100).collect()
+    for g in (0, 1):
+        n = sorted(r["n"] for r in got if r["g"] == g)
+        assert n == list(range(len(n)))
+
+
+def test_balance_on_the_test_table(spark):
+    d = read_table(spark, SF.replace("0.001", "0.1"), "documents")
+    got = S.place_documents(d).groupBy("shard").count().collect()
+    assert len(got) == 16 and max(r["count"] for r in got) < 1.25 * 10_000 / 16

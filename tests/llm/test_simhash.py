@@ -1,0 +1,154 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from enrollspark.llm import simhash as S
+from enrollspark.llm.common import read_table
+from enrollspark.llm.components import components
+from llm_data import SF, clashing, documents, edge_rows, prose
+
+
+def brute_fingerprint(text, n=4):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    import re
+
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not w:
+        return 0
+    sh = [" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))]
+    hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def brute_components(rows):
+    """doc -> smallest reachable doc id, by comparing all pairs."""
+    f = [(i, brute_fingerprint(t)) for i, t in rows]
+    root = list(range(len(f)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(f)):
+        for j in range(i):
+            if (f[i][1] ^ f[j][1]).bit_count() <= 4:
+                root[find(i)] = find(j)
+    least = {}
+    for k, (i, _) in enumerate(f):
+        if i is not None:
+            r = find(k)
+            least[r] = min(least.get(r, i), i)
+    return sorted(((i is None, i or 0), f"{v:016x}", least.get(find(k))) for k, (i, v) in enumerate(f))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="aAbÉ \t\n\x0b\x1c.", max_size=80))
+def test_fingerprint(text):
+    assert S.fingerprint(text) == brute_fingerprint(text)
+
+
+def test_golay_code_covers_with_radius_three():
+    one, by = S._errors(S.BLOCKS[0])
+    assert len(by) == 2048 and all(len(p) >= 1 for p in by)
+    # perfect code: exactly one pattern of weight 3 or less for every syndrome
+    assert all(sum(int(e).bit_count() <= 3 for e in p) == 1 for p in by)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 2**64 - 1), st.lists(st.integers(0, 63), min_size=0, max_size=4, unique=True))
+def test_close_fingerprints_meet_at_an_anchor(a, flips):
+    b = a
+    for k in flips:
+        b ^= 1 << k
+    met = False
+    for block in S.BLOCKS:
+        place, anchor = S.anchors(np.array([a, b], np.uint64), block)
+        met |= bool({*anchor[place == 0].tolist()} & {*anchor[place == 1].tolist()})
+    assert met
+
+
+def test_components_of_random_graphs(spark):
+    r = random.Random(7)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(400, 460)] + [(900, 500 + k) for k in range(80)]
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    want = {i: find(i) for a, b in links if a != b for i in (a, b)}
+    got = components(spark.createDataFrame([*links, *links[:5], (None, 3)], "a long, b long")).collect()
+    assert {r["node"]: r["root"] for r in got} == want and len(got) == len(want)
+
+
+def test_components_of_nothing(spark):
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def near_copies():
+    base = prose(11, 400).split(" ")
+    rows = []
+    for k in range(40):
+        w = list(base)
+        w[k * 7] = "other"
+        rows.append((1000 + k, " ".join(w)))
+    return [*rows, (5000, " ".join(base)), (4999, " ".join(base)), (6000, None)]
+
+
+def key(r):
+    return (r["doc_id"] is None, r["doc_id"] or 0), r["fingerprint"], r["component_id"]
+
+
+def test_groups_equal_all_pairs(spark):
+    rows = [*edge_rows(), *near_copies()]
+    got = sorted(key(r) for r in S.near_duplicates(documents(spark, rows)).collect())
+    assert got == brute_components(rows)
+
+
+def test_groups_of_the_test_table(spark):
+    docs = read_table(spark, SF, "documents")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert sorted(key(r) for r in S.near_duplicates(docs).collect()) == brute_components(rows)
+
+
+@pytest.mark.parametrize("most", [3, 4096])
+def test_crowded_anchors_are_dealt_to_parts_without_loss(spark, most):
+    r = random.Random(3)
+    fps = {0}
+    while len(fps) < 60:
+        fps.add(r.choice(sorted(fps)) ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)))
+    d = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    links = S.near_links(d, most).collect()
+    assert all(((a ^ b) & (2**64 - 1)).bit_count() <= 4 for a, b in links)
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert len({x["root"] for x in got}) == 1 and len(got) == 60
+
+
+def test_one_of_each_group_stays(spark):
+    rows = [*edge_rows(), *near_copies(), (None, "another text without an id"), (None, "another text without an id")]
+    d = clashing(documents(spark, rows), "fp", "root", "component_id", "keep")
+    out = S.drop_near_duplicates(d)
+    assert out.columns == d.columns
+    got = out.collect()
+    want = brute_components([r[:2] for r in rows])
+    named = sorted({c for _, _, c in want if c is not None})
+    assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == named
+    bare = {f for _, f, c in want if c is None}
+    assert sum(r["doc_id"] is None for r in got) == len(bare)
+    assert S.drop_near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_empty_table(spark):
+    out = S.near_duplicates(documents(spark, []))
+    assert out.columns == ["doc_id", "fingerprint", "component_id"] and out.count() == 0
+
+
