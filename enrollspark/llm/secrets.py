@@ -71,6 +71,15 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
     total = [0.0]
     for x in one:
         total.append(total[-1] + x)
+    # from the right: how far characters repeat those p places on, and where a keyboard walk ends
+    again = {p: [0] * (n + 1) for p in range(1, LONGEST_BLOCK + 1)}
+    walk, turns = [n] * (n + 1), [0] * (n + 3)
+    for i in range(n - 1, -1, -1):
+        for p, run in again.items():
+            if i + p < n and low[i] == low[i + p]:
+                run[i] = run[i + 1] + 1
+        walk[i] = walk[i + 1] if i + 1 < n and (low[i], low[i + 1]) in NEXT_KEY else i + 1
+        turns[i] = turns[i + 1] + (i >= 2 and low[i] == low[i - 2])
     best = [0.0] + [math.inf] * n
     for i in range(n):
         at = best[i]
@@ -83,19 +92,13 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
                 spans.append((k, math.log10(r + 1) + extra + (0.0 if value[i:k] == low[i:k] else math.log10(2))))
         if m := DATE.match(value, i):
             spans.append((m.end(), math.log10(130 * (366 if m.end() - i > 4 else 1))))
-        for p in range(1, LONGEST_BLOCK + 1):
-            if i + 2 * p > n or low[i : i + p] != low[i + p : i + 2 * p]:
-                continue
-            block, times = low[i : i + p], 2
-            while low.startswith(block, i + times * p):
-                times += 1
-            spans.append((i + times * p, total[i + p] - total[i] + math.log10(times)))
-        k, turns = i + 1, 0
-        while k < n and (low[k - 1], low[k]) in NEXT_KEY:
-            turns += k - i >= 2 and low[k] == low[k - 2]
-            k += 1
+        for p, run in again.items():
+            if run[i] >= p:
+                times = 1 + run[i] // p
+                spans.append((i + times * p, total[i + p] - total[i] + math.log10(times)))
+        k = walk[i]
         if k - i >= LEAST_WALK:
-            spans.append((k, math.log10(47 * 4 * (k - i)) + turns * math.log10(4)))
+            spans.append((k, math.log10(47 * 4 * (k - i)) + (turns[i + 2] - turns[k]) * math.log10(4)))
         for k, cost in spans:
             c = at + cost + SEGMENT
             if c < best[k]:
