@@ -209,8 +209,10 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, most: int
     sample = labelled_sample(docs, labels, "toxic", learn, most).withColumn("text", text_or_empty(F.col("text")))
     sample = sample.groupBy(F.xxhash64("text").alias("h")).agg(F.min_by(F.struct("doc_id", "text", "label"), "doc_id").alias("r"))
     sample = stage(sample.select("r.*", (F.pmod("h", F.lit(4)) == 0).alias("kept")), "labelled")
-    windows = sample.select("text").mapInPandas(_sample_windows, "h long, stems string").orderBy("h", "stems").limit(MAX_WINDOWS)
-    windows = [r["stems"].split(" ") for r in windows.collect()]
+    windows = stage(sample.select("text").mapInPandas(_sample_windows, "h long, stems string"), "windows")
+    share = min(1.0, 0.9 * MAX_WINDOWS / max(1, windows.count()))
+    windows = windows.filter(F.col("h") <= min((1 << 63) - 1, int(share * (1 << 63)))).limit(MAX_WINDOWS)
+    windows = [s.split(" ") for s in sorted(r["stems"] for r in windows.collect())]
     size = {(r["kept"], r["label"]): r["count"] for r in sample.groupBy("kept", "label").count().collect()}
 
     def fit(part: DataFrame, folds: tuple[bool, ...]):
