@@ -109,7 +109,7 @@ def search_shard(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray
 
 
 def _cell(k: int):
-    def run(key, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         for n, some in queries.groupby(queries["vec"].map(len)):
             near = vectors[vectors["vec"].map(len) == n]

@@ -156,7 +156,7 @@ def _ordered(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _island(limit: int, generations: int):
-    def run(key, pieces: pd.DataFrame, elites: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pieces: pd.DataFrame, elites: pd.DataFrame) -> pd.DataFrame:
         cell, island, at = (int(v) for v in key)
         lengths = _ordered(pieces)["length"].astype(int).tolist()
         came = []
@@ -173,7 +173,7 @@ def _island(limit: int, generations: int):
     return run
 
 
-def _placed(key, pieces: pd.DataFrame, best: pd.DataFrame) -> pd.DataFrame:
+def _placed(key: tuple, pieces: pd.DataFrame, best: pd.DataFrame) -> pd.DataFrame:
     out = _ordered(pieces)
     bins = best.sort_values("place")["bin"].to_numpy(np.int64)
     out["sequence_id"] = (int(key[0]) << 32) + bins
