@@ -29,6 +29,7 @@ from enrollspark.llm.components import components
 SHINGLE = 4
 BITS = 4
 SEED = 42
+ROWS_PER_TASK = 50_000  # of fingerprints at anchors: few bytes, but compared with each other
 MOST_AT_ANCHOR = 4096  # fingerprints compared in one group; an anchor with more is dealt to pairs of parts
 
 
@@ -141,7 +142,7 @@ def forest(fps: np.ndarray, split: int | None = None, bits: int = BITS) -> list[
     return out
 
 
-def _compare(key, part: pd.DataFrame) -> pd.DataFrame:
+def _compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
     """Links within one cell of an anchor: a part with itself, or one part against another."""
     _, one, two = key
     if one == two:
@@ -167,6 +168,8 @@ def near_links(fps: DataFrame, most: int = MOST_AT_ANCHOR) -> DataFrame:
     d = d.withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
     d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     d = d.select("anchor", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"), "part", "fp")
+    # by rows, as Spark would count bytes and give the comparisons to few tasks
+    d = d.repartition(max(1, -(-at.count() // ROWS_PER_TASK)), "anchor", "one", "two")
     return d.groupBy("anchor", "one", "two").applyInPandas(_compare, "a long, b long").distinct()
 
 
