@@ -25,7 +25,7 @@ from enrollspark.llm.textstats import STATS, free_prefix, stat_columns, with_cou
 
 MAX_FIT = 20_000
 SEED = 11
-TREES = 60
+TREES = 30
 DEPTH = 3
 CUTS = 24  # candidate thresholds of a statistic in a node
 LEAST_ROWS = 8  # labelled rows on each side of a split
@@ -121,7 +121,13 @@ def lasso(z: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float, star
     """Weights (intercept last) of the L1-penalised logistic loss by accelerated proximal gradient."""
     w, v, t = start.copy(), start.copy(), 1.0
     weight = weight / weight.sum()
-    step = 4.0 / max(np.linalg.norm(z * np.sqrt(weight)[:, None], 2) ** 2 + 1.0, 1e-9)
+    v1 = np.ones(z.shape[1] + 1)
+    for _ in range(30):  # the largest eigenvalue of the weighted second moments, the intercept's column included
+        u = weight * (z @ v1[:-1] + v1[-1])
+        v1 = np.append(z.T @ u, u.sum())
+        size = float(np.linalg.norm(v1))
+        v1 /= max(size, 1e-30)
+    step = 4.0 / max(1.1 * size, 1e-9)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ v[:-1] + v[-1], -35, 35)))
         r = weight * (p - y)
@@ -186,10 +192,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     """
     usable = labels.filter(learn & F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     # about twice as many as wanted pass the threshold, so that the sort sees a bounded number of rows
-    share = 2.0 * most / max(1, usable.count())
+    share = min(1.0, 2.0 * most / max(1, usable.count()))
     h = F.xxhash64(F.col("doc_id"), F.lit(SEED))
-    some = usable if share >= 1 else usable.filter(F.pmod(h, F.lit(1 << 30)) < int(share * (1 << 30)))
-    picked = some.orderBy(h, "doc_id").limit(most)
+    picked = usable.filter(h <= F.lit(min((1 << 63) - 1, int((share - 0.5) * (1 << 64))))).orderBy(h, "doc_id").limit(most)
     # at most ``most`` pairs of an id and a label
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
