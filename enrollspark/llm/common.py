@@ -71,10 +71,10 @@ def filter_above(df: DataFrame, condition: Column) -> DataFrame:
 def number_rows(df: DataFrame, group: str, order: list[Column], out: str, rows_per_bucket: int = 4096) -> DataFrame:
     """Add ``out``: a gapless number from 0 within each ``group``, rows in ``order``.
 
-    No group is gathered in one task, however large: rows are dealt to buckets of a
-    group by the hash of their order keys, numbered in their bucket, and start
-    after the buckets before theirs. The number of buckets follows the number of
-    rows, so a bucket stays near ``rows_per_bucket``. Rows with equal order keys
+    No group is gathered in one task, however large: rows are dealt to buckets by the
+    hash of their order keys whatever their group, numbered by group in their bucket,
+    and start after their group's rows in the buckets before. The number of buckets
+    follows the number of rows, so a bucket stays near ``rows_per_bucket``. Rows with equal order keys
     are numbered in any way; the numbers of a group are in hash order, not key order.
     ``df`` is read twice, so give a staged or cheap one.
     """
@@ -82,12 +82,13 @@ def number_rows(df: DataFrame, group: str, order: list[Column], out: str, rows_p
     total = df.select(F.count(F.lit(1))).first()[0]
     buckets = max(1, -(-total // rows_per_bucket))
     d = df.withColumn(b, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    dealt = d.repartition(F.col(b))  # by bucket alone: a group's size makes no task larger
     w = Window.partitionBy(group, b).orderBy(*order)
     counts = d.groupBy(group, b).agg(F.count(F.lit(1)).alias(n))
     before = Window.partitionBy(group).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(F.col(group).alias(f"{s}_g"), F.col(b).alias(f"{s}_b"), F.coalesce(F.sum(n).over(before), F.lit(0)).alias(s))
     return (
-        d.withColumn(r, F.row_number().over(w) - 1)
+        dealt.withColumn(r, F.row_number().over(w) - 1)
         .join(starts, F.col(group).eqNullSafe(F.col(f"{s}_g")) & (F.col(b) == F.col(f"{s}_b")))
         .withColumn(out, F.col(s) + F.col(r))
         .drop(b, r, s, f"{s}_g", f"{s}_b")
