@@ -37,8 +37,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 2048 tokens and their places in sequences."""
-    return packing.pack_documents(docs)
+    """Pieces of at most 2048 tokens and their places in sequences, which follow the mixed stream."""
+    return packing.pack_stream(docs)
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("secret_scan", secret_scan), ("mix", mix), ("pack", pack)]

@@ -6,7 +6,8 @@ population of packings whose genes are whole sequences. Crossover injects well-f
 sequences of one parent into the other, removes the sequences there that hold one of
 their pieces, and puts the displaced pieces where they fit best. After every round an
 island's best packing migrates to the other islands of its cell; the best island's
-packing stands at the end.
+packing stands at the end. Where the rows' order counts (``pack_stream``), cells are
+contiguous ranges of it and sequences are numbered along it.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from enrollspark.llm.common import stage
@@ -32,6 +33,8 @@ POPULATION = 4
 GENERATIONS = 6
 SEED = 5
 
+ROWS = 1024  # rows of a file that are numbered together
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -47,18 +50,19 @@ def cut(n: int, limit: int = LIMIT) -> list[tuple[int, int]]:
     return [(0, min(n, first)), *((s, limit) for s in range(first, n, limit))]
 
 
-def _pieces(path: str | None, limit: int):
+def _pieces(path: str | None, limit: int, keep: tuple[str, ...] = ()):
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = encoder(path or vocabulary())
         for part in parts:
-            rows = []
-            for doc, text in zip(part["doc_id"], part["text"]):
+            rows, came = [], []
+            for at, (doc, text) in enumerate(zip(part["doc_id"], part["text"])):
                 ids = np.append(made.ids(text or ""), np.uint32(END)).astype("<u4")
                 for k, (s, n) in enumerate(cut(len(ids), limit)):
                     rows.append((doc, k, s, n, zlib.crc32(ids[s : s + n].tobytes())))
+                    came.append(at)
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
             out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            yield out.assign(**{c: part[c].to_numpy()[np.array(came, int)] for c in keep})
 
     return run
 
@@ -68,6 +72,24 @@ def token_pieces(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_pieces(path, limit), PIECES)
 
 
+def stream_pieces(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
+    """The pieces with ``number``, their gapless place from 0 along the stream that the files of ``docs`` are.
+
+    The stream is the files by part number and name, each in row order; ``docs`` must
+    be a table read from Parquet files. Pieces are numbered in ranges of ROWS rows of a
+    file, which start after the ranges before.
+    """
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    made = stage(d.mapInPandas(_pieces(path, limit, ("file", "row")), f"{PIECES}, file string, row long"), "stream")
+    made = made.withColumn("range", F.floor(F.col("row") / ROWS))
+    part = F.regexp_extract(F.element_at(F.split("file", "/"), -1), r"^part-(\d+)", 1).try_cast("long")
+    before = Window.orderBy(part, "file", "range").rowsBetween(Window.unboundedPreceding, -1)  # over ranges, not rows
+    starts = made.groupBy("file", "range").agg(F.count(F.lit(1)).alias("n")).withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    own = Window.partitionBy("file", "range").orderBy("row", "piece")
+    numbered = made.withColumn("at", F.row_number().over(own) - 1).join(starts.drop("n"), ["file", "range"])
+    return numbered.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("at")).alias("number"))
+
+
 class Packing:
     """A packing of pieces 0..n-1: its sequences, and what is free in each."""
 
@@ -151,7 +173,9 @@ def evolve(lengths: list[int], limit: int, elites: list[list[list[int]]], rng: n
 
 
 def _ordered(part: pd.DataFrame) -> pd.DataFrame:
-    """A cell's pieces in an order that every island and round agrees on; rows equal in all columns may change places."""
+    """A cell's pieces in an order that every island and round agrees on: the stream's, if they have one; rows equal in all columns may change places."""
+    if "number" in part:
+        return part.sort_values("number").reset_index(drop=True)
     return part.sort_values(["doc_id", "piece", "start", "length", "ids_crc32"], na_position="first", kind="stable").reset_index(drop=True)
 
 
@@ -173,9 +197,20 @@ def _island(limit: int, generations: int):
     return run
 
 
+def _along(bins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The bins numbered by the place of their longest piece, the first of several; a place by piece."""
+    order = np.lexsort((np.arange(len(bins)), -lengths, bins))
+    _, first, at = np.unique(bins[order], return_index=True, return_inverse=True)
+    out = np.empty(len(bins), np.int64)
+    out[order] = np.argsort(np.argsort(order[first]))[at]
+    return out
+
+
 def _placed(key: tuple, pieces: pd.DataFrame, best: pd.DataFrame) -> pd.DataFrame:
     out = _ordered(pieces)
     bins = best.sort_values("place")["bin"].to_numpy(np.int64)
+    if "number" in out:
+        bins = _along(bins, out["length"].to_numpy())
     out["sequence_id"] = (int(key[0]) << 32) + bins
     out["offset"] = out.groupby("sequence_id")["length"].cumsum() - out["length"]
     return out[["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]]
@@ -185,12 +220,18 @@ def pack_pieces(pieces: DataFrame, limit: int = LIMIT, islands: int = ISLANDS, r
     """Add sequence_id and offset: every piece once, in sequences of at most ``limit``, gapless from 0.
 
     The number of cells follows the number of pieces, whose hash deals them out, so
-    no document, source or group of copies makes a cell large. Repeated rows are packed
+    no document, source or group of copies makes a cell large. Pieces with a ``number``
+    (gapless from 0) are dealt by it: a cell is the next CELL pieces, and sequence_id
+    rises with the number of a sequence's longest piece. Repeated rows are packed
     as often as they come; an empty table gives an empty result.
     """
     pieces = stage(pieces, "pieces")
     cells = max(1, -(-pieces.count() // CELL))
-    p = pieces.withColumn("cell", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(cells)).cast("int"))
+    if "number" in pieces.columns:
+        cell = F.floor(F.col("number") / CELL)
+    else:
+        cell = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(cells))
+    p = pieces.withColumn("cell", cell.cast("int"))
     every = F.array(*map(F.lit, range(islands)))
     came = pieces.sparkSession.range(0).selectExpr("0 AS cell", "0 AS island", "0 AS source", "id AS place", "id AS bin")
     for at in range(rounds):
@@ -209,3 +250,8 @@ def pack_pieces(pieces: DataFrame, limit: int = LIMIT, islands: int = ISLANDS, r
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Pieces of every document and where they stand; a repeated document is packed as often as it comes."""
     return pack_pieces(token_pieces(docs, path))
+
+
+def pack_stream(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """As ``pack_documents``, in the order of the rows in their files, which the sequences follow cell by cell."""
+    return pack_pieces(stream_pieces(docs, path))
