@@ -1,34 +1,37 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame operations only.
 
-The documents of a source are put in hash order and cut into blocks. In a period of P
-slots a source with share s gets s blocks; its block k is released at floor(k P / s) and
-due at ceil((k + 1) P / s), and at every slot the released block with the earliest
-deadline runs. As the shares add up to P, every block meets its window, so after t slots
-a source is less than one block from t s / P, and at the period's end exactly there. A
-period is repeated as long as every source has blocks for it; the next period gives a
-source that runs dry the blocks it has left, and then the shares of the others make up
-the period. Nothing is left out and nothing repeated.
+The documents of a source are put in hash order and cut into blocks; a stream slot takes a
+block. Every block has a window of slots, and at every slot the released block with the
+earliest deadline runs. Nothing is left out and nothing repeated.
+
+By default a source weighs as the square root of its rows, exactly, whatever the number
+of sources. Of sources i with n_i rows, b_i blocks and weight w_i = sqrt(n_i), the ideal
+stream has min(b_i, v w_i) blocks of each at virtual time v, and t(v) of all. Block k is released
+at floor(t(k / w_i)) and due at ceil(t((k + 1) / w_i)). Of the blocks with both in a range of
+slots the ideal stream runs as many there at most as there are slots, so every block meets
+its window, and after any number of slots a source is less than one block from the ideal. A
+source that has run dry leaves its share to the others.
+
+With given integer shares, in a period of P slots a source with share s gets s blocks; its
+block k is released at floor(k P / s) and due at ceil((k + 1) P / s). As the shares add up
+to P, every block meets its window, so after t slots a source is less than one block from
+t s / P, and at the period's end exactly there. A period is repeated as long as every source
+has blocks for it; the next period gives a source that runs dry the blocks it has left, and
+then the shares of the others make up the period.
 """
 
 from __future__ import annotations
 
 import json
-import math
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from enrollspark.llm.common import number_rows, private, stage
 
 BLOCK = 64  # documents in a block
-PERIOD = 240  # slots that default shares make up, about
-MOST_SOURCES = 200  # sources with a share of their own: the largest; all others form one pool
-
-
-def default_shares(sizes: list[int], period: int = PERIOD) -> list[int]:
-    """Integer shares in proportion to the square roots of the sizes, 1 at least."""
-    total = sum(math.sqrt(n) for n in sizes) or 1.0
-    return [max(1, round(period * math.sqrt(n) / total)) for n in sizes]
+RUN = 256  # slots that are scheduled together
 
 
 def epochs(blocks: list[int], shares: list[int]) -> list[tuple[int, int, list[int], list[int]]]:
@@ -81,6 +84,77 @@ def edf_slots(periods: DataFrame) -> DataFrame:
     return d.withColumn("k", F.row_number().over(w) - 1)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def weighted_slots(sizes: DataFrame, block: int) -> DataFrame:
+    """(name, block, slot) of every block of every source, from (name, rows): earliest deadline first over released blocks.
+
+    Deadlines are compared by virtual time, which rises with the slot; ties go to the
+    name first in order, null before all. The schedule is a fold over the slots in one task,
+    each step of which looks at every source.
+    """
+    s = sizes.select("name", F.ceil(F.col("rows") / block).cast("int").alias("n"), F.sqrt("rows").alias("w"))
+    s = stage(s, "weights")
+    one = s.agg(F.array_sort(F.collect_list(F.struct(F.col("name").isNotNull().alias("named"), "name", "n", "w"))).alias("all"))
+    # t(v) is the least of its pieces a + v w, one for each set of sources that are not dry, as it rises ever slower
+    dry = s.groupBy((F.col("n") / F.col("w")).alias("v")).agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+    before, after = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy("v").rowsBetween(0, Window.unboundedFollowing)
+    pieces = dry.select(F.coalesce(F.sum("n").over(before), F.lit(0)).cast("double").alias("a"), F.sum("w").over(after).alias("w"))
+    one = one.crossJoin(pieces.agg(F.collect_list(F.struct("a", "w")).alias("pieces")))
+    jobs = F.transform("all", lambda x, i: F.struct(i.alias("i"), F.lit(0).alias("k"), x["n"].alias("n"), x["w"].alias("w")))
+    one = one.select(jobs.alias("jobs"), "pieces", F.aggregate("all", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("total")).filter("total > 0")
+
+    def step(acc, t):
+        end = F.array_max(F.transform("pieces", lambda x: (t + 1 - x["a"]) / x["w"]))  # virtual time at the slot's end
+
+        def pick(end):
+            return F.array_min(
+                F.transform(
+                    acc["jobs"],
+                    # a block is released where the ideal stream begins it before the slot's end; one that rounding holds back comes after these
+                    lambda x: F.when(x["k"] < x["n"], F.struct((x["k"] / x["w"] >= end).alias("late"), ((x["k"] + 1) / x["w"]).alias("due"), x["i"].alias("i"), x["k"].alias("k"))),
+                )
+            )
+
+        def run(p):
+            done = F.transform(acc["jobs"], lambda x: F.struct(x["i"].alias("i"), F.when(x["i"] == p["i"], x["k"] + 1).otherwise(x["k"]).alias("k"), x["n"].alias("n"), x["w"].alias("w")))
+            return F.struct(done.alias("jobs"), F.concat(acc["out"], F.array(F.struct(p["i"].alias("i"), p["k"].alias("k")))).alias("out"))
+
+        return _bound(_bound(end, pick), run)
+
+    none = F.array().cast("array<struct<i:int,k:int>>")
+
+    def runs(acc, r):
+        start = F.struct(acc["jobs"].alias("jobs"), none.alias("out"))
+        slots = F.sequence(r * RUN, F.least((r + 1) * RUN, F.col("total")) - 1)
+        made = F.aggregate(slots, start, step)
+        return _bound(made, lambda m: F.struct(m["jobs"].alias("jobs"), F.concat(acc["out"], F.array(m["out"])).alias("out")))
+
+    start = F.struct(F.col("jobs"), F.array().cast("array<array<struct<i:int,k:int>>>").alias("out"))
+    all_runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / RUN))
+    made = one.select(F.aggregate(all_runs, start, runs, lambda a: a["out"]).alias("out"))
+    made = made.select(F.posexplode("out").alias("run", "part")).select("run", F.posexplode("part").alias("at", "job"))
+    made = stage(made.select(F.col("job.i").alias("i"), F.col("job.k").cast("long").alias("block"), (F.col("run").cast("long") * RUN + F.col("at")).alias("slot")), "slots")
+    names = s.agg(F.array_sort(F.collect_list(F.struct(F.col("name").isNotNull().alias("named"), "name"))).alias("all"))
+    names = names.select(F.posexplode("all").alias("i", "x")).select("i", "x.name")
+    return made.join(names, "i").select("name", "block", "slot")
+
+
+def _mix_by_size(docs: DataFrame, key: str, source: str, block: int) -> DataFrame:
+    """mix_sources with every source's weight from its rows."""
+    name, n, b, s, place, position = private(docs, "name", "n", "block", "slot", "place", "position")
+    sizes = docs.groupBy(F.col(source).cast("string").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+    slots = weighted_slots(sizes, block).select(F.col("name").alias(f"{s}_s"), F.col("block").alias(f"{s}_b"), F.col("slot").alias(s))
+    d = number_rows(docs.withColumn(name, F.col(source).cast("string")), name, [F.xxhash64(F.col(key)), F.col(key)], n)
+    d = d.withColumn(b, F.floor(F.col(n) / block)).withColumn(place, F.col(n) % block)
+    d = d.join(slots, F.col(name).eqNullSafe(F.col(f"{s}_s")) & (F.col(b) == F.col(f"{s}_b")))
+    d = d.withColumn(position, F.col(s) * block + F.col(place))
+    return d.select(*[F.col(f"`{c}`") for c in docs.columns], F.col(b).cast("long").alias(b), F.col(s).cast("long").alias(s), F.col(place).cast("int").alias(place), F.col(position).cast("long").alias(position))
+
+
 def mix_sources(
     docs: DataFrame,
     shares: dict[str, int] | None = None,
@@ -93,28 +167,24 @@ def mix_sources(
     ``block`` numbers the blocks of the row's source, ``slot`` those of the stream;
     ``place`` is the row's place in its block, and ``position``, slot * block + place,
     rises along the stream. ``shares`` gives integer target weights by source; a
-    source it doesn't name joins the pool, whose share is 1. Without it the largest
-    MOST_SOURCES sources weigh as the square roots of their rows, and the others
-    together likewise. A null source is a source of its own; rows with null or
+    source it doesn't name joins the pool, whose share is 1. Without it every
+    source weighs as the square root of its rows. A null source is a source of its own; rows with null or
     repeated keys keep a place each, in any order among equals; an empty table
     gives an empty result. ``docs`` is read more than once, so give a table or
     a cheap plan.
     """
+    if shares is None:
+        return _mix_by_size(docs, key, source, block)
     spark = docs.sparkSession
     cls, name, n, slots, period, b, s, place, position = private(docs, "cls", "name", "n", "slots", "period", "block", "slot", "place", "position")
-    sizes = docs.groupBy(F.col(source).cast("string").alias("name")).agg(F.count(F.lit(1)).alias("rows"))
-    if shares is None:
-        top = sizes.orderBy(F.desc("rows"), "name").limit(MOST_SOURCES).collect()
-        named = [r["name"] for r in top]
-    else:
-        named = sorted(shares)[: len(shares)]
+    named = sorted(shares)
     classes = _table(spark, [{"name": v, "cls": i} for i, v in enumerate(named)], "name string, cls int")
     # as many rows as there are named sources
     keyed = docs.join(F.broadcast(classes.withColumnsRenamed({"cls": cls, "name": name})), F.col(source).cast("string").eqNullSafe(F.col(name)), "left")
     keyed = keyed.withColumn(cls, F.coalesce(F.col(cls), F.lit(len(named)))).drop(name)
     count = {r[cls]: r["count"] for r in keyed.groupBy(cls).count().collect()}  # a row for each class
     rows = [count.get(i, 0) for i in range(len(named) + 1)]
-    own = [shares[v] for v in named] + [1] if shares is not None else default_shares(rows)
+    own = [shares[v] for v in named] + [1]
     runs = epochs([-(-r // block) for r in rows], own)
 
     schedule = edf_slots(_table(spark, [{"epoch": e, "shares": r[2]} for e, r in enumerate(runs)], "epoch int, shares array<int>"))

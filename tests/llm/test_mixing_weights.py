@@ -1,0 +1,60 @@
+"""Default weights: the exact square roots of the rows, for every source."""
+
+import math
+
+from enrollspark.llm import mixing as M
+from llm_data import documents
+
+
+def ideal(blocks, weights, t):
+    """Blocks of each source after t slots of the ideal stream."""
+    lo, hi = 0.0, max(b / w for b, w in zip(blocks, weights))
+    for _ in range(200):
+        v = (lo + hi) / 2
+        lo, hi = (v, hi) if sum(min(b, v * w) for b, w in zip(blocks, weights)) < t else (lo, v)
+    return [min(b, hi * w) for b, w in zip(blocks, weights)]
+
+
+def slots(spark, sizes, block):
+    t = M._table(spark, [{"name": n, "rows": r} for n, r in sizes.items()], "name string, rows bigint")
+    rows = sorted(M.weighted_slots(t, block).collect(), key=lambda r: r["slot"])
+    assert [r["slot"] for r in rows] == list(range(len(rows)))
+    for n, r in sizes.items():
+        assert [x["block"] for x in rows if x["name"] == n] == list(range(-(-r // block)))
+    return [r["name"] for r in rows]
+
+
+def test_every_source_stays_within_a_block_of_its_exact_weight(spark):
+    for sizes, block in (
+        ({"a": 1000, "b": 999, "c": 37, "d": 1, None: 400}, 8),
+        ({f"s{k:03d}": 1 + k * k % 300 for k in range(60)}, 16),
+        ({"big": 40_000, "next": 20_000} | {f"s{k:03d}": 20 for k in range(230)}, 64),
+    ):
+        names = slots(spark, sizes, block)
+        keys, blocks = list(sizes), [-(-r // block) for r in sizes.values()]
+        weights, done = [math.sqrt(r) for r in sizes.values()], dict.fromkeys(sizes, 0)
+        for t, name in enumerate(names, 1):
+            done[name] += 1
+            if t % 7 == 0 or t < 50:
+                for k, x in zip(keys, ideal(blocks, weights, t)):
+                    assert abs(done[k] - x) < 1 + 1e-6
+
+
+def test_two_large_sources_among_many_small_ones_get_their_weights(spark):
+    """More than 200 sources, of which small ones once took a slot of 240 each."""
+    sizes = {"big": 1_000_000, "next": 500_000} | {f"s{k:03d}": 20 for k in range(250)}
+    weight = {k: math.sqrt(r) for k, r in sizes.items()}
+    total = sum(weight.values())
+    names = slots(spark, sizes, 2500)[:250]
+    for k in ("big", "next"):
+        assert abs(names.count(k) - len(names) * weight[k] / total) < 1
+
+
+def test_rows_of_all_sources_have_a_place(spark):
+    rows = [(k, "t", None if k % 9 == 0 else f"s{k % 300}" if k % 2 else "big") for k in range(3000)]
+    got = M.mix_sources(documents(spark, rows), block=4).orderBy("position").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(3000)) and len({r["position"] for r in got}) == 3000
+    by = {}
+    for r in got:
+        by.setdefault(r["slot"], set()).add(r["source"])
+    assert sorted(by) == list(range(len(by))) and all(len(v) == 1 for v in by.values())
