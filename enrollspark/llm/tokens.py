@@ -4,18 +4,23 @@ The ids are those of the ``tokenizers`` library for the given file, without adde
 tokens. Texts are encoded by ``tiktoken`` over the same vocabulary and the same
 splitting pattern, several times as fast and with the same ids (compared in the tests
 over whole tables, every code point and random texts); a text that spells a special
-token goes through ``tokenizers`` itself.
+token, or has a run of white space so long that ``tiktoken``'s search would give up (from
+1,000,000 on), goes through ``tokenizers`` itself.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from functools import lru_cache
 
 import numpy as np
 
 # Fixed value: the splitting pattern of the byte-level pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG_RUN = 100_000
+# \s takes more here than in PATTERN, so no run is missed
+LONG_SPACE = re.compile(r"\s{%d}" % LONG_RUN)
 
 
 def _byte_letters() -> dict[str, int]:
@@ -39,7 +44,7 @@ class Encoder:
         self.fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.special) or (len(text) >= LONG_RUN and LONG_SPACE.search(text)):
             return np.array(self.exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self.fast.encode_ordinary(text), np.uint32)
 
