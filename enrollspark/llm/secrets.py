@@ -4,7 +4,8 @@ A value that stands where a credential stands (``password = ...``, ``pwd: ...``,
 user part) is cut into words, dates, repeats, keyboard walks and brute-force
 characters so that the guesses an attacker needs are fewest. A value that still
 needs ``10 ** LEAST_LOG10`` guesses is a secret; a placeholder such as
-``changeme`` or a word of the text itself is not.
+``changeme`` or a word of the text itself is not. The text's own words stand between white
+space, in letters of one case but for the first; a run of letters within a code is none.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|auth|bearer|(?:api|access|private|client)[_-]?(?:key|secret))["']?[\x20\t]*(?:[:=]|=>|:=)[\x20\t]*["'`]?([^\x20\x09-\x0D"'`,;<>]{6,})""",
     re.IGNORECASE | re.ASCII,
 )
+HEAD = 24  # characters that a context has before its value, blanks left out: as many at most
+BEARER = re.compile(r"""(?<![a-z])bearer[\x20\t]+["'`]?(?![:=])([^\x20\x09-\x0D"'`,;<>]{6,})""", re.IGNORECASE | re.ASCII)
 CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "credential", "auth", "bearer", "key")
 USER_PART = re.compile(r"://[^\x20\x09-\x0D:/@]+:([^\x20\x09-\x0D/@]{6,})@")
 
@@ -50,7 +53,8 @@ COMMON = (
 WALKS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "1qaz", "2wsx", "3edc", "4rfv", "5tgb", "6yhn", "7ujm", "abcdefghijklmnopqrstuvwxyz", "0123456789")
 LEET = str.maketrans("4@831!0$57", "aabeiiosst")
 DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)\d\d")
-WORD = re.compile(r"[a-z]{4,24}")
+WORD = re.compile(r"[a-z]{4,24}|[A-Z][a-z]{3,23}|[A-Z]{4,24}")
+EDGES = ".,;:!?\"'`()[]{}<>*_-"
 
 LONGEST_WORD, LEAST_WORD, LONGEST_BLOCK, LEAST_WALK = 24, 3, 8, 3
 SEGMENT = math.log10(2)  # for where a segment ends
@@ -116,6 +120,32 @@ def base_spans(text: str, low: str) -> list[tuple[int, int, str]]:
     return out + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+def own_words(text: str) -> Iterator[str]:
+    """Whole words between white space, in lower case."""
+    for w in text.split():
+        if WORD.fullmatch(w := w.strip(EDGES)):
+            yield w.lower()
+
+
+def context_values(text: str) -> Iterator[tuple[int, int]]:
+    """Places of the values of CONTEXT. A value may end with a context of its own (``pwd: token: ...``), whose value follows."""
+    at = end = 0
+    while m := CONTEXT.search(text, at):
+        if m.end(1) > end:
+            yield m.span(1)
+            end = m.end(1)
+            at = max(m.start(1), end - HEAD)
+        else:  # a part of the value before
+            at = m.start() + 1
+
+
+def bearer_values(text: str) -> Iterator[tuple[int, int]]:
+    """Places of the values that follow ``bearer`` without a separator; words of prose are none."""
+    for m in BEARER.finditer(text):
+        if not all(WORD.fullmatch(w) or len(w) < 4 and w.isalpha() for w in re.split(r"[\W_]+", m[1]) if w):
+            yield m.span(1)
+
+
 def guess_spans(text: str, low: str, words: Iterable[str] = COMMON, least: float = LEAST_LOG10) -> list[tuple[int, int, float]]:
     """(start, end, log10 guesses) of the credential-context values that need ``10 ** least`` guesses or more.
 
@@ -123,7 +153,7 @@ def guess_spans(text: str, low: str, words: Iterable[str] = COMMON, least: float
     """
     found = set()
     if any(h in low for h in CONTEXT_HINTS):
-        found |= {m.span(1) for m in CONTEXT.finditer(text)}
+        found |= {*context_values(text), *bearer_values(text)}
     if "://" in text:
         found |= {m.span(1) for m in USER_PART.finditer(text)}
     if not found:
@@ -134,7 +164,7 @@ def guess_spans(text: str, low: str, words: Iterable[str] = COMMON, least: float
         at = max(at, e)
     rest.append(text[at:])
     ranks: dict[str, int] = {}
-    for w in [*words, *WORD.findall(" ".join(rest).lower())]:
+    for w in [*words, *own_words(" ".join(rest))]:
         ranks.setdefault(w, len(ranks) + 1)
     costs = ((s, e, guess_cost(text[s:e], ranks)) for s, e in sorted(found))
     return [x for x in costs if x[2] >= least]
