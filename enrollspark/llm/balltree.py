@@ -1,25 +1,30 @@
 """Exact top-k search by inner product: a ball tree per shard, searched by branch and bound.
 
-Vectors are dealt to shards of bounded size by a hash of their id; every shard builds a
-ball tree. A query's product with any vector in a ball is at most q.c + |q| r, so a query
-visits a shard's leaves by falling bound and stops when the bound is below its k-th score.
-Every query first searches one shard; its k-th score there is the bar with which it
-enters the others. Queries come in blocks of bounded size.
+Vectors are dealt to shards of bounded size; every shard's ball tree is built once and
+staged. Queries travel to the trees. A query's product with any vector in a ball is at
+most q.c + |q| r, so a query descends from the root, into the child with the higher bound
+first, and leaves a subtree as soon as its bound is below the query's k-th score. Every
+query first descends one tree; its k-th score there is the bar with which it enters the
+others.
 """
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from enrollspark.llm.common import stage
+from enrollspark.llm.shards import by_length, deal_rows, visit_shards, wide
 
 TOP = 5
 SCALE = 256
 SHARD_ROWS = 8192
-BLOCK_ROWS = 512
+QUERIES = 1024  # queries that descend together
 LEAF = 128
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
@@ -32,34 +37,6 @@ def integer_vector(embedding: Column, scale: int = SCALE) -> Column:
     return F.when(F.size(embedding) == 0, F.array().cast("array<bigint>")).when(~bad, whole)
 
 
-def ball_leaves(x: np.ndarray) -> tuple[list[np.ndarray], list[list[int]], np.ndarray, np.ndarray]:
-    """Leaves (row numbers), the nodes above and at each, and every node's centre and radius."""
-    centres: list[np.ndarray] = []
-    radii: list[float] = []
-    leaves: list[np.ndarray] = []
-    paths: list[list[int]] = []
-    todo: list[tuple[np.ndarray, list[int]]] = [(np.arange(len(x)), [])]
-    while todo:
-        rows, above = todo.pop()
-        v = x[rows]
-        centre = v.mean(0)
-        far = np.sqrt(((v - centre) ** 2).sum(1))
-        centres.append(centre)
-        radii.append(float(far.max()))
-        path = [*above, len(centres) - 1]
-        if len(rows) <= LEAF or far.max() == 0:
-            for k in range(0, len(rows), LEAF):  # equal vectors can't be parted by distance
-                leaves.append(rows[k : k + LEAF])
-                paths.append(path)
-            continue
-        a = v[np.argmax(far)]
-        b = v[np.argmax(((v - a) ** 2).sum(1))]
-        side = v @ (b - a)
-        half = np.argsort(side, kind="stable")
-        todo += [(rows[half[: len(half) // 2]], path), (rows[half[len(half) // 2 :]], path)]
-    return leaves, paths, np.array(centres), np.array(radii)
-
-
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Exact integer inner products, beyond a long its limit; ``q`` and ``x`` are arrays of longs."""
     most = (int(np.abs(q.astype(object)).max()) if q.size else 0) * (int(np.abs(x.astype(object)).max()) if x.size else 0) * max(1, q.shape[1])
@@ -70,56 +47,121 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return np.clip(q.astype(object) @ x.astype(object).T, LOWEST, HIGHEST).astype(np.int64)
 
 
-def search_shard(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, bar: np.ndarray, k: int = TOP) -> list[tuple[int, int, int]]:
-    """(query, vector, score): each query's best k in the shard that reach its ``bar``, ties to the smaller id, its own id left out."""
-    if not len(ids) or not len(qids):
-        return []
-    leaves, paths, centres, radii = ball_leaves(x.astype(float))
-    qf = q.astype(float)
-    bound = qf @ centres.T + np.sqrt((qf * qf).sum(1))[:, None] * radii
-    bound += 1e-9 * np.abs(bound) + 1.0  # floating point rounds
-    of_leaf = np.stack([bound[:, p].min(1) for p in paths], 1)
-    order = np.argsort(-of_leaf, axis=1, kind="stable")
-    score = np.full((len(qids), k), LOWEST, np.int64)
-    who = np.full((len(qids), k), HIGHEST, np.int64)
-    kth = bar.astype(float)
-    live = np.arange(len(qids))
-    for step in range(len(leaves)):
-        live = live[of_leaf[live, order[live, step]] >= kth[live]]
-        if not len(live):
-            break
-        at = order[live, step]
-        for leaf in np.unique(at):
-            rows, mine = leaves[leaf], live[at == leaf]
-            p = products(q[mine], x[rows])
-            own = ids[rows][None, :] == qids[mine][:, None]
-            hit = ((p >= kth[mine][:, None]) & ~own).any(1)
+class BallTree:
+    """Vectors of one length in a tree of balls: node n holds the rows start[n] to end[n] and has the children child[n] and child[n] + 1, or none (0)."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, nodes: dict[str, np.ndarray]) -> None:
+        self.ids, self.x = ids, x
+        self.centre, self.radius, self.start, self.end, self.child = (nodes[k] for k in ("centre", "radius", "start", "end", "child"))
+        self.cut = self.scored = 0  # subtrees that queries left out, and products taken
+
+    @classmethod
+    def build(cls, ids: np.ndarray, x: np.ndarray) -> BallTree:
+        f, order = x.astype(float), np.arange(len(x))
+        start, end, centre, radius, child = [0], [len(x)], [], [], []
+        at = 0
+        while at < len(start):
+            rows = order[start[at] : end[at]]
+            v = f[rows]
+            middle = v.mean(0)
+            far = np.sqrt(((v - middle) ** 2).sum(1))
+            centre.append(middle)
+            radius.append(float(far.max()))
+            child.append(0)
+            if len(rows) > LEAF:  # equal vectors too, so that no leaf is large
+                a = v[np.argmax(far)]
+                b = v[np.argmax(((v - a) ** 2).sum(1))]
+                order[start[at] : end[at]] = rows[np.argsort(v @ (b - a), kind="stable")]
+                half = (start[at] + end[at]) // 2
+                child[at] = len(start)
+                start += [start[at], half]
+                end += [half, end[at]]
+            at += 1
+        nodes = {"centre": np.array(centre), "radius": np.array(radius), "start": np.array(start), "end": np.array(end), "child": np.array(child)}
+        return cls(ids[order], x[order], nodes)
+
+    def to_bytes(self) -> bytes:
+        out = io.BytesIO()
+        np.savez(out, ids=self.ids, x=self.x, centre=self.centre, radius=self.radius, start=self.start, end=self.end, child=self.child)
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> BallTree:
+        with np.load(io.BytesIO(data)) as made:
+            return cls(made["ids"], made["x"], {k: made[k] for k in ("centre", "radius", "start", "end", "child")})
+
+    def search(self, qids: np.ndarray, q: np.ndarray, bar: np.ndarray, k: int = TOP) -> tuple[np.ndarray, np.ndarray]:
+        """(scores, ids), query x k: each query's best that reach its ``bar``, ties to the smaller id, its own id left out; LOWEST, HIGHEST where there are fewer."""
+        score = np.full((len(qids), k), LOWEST, np.int64)
+        who = np.full((len(qids), k), HIGHEST, np.int64)
+        qf = q.astype(float)
+        norm = np.sqrt((qf * qf).sum(1))
+        kth = bar.astype(float)
+
+        def bound(node: int, live: np.ndarray) -> np.ndarray:
+            b = qf[live] @ self.centre[node] + norm[live] * self.radius[node]
+            return b + 1e-9 * (np.abs(b) + norm[live] * self.radius[node]) + 1.0  # floating point rounds
+
+        def leaf(node: int, live: np.ndarray) -> None:
+            rows = slice(self.start[node], self.end[node])
+            p = products(q[live], self.x[rows])
+            self.scored += p.size
+            ids = self.ids[rows][None, :]
+            good = (p >= np.maximum(bar, score[:, -1])[live][:, None]) & (ids != qids[live][:, None])
+            hit = good.any(1)
             if not hit.any():
-                continue
-            mine, p, own = mine[hit], p[hit], own[hit]
-            good = (p >= bar[mine][:, None]) & ~own
-            s = np.concatenate([score[mine], np.where(good, p, LOWEST)], 1)
-            w = np.concatenate([who[mine], np.where(good, ids[rows][None, :], HIGHEST)], 1)
+                return
+            mine, good = live[hit], good[hit]
+            s = np.concatenate([score[mine], np.where(good, p[hit], LOWEST)], 1)
+            w = np.concatenate([who[mine], np.where(good, ids, HIGHEST)], 1)
             best = np.lexsort((w, ~s), axis=1)[:, :k]  # ~s falls as s rises and never overflows
-            score[mine] = np.take_along_axis(s, best, 1)
-            who[mine] = np.take_along_axis(w, best, 1)
+            score[mine], who[mine] = np.take_along_axis(s, best, 1), np.take_along_axis(w, best, 1)
             kth[mine] = np.maximum(kth[mine], score[mine][:, -1].astype(float))
-    found = np.argwhere(who < HIGHEST)
-    return [(int(qids[i]), int(who[i, j]), int(score[i, j])) for i, j in found]
-
 
-def _cell(k: int):
-    def run(key: tuple, vectors: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for n, some in queries.groupby(queries["vec"].map(len)):
-            near = vectors[vectors["vec"].map(len) == n]
-            if len(near):
-                wide = lambda s, n=n: np.array(s.tolist(), np.int64).reshape(len(s), n)
-                bar = some["bar"].to_numpy(np.int64)
-                out += search_shard(near["vec_id"].to_numpy(np.int64), wide(near["vec"]), some["query_id"].to_numpy(np.int64), wide(some["vec"]), bar, k)
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype=np.int64)
-
-    return run
+        def descend(node: int, live: np.ndarray, most: np.ndarray) -> None:
+            """``most`` is the node's bound for each of ``live``; the k-th score may have risen since it was taken."""
+            on = np.maximum(most, LOWEST) >= kth[live]
+            self.cut += len(live) - int(on.sum())
+            live = live[on]
+            if not len(live):
+                return
+            left = self.child[node]
+            if not left:
+                return leaf(node, live)
+            a, b = bound(left, live), bound(left + 1, live)
+            first = a >= b
+            descend(left, live[first], a[first])
+            descend(left + 1, live, b)
+            descend(left, live[~first], a[~first])
+
+        if len(qids) and len(self.ids):
+            live = np.arange(len(qids))
+            descend(0, live, bound(0, live))
+        return score, who
+
+
+def _build(rows: pd.DataFrame) -> pd.DataFrame:
+    """A shard's trees, one for each length of vector."""
+    made = [(int(rows["shard"].iloc[0]), n, BallTree.build(some["vec_id"].to_numpy(np.int64), wide(some["vec"], n)).to_bytes()) for n, some in by_length(rows)]
+    return pd.DataFrame(made, columns=["shard", "length", "tree"])
+
+
+class TreeShard:
+    def __init__(self, rows: pd.DataFrame, k: int) -> None:
+        self.trees = {int(n): BallTree.from_bytes(t) for n, t in zip(rows["length"], rows["tree"])}
+        self.k = k
+
+    def visit(self, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for n, some in by_length(rows):
+            for at in range(0, len(some) if n in self.trees else 0, QUERIES):
+                part = some.iloc[at : at + QUERIES]
+                qids = part["query_id"].to_numpy(np.int64)
+                score, who = self.trees[n].search(qids, wide(part["vec"], n), part["bar"].to_numpy(np.int64), self.k)
+                i, j = np.nonzero(who < HIGHEST)
+                yield pd.DataFrame({"query_id": qids[i], "vec_id": who[i, j], "score": score[i, j]})
+
+    def close(self) -> Iterator[pd.DataFrame]:
+        yield from ()
 
 
 def top_products(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
@@ -132,26 +174,22 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFr
     """
     x = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "vec").dropna()
     q = queries.select(F.col("query_id").cast("long").alias("query_id"), "vec").dropna().groupBy("query_id").agg(F.min("vec").alias("vec"))
-    x, q = stage(x, "vectors"), stage(q, "queries")
-    shards = max(1, -(-x.count() // SHARD_ROWS))
-    blocks = max(1, -(-q.count() // BLOCK_ROWS))
-    x = x.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    q = q.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "query_id"), F.lit(blocks)).cast("int"))
-    q = q.withColumn("home", F.pmod(F.col("block"), F.lit(shards)).cast("int"))
-
-    def search(near: DataFrame, of: DataFrame) -> DataFrame:
-        # a vector for each block that its shard answers
-        cells = of.select(F.col("shard").alias("of_shard"), F.col("block").alias("of_block")).distinct()
-        near = near.join(cells, F.col("shard") == F.col("of_shard")).select("vec_id", "vec", "of_shard", "of_block")
-        both = near.groupBy("of_shard", "of_block").cogroup(of.groupBy("shard", "block"))
-        return both.applyInPandas(_cell(k), "query_id long, vec_id long, score long")
-
-    first = stage(search(x, q.select("query_id", "vec", "block", F.col("home").alias("shard"), F.lit(LOWEST).alias("bar"))), "first")
+    x, shards = deal_rows(stage(x, "vectors"), SHARD_ROWS)
+    trees = stage(x.repartitionById(shards, F.col("shard")).groupBy("shard").applyInPandas(_build, "shard int, length int, tree binary"), "trees")
+    home = F.pmod(F.xxhash64("query_id"), F.lit(shards)).cast("int")
+    q = stage(q.withColumn("home", home), "queries")
+
+    def search(at: DataFrame) -> DataFrame:
+        return visit_shards(trees, at, shards, lambda _, rows: TreeShard(rows, k), "query_id long, vec_id long, score long")
+
+    first = stage(search(q.select("query_id", "vec", F.col("home").alias("shard"), F.lit(LOWEST).alias("bar"))), "first")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    bars = first.select("query_id", "score", F.row_number().over(w).alias("rank")).filter(F.col("rank") == k).select("query_id", F.col("score").alias("bar"))
-    rest = q.join(bars, "query_id", "left").select("query_id", "vec", "block", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.coalesce("bar", F.lit(LOWEST)).alias("bar"), "home")
-    rest = rest.filter("shard <> home").drop("home")
-    found = first.union(search(x, rest)) if shards > 1 else first
+    found = first
+    if shards > 1:
+        bars = first.select("query_id", "score", F.row_number().over(w).alias("rank")).filter(F.col("rank") == k).select("query_id", F.col("score").alias("bar"))
+        rest = q.join(bars, "query_id", "left").withColumn("bar", F.coalesce("bar", F.lit(LOWEST)))
+        rest = rest.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter("shard <> home").drop("home")
+        found = first.union(search(rest))
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -26,7 +26,7 @@ def run(spark, vectors, qs, k=5):
 
 def test_equals_brute_force_over_shards_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(B, "SHARD_ROWS", 150)
-    monkeypatch.setattr(B, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(B, "QUERIES", 20)
     monkeypatch.setattr(B, "LEAF", 8)
     r = random.Random(1)
     vs = [(i, [r.randrange(-40, 40) for _ in range(6)]) for i in range(600)]
@@ -60,12 +60,43 @@ def test_quantisation(spark):
 def test_bounds_hold(seed):
     rng = np.random.default_rng(seed)
     x = rng.integers(-50, 50, (500, 5))
-    leaves, paths, centres, radii = B.ball_leaves(x.astype(float))
-    assert sorted(np.concatenate(leaves).tolist()) == list(range(500))
+    tree = B.BallTree.from_bytes(B.BallTree.build(np.arange(500), x).to_bytes())
+    leaves = [n for n in range(len(tree.child)) if not tree.child[n]]
+    assert sorted(np.concatenate([tree.ids[tree.start[n] : tree.end[n]] for n in leaves]).tolist()) == list(range(500))
+    assert all(tree.end[n] - tree.start[n] <= B.LEAF for n in leaves)
     q = rng.integers(-50, 50, 5).astype(float)
-    for rows, path in zip(leaves, paths):
-        for n in path:
-            assert (x[rows] @ q).max() <= q @ centres[n] + np.linalg.norm(q) * radii[n] + 1e-6
+    for n in range(len(tree.child)):
+        rows = tree.x[tree.start[n] : tree.end[n]]
+        assert (rows @ q).max() <= q @ tree.centre[n] + np.linalg.norm(q) * tree.radius[n] + 1e-6
+
+
+def test_subtrees_are_cut_and_a_bar_cuts_more():
+    rng = np.random.default_rng(9)
+    middles = rng.integers(-200, 200, (20, 6))
+    x = (middles[:, None, :] + rng.integers(-3, 4, (20, 200, 6))).reshape(-1, 6)
+    tree, q = B.BallTree.build(np.arange(len(x)), x), x[::400]
+    qids = np.arange(len(x))[::400]
+    score, who = tree.search(qids, q, np.full(len(q), B.LOWEST))
+    for k, i in enumerate(qids):
+        want = sorted((-int(p), j) for j, p in enumerate(x @ q[k]) if j != i)[: B.TOP]
+        assert [(-int(s), int(w)) for s, w in zip(score[k], who[k])] == want
+    assert tree.cut > 0 and tree.scored < len(q) * len(x) / 2
+    again = B.BallTree.build(np.arange(len(x)), x)
+    again.search(qids, q, score[:, -1])
+    assert again.scored <= tree.scored
+
+
+def test_repeated_ids_are_dealt_to_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(B, "SHARD_ROWS", 50)
+    vs = [(1, [1, 2])] * 400 + [(k, [k % 7, 3]) for k in range(2, 60)]
+    qs = [(100, [2, 2]), (1, [1, 1])]
+    assert run(spark, vs, qs) == brute(vs, qs)
+    from enrollspark.llm.common import stage
+    from enrollspark.llm.shards import deal_rows
+
+    dealt, n = deal_rows(stage(spark.createDataFrame(vs, "vec_id long, vec array<long>"), "t"), 50)
+    sizes = [r["count"] for r in dealt.groupBy("shard").count().collect()]
+    assert n == 10 and max(sizes) < 100
 
 
 def test_query_equals_sql(spark):
