@@ -1,0 +1,114 @@
+import duckdb
+import numpy as np
+import pytest
+
+from enrollspark.llm import pcatiles as P
+from enrollspark.llm import queries
+from llm_data import SF, clashing
+
+E = "vec_id long, embedding array<double>"
+
+
+def brute(rows):
+    """rows of (id, vector); ids may repeat or be null."""
+    ok = [k for k, (_, v) in enumerate(rows) if v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    unit = {k: np.array(rows[k][1]) / np.linalg.norm(rows[k][1]) for k in ok}
+    near = {k: [j for j in ok if j != k and len(unit[j]) == len(unit[k]) and unit[j] @ unit[k] >= 0.9] for k in range(len(rows)) if k in unit}
+    name, out = {}, []
+    for k in range(len(rows)):
+        seen, todo = {k}, [k]
+        while todo:
+            for j in near.get(todo.pop(), []):
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        name[k] = min(ids) if ids else None
+        kept = name[k] is None or rows[k][0] == name[k]
+        out.append((rows[k][0], len(near.get(k, [])), name[k], kept))
+    return sorted(out, key=str)
+
+
+def run(spark, rows, tile=P.TILE):
+    return sorted((tuple(r) for r in P.near_vectors(spark.createDataFrame(rows, E), tile=tile).collect()), key=str)
+
+
+def cloud(seed, n, dims=24, spread=0.12):
+    """Some centres with vectors near each, and as many anywhere."""
+    g = np.random.default_rng(seed)
+    centres = g.normal(size=(8, dims))
+    near = centres[g.integers(0, 8, n // 2)] + spread * np.sqrt(2) * g.normal(size=(n // 2, dims)) * g.choice([1, 2, 3], (n // 2, 1))
+    x = np.concatenate([near, g.normal(size=(n - n // 2, dims))])
+    return [(int(i), [float(c) for c in v]) for i, v in zip(g.permutation(n), x)]
+
+
+@pytest.mark.parametrize("tile", [30, 4096])
+def test_equals_brute_force_over_tiles(spark, tile):
+    rows = cloud(1, 300)
+    rows += [(1000 + k, rows[5][1]) for k in range(40)]  # copies
+    got = run(spark, rows, tile)
+    assert got == brute(rows)
+    assert max(r[1] for r in got) > 40 and any(r[1] == 0 for r in got)
+
+
+def test_a_crowded_cell_is_dealt_to_tiles(spark):
+    g = np.random.default_rng(4)
+    rows = [(k, [float(c) for c in np.ones(20) + 0.05 * g.normal(size=20)]) for k in range(260)]
+    rows += [(500 + k, [float(c) for c in g.normal(size=20)]) for k in range(40)]
+    assert run(spark, rows, 25) == brute(rows)
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, None), (2, []), (3, [0.0, -0.0]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [None, 1.0]),
+        (7, [1.0, 0.0]), (7, [1.0, 0.0]), (7, [0.0, 1.0]), (None, [0.0, 2.0]), (None, [5.0, 5.0]), (None, [5.0, 5.0]),
+        (8, [1e308, 1e308, 0.0]), (9, [1e-300, 1e-300, 0.0]), (10, [1.0, 1.0, -0.0]), (11, [2.0]), (12, [-2.0]), (13, [3.0]),
+    ]
+    safe = [(i, [c / max(map(abs, v)) for c in v] if i in (8, 9) else v) for i, v in rows]
+    assert run(spark, rows) == brute(safe)
+    assert run(spark, []) == []
+    assert [tuple(r) for r in P.near_vectors(spark.createDataFrame([(1, None), (2, [0.0])], E)).sort("vec_id").collect()] == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_the_threshold_is_met_exactly(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.9, (1 - 0.81) ** 0.5]), (3, [0.8999999, (1 - 0.8999999**2) ** 0.5])]
+    a, b = np.array(rows[0][1]), np.array(rows[1][1])
+    link = int(a @ b / (np.linalg.norm(a) * np.linalg.norm(b)) >= 0.9)
+    got = {r[0]: r[1] for r in run(spark, rows)}
+    assert got[1] == link and got[2] == 1 + link and got[3] == 1
+
+
+def test_clashing_names(spark):
+    rows = cloud(2, 60)
+    d = clashing(spark.createDataFrame(rows, E), "node", "vec", "links", "shard", "copies", "name", "key", "x")
+    assert sorted((tuple(r) for r in P.near_vectors(d).collect()), key=str) == brute(rows)
+
+
+def test_pairs_stop_on_leading_components():
+    import pandas as pd
+
+    g = np.random.default_rng(0)
+    x = g.normal(size=(600, 64))
+    axes = {64: P.Axes(x, 4)}
+    tile = P.Tile(pd.DataFrame({"node": np.arange(600), "copies": 1, "vec": list(x)}), axes, 0.9)
+    list(tile.close())
+    assert tile.counts[1] < tile.counts[0] / 20 and tile.counts[2] <= tile.counts[1]
+    turned = axes[64].turn(x)
+    assert np.allclose(turned @ turned.T, P.unit(x) @ P.unit(x).T)
+
+
+def test_distant_cells_are_not_compared():
+    import pandas as pd
+
+    boxes = pd.DataFrame({"length": [2, 2, 3], "cell": [0, 1, 0], "low": [[0.9], [-1.0], [0.9]], "high": [[1.0], [-0.9], [1.0]], "rest": [0.3, 0.3, 0.3]})
+    assert P.meeting_cells(boxes, 0.9) == [(0, 0), (1, 1), (2, 2)]
+
+
+def test_query_equals_sql(spark):
+    d = SF.replace("0.001", "0.01")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{d}/embeddings.parquet'")
+    want = con.execute(P.ORACLE).fetchall()
+    q = queries.op12_embedding_near_dedup(spark, d)
+    assert q.columns == [c[0] for c in con.description]
+    assert sorted(tuple(r) for r in q.collect()) == sorted(want)
