@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from enrollspark.llm import balltree, decisions, mixing, packing, preference, rules, secrets, sharding, simhash, toxicity
+from enrollspark.llm import balltree, decisions, mixing, orchard, packing, pcatiles, preference, rules, secrets, segments, sharding, simhash, toxicity
 from enrollspark.llm.common import crc_bucket, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,18 @@ def op10_sharding(spark: SparkSession, d: str) -> DataFrame:
     return sharding.place_documents(read_table(spark, d, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    return segments.embedding_negatives(read_table(spark, d, "embeddings"))
+
+
+def op12_embedding_near_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return pcatiles.near_vectors(read_table(spark, d, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, d: str) -> DataFrame:
+    return orchard.compress(read_table(spark, d, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -74,7 +86,16 @@ QUERIES: dict[str, Query] = {
         op8_preference_format,
         op9_quality_rules,
         op10_sharding,
+        op11_hard_negatives,
+        op12_embedding_near_dedup,
+        op13_vector_codes,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_exact_topk": balltree.ORACLE, "op8_preference_format": preference.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op4_exact_topk": balltree.ORACLE,
+    "op8_preference_format": preference.ORACLE,
+    "op11_hard_negatives": segments.ORACLE,
+    "op12_embedding_near_dedup": pcatiles.ORACLE,
+    "op13_vector_codes": orchard.ORACLE,
+}
