@@ -1,7 +1,7 @@
 """Command-line job: ``spark-submit --py-files enrollspark.zip -m enrollspark ...`` or ``python -m enrollspark ...``.
 
-Runs one extract (and, in ``CHANGE`` mode, publishes the next state version
-under ``--state-root``). Provider tables are catalog table names or parquet paths.
+Runs one extract (and, in ``CHANGE`` mode, replaces the changed members' spans in
+the state under ``--state-root``). Provider tables are catalog table names or parquet paths.
 Prints one JSON line with the result.
 """
 
@@ -36,7 +36,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--output-dir", required=True)
     p.add_argument("--providers", required=True, help="provider table (PRPR_ID, PRCR_ID): catalog name or parquet path")
     p.add_argument("--registrations", required=True, help="registration table (PRCR_ID, PRRG_MCTR_TYPE, PRRG_SEQ_NO, PRRG_ID)")
-    p.add_argument("--state-root", help="root of the versioned span state (CHANGE mode)")
+    p.add_argument("--state-root", help="root of the span state (CHANGE mode)")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.date.today(), help="run date, yyyy-mm-dd")
     p.add_argument("--single-file", action="store_true", help="write one file (one task) instead of ordered part files")
     p.add_argument("--include-cob", action="store_true", help="add type-3 COB records")
@@ -83,7 +83,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         "rows": res.rows,
         "seconds": round(res.seconds, 3),
         "output": res.output_path,
-        "state_version": res.state_version,
+        "state_buckets": res.state_buckets,
         "rejects": res.rejects,
     }
     print(json.dumps(out))

@@ -36,15 +36,21 @@ _SPAN_VALUE_COLS = [
     ("CM_PDPD_ID", "PDPD_ID"),
 ]
 
+POLICIES = 100_000  # of a member that one task joins with its spans
+
 REJECT_BLANK_MEMBER = "blank member key"
 REJECT_BAD_EFF = "unparseable effective date"
 REJECT_BAD_TERM = "unparseable termination date"
 
 
-def member_timeline(demo: DataFrame, elig: DataFrame, cob: DataFrame | None = None) -> DataFrame:
+def member_timeline(demo: DataFrame, elig: DataFrame, cob: DataFrame | None = None, policies: int = POLICIES) -> DataFrame:
     """DEMO ⋈ ELIG on the member key only (JN-6): every member row with every span of the member;
     with ``cob``, also ⟕ COB on the member (JN-7), one row per COB policy of the member.
 
+    A member with more than ``policies`` policies is hot: its policies are dealt to parts by
+    the hash of the whole row, and its member rows and spans go to every part, so that
+    no task holds all of them; other members have one part. A null member key meets nothing.
+
     No COB column reaches the state, so the state update leaves COB out (the
     join would only repeat rows whose keys are deduplicated anyway) and reads
     ``eligible_spans`` instead of this product.
@@ -53,8 +59,17 @@ def member_timeline(demo: DataFrame, elig: DataFrame, cob: DataFrame | None = No
     t = demo.join(e, demo["CM_DEMO_MEME_CK"] == e["CM_ELIG_MEME_CK"], "inner")
     if cob is None:
         return t
-    c = cob.drop("RECORD_TYPE")
-    return t.join(c, t["CM_ELIG_MEME_CK"] == c["CM_COB_MEME_CK"], "left")
+    columns = [*t.columns, *(c for c in cob.columns if c != "RECORD_TYPE")]
+    # a row for each hot member: at most the policies / ``policies``
+    hot = cob.groupBy(F.col("CM_COB_MEME_CK").alias("_hot")).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > policies)
+    hot = hot.select("_hot", F.ceil(F.col("_n") / policies).cast("int").alias("_parts"))
+    c = cob.drop("RECORD_TYPE").join(hot, F.col("CM_COB_MEME_CK") == F.col("_hot"), "left")
+    c = c.withColumn("_part", F.pmod(F.xxhash64(*[x for x in cob.columns if x != "RECORD_TYPE"]), F.coalesce("_parts", F.lit(1))).cast("int"))
+    t = t.join(hot, F.col("CM_ELIG_MEME_CK") == F.col("_hot"), "left")
+    t = t.withColumn("_at", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).withColumnRenamed("_parts", "_of")
+    out = t.join(c.drop("_hot", "_parts"), (F.col("CM_ELIG_MEME_CK") == F.col("CM_COB_MEME_CK")) & (F.col("_at") == F.col("_part")), "left")
+    # a hot member has policies, so a part that got none of them has no row
+    return out.filter(F.col("_of").isNull() | F.col("CM_COB_MEME_CK").isNotNull()).select(*columns)
 
 
 def timeline_counts(demo: DataFrame, elig: DataFrame, cob: DataFrame) -> DataFrame:
@@ -96,11 +111,6 @@ def with_composite_keys(timeline: DataFrame) -> DataFrame:
     )
 
 
-def eligible_members(timeline: DataFrame) -> DataFrame:
-    """Timeline rows of members flagged ``CM_ELIG_IND = 'Y'`` (untrimmed)."""
-    return timeline.filter(F.col("CM_ELIG_IND") == "Y")
-
-
 def eligible_spans(demo: DataFrame, elig: DataFrame) -> DataFrame:
     """ELIG rows of members with a DEMO row flagged ``'Y'`` (left semi join on the member).
 

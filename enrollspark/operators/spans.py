@@ -11,6 +11,7 @@ from enrollspark.functions.text import parse_ymd
 
 MEMBER, GROUP, EFF, TERM = "CM_ELIG_MEME_CK", "CM_ELIG_GRGR_CK", "CM_ELIG_EFF_DT", "CM_ELIG_TERM_DT"
 SPAN_KEYS = [MEMBER, GROUP, EFF, TERM]
+EFF_DATE, TERM_DATE = "EFF_DATE", "TERM_DATE"
 REPEAT_CHUNK = 10_000
 SALTS = 8  # parts that a member's span keys are dealt to
 
@@ -28,14 +29,26 @@ def repeat_rows(df: DataFrame, times: str, chunk: int = REPEAT_CHUNK) -> DataFra
     return out.withColumn("_rep", F.explode(F.array_repeat(F.lit(True), size))).drop(times, "_chunk", "_rep")
 
 
+def typed_spans(elig: DataFrame) -> DataFrame:
+    """ELIG with its dates parsed once, as the DATE columns EFF_DATE and TERM_DATE; a blank or impossible date is null.
+
+    Written to Parquet (``write_spans``), the run-date test of ``current_spans`` on these
+    columns is answered from row-group statistics before any row is read.
+    """
+    return elig.select("*", parse_ymd(EFF).alias(EFF_DATE), parse_ymd(TERM).alias(TERM_DATE))
+
+
 def current_spans(elig: DataFrame, as_of: dt.date) -> DataFrame:
     """Spans whose dates contain ``as_of`` (both ends inclusive), whatever their indicator.
 
     A blank or impossible date gives null and drops the span. Only these spans
     can share all four keys with an active span, so the detail join reads them
-    instead of the whole file.
+    instead of the whole file. Typed dates (``typed_spans``) are used where ``elig`` has
+    them, and dropped.
     """
     day = F.lit(as_of)
+    if EFF_DATE in elig.columns and TERM_DATE in elig.columns:
+        return elig.filter((F.col(EFF_DATE) <= day) & (F.col(TERM_DATE) >= day)).drop(EFF_DATE, TERM_DATE)
     return elig.filter((parse_ymd(EFF) <= day) & (parse_ymd(TERM) >= day))
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 import logging
 import time
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from enrollspark.operators.records import (
     merge_records,
 )
 from enrollspark.operators.spans import active_members, current_spans, span_detail
+from enrollspark.plans.views import extract_views
 from enrollspark.session import remove_path, scratch_path
 from enrollspark.sources.delimited import REQUIRED_COLUMNS, read_input, require_columns
 from enrollspark.sources.state import update_state
@@ -63,39 +65,51 @@ def build_extract(
     return merge_records(*extract_parts(demo, elig, prpr, prrg, as_of, cob, strict_width))
 
 
-def sort_records(records: DataFrame, single_file: bool = False, parts: int | None = None) -> DataFrame:
+def sort_records(records: DataFrame, parts: int | None = None) -> DataFrame:
     """Records in file order (subscriber, record number, effective date, record text).
 
     Range partitions by the sort keys, each sorted, so part files in name order are
     the file; their number is ``parts``, or follows the data's size (AQE). Give staged
-    records: the sampling of the ranges reads them once more. ``single_file``: one
-    partition, sorted inside it, for a receiver that wants one file.
+    records: the sampling of the ranges reads them once more.
     """
     keys = [F.col(k).asc_nulls_first() for k in SORT_KEYS]
-    if single_file:
-        return records.repartition(1).sortWithinPartitions(*keys)
     ranged = records.repartitionByRange(parts, *keys) if parts else records.repartitionByRange(*keys)
     return ranged.sortWithinPartitions(*keys)
 
 
+def one_after_another(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a Parquet folder in one partition: its files in name order, each in row order, nothing sorted.
+
+    Spark packs the files of one scan by size, so every file is a scan of its own; their union
+    keeps the order, and so does a coalesce to one partition.
+    """
+    whole = spark.read.parquet(path)
+    files = sorted(whole.inputFiles(), key=lambda f: f.rsplit("/", 1)[-1])  # as many as the sorted parts
+    if not files:
+        return whole.coalesce(1)
+    return reduce(DataFrame.union, [spark.read.schema(whole.schema).parquet(f) for f in files]).coalesce(1)
+
+
 def write_records(records: DataFrame, path: str, single_file: bool = False, parts: int | None = None) -> int:
     """Write the sorted ``rec_type`` column as text (overwrite) and return the record count.
 
     The records are staged once before they are sorted into ranges, so that neither
-    the joins nor the encoding run twice; the count is observed during the write.
+    the joins nor the encoding run twice; the count is observed during the write. With
+    ``single_file`` the sorted ranges are staged, and one task writes them
+    one after another: it sorts nothing and holds no more than a batch.
     """
     spark = records.sparkSession
-    staged = None
-    if not single_file:
-        staged = scratch_path(spark, "records")
-        records = stage(records, staged)
+    staged, ordered = scratch_path(spark, "records"), scratch_path(spark, "ordered")
     obs = Observation("extract")
-    out = sort_records(records, single_file, parts).observe(obs, F.count(F.lit(1)).alias("rows"))
-    out.select("rec_type").write.mode("overwrite").text(path)
-    rows = int(obs.get["rows"])
-    if staged:
-        remove_path(spark, staged)
-    return rows
+    out = sort_records(stage(records, staged), parts).observe(obs, F.count(F.lit(1)).alias("rows")).select("rec_type")
+    if single_file:
+        out.write.parquet(ordered)
+        one_after_another(spark, ordered).write.mode("overwrite").text(path)
+        remove_path(spark, ordered)
+    else:
+        out.write.mode("overwrite").text(path)
+    remove_path(spark, staged)
+    return int(obs.get["rows"])
 
 
 @dataclass(frozen=True)
@@ -114,20 +128,28 @@ class ExtractConfig:
     single_file: bool = False
     include_cob: bool = False
     stage_spans: bool = True
+    # count the lines of delimited inputs that don't fit their layout (the inputs are staged whole)
+    check_lines: bool = False
+    # SQL over the run's views (see plans/views.py): name -> query, written as Parquet to report_path(name)
+    reports: dict[str, str] | None = None
     # inputs as partitioned tables instead of delimited files: kind (DEMO, ELIG, COB) -> table root
     input_tables: dict[str, str] | None = None
 
     def output_path(self) -> str:
         return "/".join([self.output_dir.rstrip("/"), self.vendor, self.mode, self.state])
 
+    def report_path(self, name: str) -> str:
+        return "/".join([self.output_dir.rstrip("/"), self.vendor, self.mode, "reports", self.state, name])
+
 
 @dataclass(frozen=True)
 class ExtractResult:
     rows: int
     seconds: float
     output_path: str
-    state_version: int | None = None
+    state_buckets: int | None = None
     rejects: int | None = None
+    lines: dict[str, dict[str, int]] | None = None
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -144,11 +166,13 @@ def stage(df: DataFrame, path: str) -> DataFrame:
 
 
 def run_extract(spark: SparkSession, cfg: ExtractConfig, prpr: DataFrame, prrg: DataFrame) -> ExtractResult:
-    """Read the run's files, write the extract, and in ``CHANGE`` mode publish the next state version.
+    """Read the run's files, write the extract, and in ``CHANGE`` mode replace the changed members' spans in the state.
 
     With ``stage_spans`` the spans containing the run date are parsed from the
     delimited file once and staged as parquet; both span joins read that copy.
-    Staged tables have a folder of their own for each run, removed after success.
+    Staged tables have a folder of their own for each run, removed after success. With
+    ``check_lines`` the result tells, by input kind, how many lines were read, were short and
+    had surplus fields. ``reports`` are run over the run's views.
     """
     if cfg.mode == CHANGE_MODE and not cfg.state_root:
         raise ValueError("a CHANGE run updates the span state: give state_root")
@@ -159,8 +183,18 @@ def run_extract(spark: SparkSession, cfg: ExtractConfig, prpr: DataFrame, prrg:
             df = read_slice(spark, cfg.input_tables[kind], cfg.vendor, cfg.mode, cfg.state)
             require_columns(df.schema, REQUIRED_COLUMNS[kind], f"{kind} table")
             return df
-        return read_input(spark, cfg.layouts_dir, cfg.staging_dir, cfg.vendor, cfg.mode, cfg.state, kind)
-
+        if not cfg.check_lines:
+            return read_input(spark, cfg.layouts_dir, cfg.staging_dir, cfg.vendor, cfg.mode, cfg.state, kind)
+        obs, path = Observation(kind), scratch_path(spark, kind.lower())
+        df = stage(read_input(spark, cfg.layouts_dir, cfg.staging_dir, cfg.vendor, cfg.mode, cfg.state, kind, obs), path)
+        inputs.append(path)
+        lines[kind] = dict(obs.get)
+        if lines[kind]["short"] or lines[kind]["surplus"]:
+            log.warning("%s: %s", kind, lines[kind])
+        return df
+
+    inputs: list[str] = []
+    lines: dict[str, dict[str, int]] = {}
     demo, elig = read("DEMO"), read("ELIG")
     cob = read("COB") if cfg.include_cob else None
     staged = scratch_path(spark, "spans")
@@ -170,18 +204,24 @@ def run_extract(spark: SparkSession, cfg: ExtractConfig, prpr: DataFrame, prrg:
     if cfg.stage_spans:
         remove_path(spark, staged)
     log.info("extract %s/%s/%s: %d records", cfg.vendor, cfg.mode, cfg.state, rows)
-    version = rejects = None
+    if cfg.reports:
+        with extract_views(spark, demo, elig, prpr, prrg, cfg.as_of, cob, cfg.strict_width) as sql:
+            for name, query in cfg.reports.items():
+                sql(query).write.mode("overwrite").parquet(cfg.report_path(name))
+    buckets = rejects = None
     if cfg.mode == CHANGE_MODE:
-        version, rejects = publish_change(spark, cfg.state_root, demo, elig)
-    return ExtractResult(rows, time.monotonic() - t0, cfg.output_path(), version, rejects)
+        buckets, rejects = publish_change(spark, cfg.state_root, demo, elig)
+    for path in inputs:
+        remove_path(spark, path)
+    return ExtractResult(rows, time.monotonic() - t0, cfg.output_path(), buckets, rejects, lines or None)
 
 
 def publish_change(spark: SparkSession, state_root: str, demo: DataFrame, elig: DataFrame) -> tuple[int, int]:
-    """Replace the changed members' spans as the next state version; return (version, reject count).
+    """Replace the changed members' spans in the state table; return (buckets rewritten, reject count).
 
     The candidate spans are staged once: rejects, members and new spans read that
     table. The rejected spans are written to a folder of their own under
-    ``<state_root>/rejects`` before the version is published; only the buckets of
+    ``<state_root>/rejects`` before the state changes; only the buckets of
     the changed members are rewritten.
     """
     path = scratch_path(spark, "candidates")
@@ -192,6 +232,6 @@ def publish_change(spark: SparkSession, state_root: str, demo: DataFrame, elig:
     rejects = int(obs.get["rows"])
     if rejects:
         log.warning("change run: %d spans rejected", rejects)
-    version = update_state(spark, state_root, replaced_members(candidates), lambda rows: replace_spans(rows, candidates).state_after)
+    buckets = update_state(spark, state_root, replaced_members(candidates), lambda rows: replace_spans(rows, candidates).state_after)
     remove_path(spark, path)
-    return version, rejects
+    return buckets, rejects

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from enrollspark.operators import change as ch
@@ -19,11 +19,12 @@ from enrollspark.operators.providers import latest_registration, with_registrati
 from enrollspark.operators.records import cob_records, demo_records, elig_body, elig_records
 from enrollspark.operators.spans import active_members, span_detail
 from enrollspark.plans.extract import build_extract, publish_change, stage, write_records
+from enrollspark.plans.views import extract_views
 from enrollspark.session import scratch_path
 from enrollspark.sources import fixtures as fx
-from enrollspark.sources.delimited import input_path, layout_path, read_input, write_delimited
-from enrollspark.sources.state import read_state, write_snapshot
-from enrollspark.sources.tables import read_slice, write_slice
+from enrollspark.sources.delimited import SEPARATOR, input_path, layout_path, layout_schema, read_checked, read_input, write_delimited
+from enrollspark.sources.state import read_state, write_state
+from enrollspark.sources.tables import read_slice, write_prepared, write_slice, write_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,8 +83,8 @@ def active_members_q(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def span_detail_q(spark: SparkSession, d: str) -> DataFrame:
-    return _detail(spark, d).select(
+def _detail_columns(detail: DataFrame) -> DataFrame:
+    return detail.select(
         "CM_ELIG_MEME_CK",
         "CM_ELIG_GRGR_CK",
         "CM_ELIG_EFF_DT",
@@ -94,6 +95,10 @@ def span_detail_q(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def span_detail_q(spark: SparkSession, d: str) -> DataFrame:
+    return _detail_columns(_detail(spark, d))
+
+
 def extract_by_state_q(spark: SparkSession, d: str) -> DataFrame:
     return _extract(spark, d).groupBy("STATE_ID").agg(
         F.count(F.lit(1)).alias("records"),
@@ -138,11 +143,8 @@ def table_slice_roundtrip_q(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
-def extract_file_lines_q(spark: SparkSession, d: str) -> DataFrame:
-    """Writes the extract in ordered parts, reads the files back and numbers their lines in file order;
-    with the count that the write observed."""
-    path = scratch_path(spark, "extract")
-    rows = write_records(_extract(spark, d), path)
+def _file_lines(spark: SparkSession, path: str, rows: int) -> DataFrame:
+    """The lines of a text folder, numbered in file order, with the count that the write observed."""
     lines = spark.read.text(path).select(
         F.col("value").alias("rec_type"),
         F.col("_metadata.file_name").alias("file"),
@@ -158,14 +160,115 @@ def extract_file_lines_q(spark: SparkSession, d: str) -> DataFrame:
     return out.select((F.col("start") + F.col("here")).alias("line_no"), "rec_type", F.lit(rows).cast("long").alias("observed_count"))
 
 
+def extract_file_lines_q(spark: SparkSession, d: str) -> DataFrame:
+    """Writes the extract in ordered parts, reads the files back and numbers their lines in file order;
+    with the count that the write observed."""
+    path = scratch_path(spark, "extract")
+    return _file_lines(spark, path, write_records(_extract(spark, d), path))
+
+
+def extract_one_file_lines_q(spark: SparkSession, d: str) -> DataFrame:
+    """Writes the extract as one file, reads it back with its line numbers and the number of files."""
+    path = scratch_path(spark, "extract-one")
+    lines = _file_lines(spark, path, write_records(_extract(spark, d), path, single_file=True))
+    return lines.withColumn("files", F.lit(len(spark.read.text(path).inputFiles())).cast("long"))
+
+
 def state_snapshot_roundtrip_q(spark: SparkSession, d: str) -> DataFrame:
-    """Publishes the prior state as version 1, a change run as version 2, and reads the newest version."""
+    """Writes the prior state, replaces the changed members' spans in it, and reads the state."""
     root = scratch_path(spark, "state")
-    write_snapshot(fx.span_state(spark, d), root, 1)
+    write_state(fx.span_state(spark, d), root)
     publish_change(spark, root, fx.change_demo(spark, d), fx.change_elig(spark, d))
     return read_state(spark, root)
 
 
+def sql_views_q(spark: SparkSession, d: str) -> DataFrame:
+    """SQL over the run's views: by state and kind of record, how many records and subscribers, and the members, spans and registered spans behind them."""
+    prefix = f"v{uuid.uuid4().hex[:8]}_"  # queries may run side by side in one session
+    with extract_views(spark, fx.demo(spark, d), fx.elig(spark, d), fx.prpr(spark, d), fx.prrg(spark, d), fx.AS_OF, fx.cob(spark, d), prefix=prefix) as sql:
+        return sql(
+            f"""
+            WITH m AS (SELECT substr(CM_DEMO_GRGR_ID, 1, 2) AS STATE_ID, count(*) AS members FROM {prefix}members GROUP BY 1),
+            s AS (
+              SELECT substr(CM_GRGR_ID, 1, 2) AS STATE_ID, count(*) AS spans, count_if(trim(elig_pcp_mdcd_id) <> '') AS registered
+              FROM {prefix}spans GROUP BY 1
+            ), r AS (
+              SELECT STATE_ID, REC_NUM, count(*) AS records, count(DISTINCT SBSB_ID) AS subscribers FROM {prefix}records GROUP BY ALL
+            )
+            SELECT r.STATE_ID, r.REC_NUM, records, subscribers, coalesce(members, 0) AS members, coalesce(spans, 0) AS spans, coalesce(registered, 0) AS registered
+            FROM r LEFT JOIN m ON m.STATE_ID <=> r.STATE_ID LEFT JOIN s ON s.STATE_ID <=> r.STATE_ID
+            """
+        )
+
+
+def typed_span_detail_q(spark: SparkSession, d: str) -> DataFrame:
+    """The span detail from ELIG written once with typed, sorted dates, whose run-date test the scan answers from file statistics."""
+    spans = write_spans(fx.elig(spark, d), scratch_path(spark, "typed-spans"))
+    return _detail_columns(span_detail(spans, fx.demo(spark, d), fx.AS_OF))
+
+
+def malformed_lines_q(spark: SparkSession, d: str) -> DataFrame:
+    """Writes DEMO, ELIG and COB with some lines cut after the member's key columns and some with
+    a surplus field, reads them back counting, and adds the rows that came through: lines,
+    short and surplus ones, rows and distinct last-column values by kind."""
+    out = None
+    for kind, (key, df) in {
+        "DEMO": ("CM_DEMO_MEME_CK", fx.demo(spark, d)),
+        "ELIG": ("CM_ELIG_MEME_CK", fx.elig(spark, d)),
+        "COB": ("CM_COB_MEME_CK", fx.cob(spark, d)),
+    }.items():
+        root = scratch_path(spark, f"malformed-{kind}")
+        # cut lines end before the last column, surplus ones have a field more
+        n = F.col(key).cast("long")
+        line = F.concat_ws(SEPARATOR, *[F.coalesce(F.col(c), F.lit("")) for c in df.columns])
+        short = F.concat_ws(SEPARATOR, *[F.coalesce(F.col(c), F.lit("")) for c in df.columns[:-1]])
+        text = F.when(n % 7 == 3, short).when(n % 11 == 5, F.concat(line, F.lit(f"{SEPARATOR}surplus"))).otherwise(line)
+        df.select(text.alias("value")).write.text(f"{root}/data")
+        write_delimited(df.limit(0), f"{root}/none", f"{root}/layout")
+        obs = Observation(kind)
+        back = stage(read_checked(spark, f"{root}/data", layout_schema(spark, f"{root}/layout"), obs), f"{root}/rows")
+        counts = obs.get
+        rows = back.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.trim(df.columns[-1]) != "", True)).alias("last_filled"), F.sum(F.col(key).cast("long")).alias("member_sum"))
+        rows = rows.select(F.lit(kind).alias("kind"), *[F.lit(int(counts[m])).cast("long").alias(m) for m in ("lines", "short", "surplus")], "rows", "last_filled", "member_sum")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def prepared_joins_q(spark: SparkSession, d: str, buckets: int = 16) -> DataFrame:
+    """DEMO, ELIG and the state saved in buckets by their join keys; by state of the group, the rows of the
+    three joins that need no exchange then: active members (JN-1), the timeline (JN-6) and the state that a change keeps (JN-8)."""
+    demo, elig, state = prepared_tables(spark, d, buckets)
+    changed = spark.read.table(elig["member"]).filter(F.col("CM_ELIG_MEME_CK").cast("long") % 4 == 1).select(F.col("CM_ELIG_MEME_CK").alias("_member"))
+    members = active_members(spark.read.table(demo["span"]), spark.read.table(elig["span"]), fx.AS_OF)
+    timeline = ch.member_timeline(spark.read.table(demo["member"]), spark.read.table(elig["member"]))
+    kept = spark.read.table(state["member"]).join(changed, F.col("MEME_CK") == F.col("_member"), "left_anti")
+    rows = [("JN-1", members, "CM_DEMO_MEME_CK"), ("JN-6", timeline, "CM_DEMO_MEME_CK"), ("JN-8", kept, "MEME_CK")]
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct(key).alias("members"), F.sum(F.col(key).cast("long")).alias("member_sum")).select(F.lit(name).alias("join"), "*")
+        for name, df, key in rows
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+def prepared_tables(spark: SparkSession, d: str, buckets: int) -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """The catalog names of DEMO, ELIG and the state, bucketed by the member (``member``) and, DEMO and ELIG, by member and group (``span``)."""
+    tag = uuid.uuid4().hex[:12]
+    demo, elig, state = fx.demo(spark, d), fx.elig(spark, d), fx.span_state(spark, d)
+    plans = {
+        "demo": {"member": (demo, ["CM_DEMO_MEME_CK"]), "span": (demo, ["CM_DEMO_MEME_CK", "CM_DEMO_GRGR_CK"])},
+        "elig": {"member": (elig, ["CM_ELIG_MEME_CK"]), "span": (elig, ["CM_ELIG_MEME_CK", "CM_ELIG_GRGR_CK"])},
+        "state": {"member": (state, ["MEME_CK"])},
+    }
+    out = []
+    for what, ways in plans.items():
+        names = {}
+        for way, (df, keys) in ways.items():
+            names[way] = f"prepared_{what}_{way}_{tag}"
+            write_prepared(df, names[way], keys, buckets, scratch_path(spark, f"prepared-{what}-{way}"))
+        out.append(names)
+    return tuple(out)
+
+
 def catalog_registration_q(spark: SparkSession, d: str) -> DataFrame:
     """Saves providers and registrations as catalog tables in the shared folder and joins them by table name."""
     tag = uuid.uuid4().hex[:12]
@@ -183,6 +286,17 @@ def member_timeline_q(spark: SparkSession, d: str) -> DataFrame:
     return ch.timeline_counts(fx.demo(spark, d), fx.elig(spark, d), fx.cob(spark, d))
 
 
+def member_timeline_rows_q(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of DEMO ⋈ ELIG ⟕ COB by member and policy: how many, the first and the last span, and the distinct spans."""
+    rows = ch.member_timeline(fx.demo(spark, d), fx.elig(spark, d), fx.cob(spark, d))
+    return rows.groupBy("CM_DEMO_MEME_CK", "CM_COB_POLICY_ID", "CM_COB_EFF_DT").agg(
+        F.count(F.lit(1)).alias("timeline_rows"),
+        F.min("CM_ELIG_EFF_DT").alias("first_eff"),
+        F.max("CM_ELIG_TERM_DT").alias("last_term"),
+        F.count(F.when(F.col("CM_MEPE_ELIG_IND") == "Y", True)).alias("eligible_rows"),
+    )
+
+
 def composite_keys_q(spark: SparkSession, d: str) -> DataFrame:
     return ch.with_composite_keys(_timeline(spark, d)).select(
         "CM_ELIG_MEME_CK",
@@ -223,9 +337,15 @@ QUERIES: dict[str, Query] = {
     "delimited_roundtrip": delimited_roundtrip_q,
     "table_slice_roundtrip": table_slice_roundtrip_q,
     "extract_file_lines": extract_file_lines_q,
+    "extract_one_file_lines": extract_one_file_lines_q,
+    "sql_views": sql_views_q,
+    "typed_span_detail": typed_span_detail_q,
+    "malformed_lines": malformed_lines_q,
+    "prepared_joins": prepared_joins_q,
     "state_snapshot_roundtrip": state_snapshot_roundtrip_q,
     "catalog_registration": catalog_registration_q,
     "member_timeline": member_timeline_q,
+    "member_timeline_rows": member_timeline_rows_q,
     "composite_keys": composite_keys_q,
     "state_deleted_keys": lambda s, d: _change(s, d).deleted_keys,
     "state_kept": lambda s, d: _change(s, d).kept,

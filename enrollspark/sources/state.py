@@ -1,31 +1,25 @@
-"""Versioned span state in member-hash buckets (SRC-5, SNK-2/3).
-
-Layout under a state root::
-
-    data/<run>/bucket=<b>/    span rows of the members whose hash is b (parquet)
-    published/v=<n>.json      the manifest of version n: for each bucket the run that wrote it
-
-A change run writes a new folder with the buckets of the changed members only; all
-other buckets keep the files of earlier runs, so its cost follows the change. A
-version exists once its manifest does. The manifest is created exclusively: of two
-runs that both start from version n one publishes n + 1, and the other reads that
-version and applies its change anew. A run that dies leaves a data folder that no
-manifest names.
+"""Span state as a plain Parquet table partitioned by member bucket (SRC-5, SNK-2/3).
+
+A change run reads the buckets of its members, applies the change, stages the result and
+overwrites those partitions (Spark's dynamic partition overwrite); all other partitions
+keep their files, so its cost follows the change. One writer at a time: Spark's file
+commit doesn't arbitrate between two. A run that dies before its overwrite leaves the
+table as it was; one that dies within it is mended by running the same change again,
+which gives the same rows.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from enrollspark.session import file_system, remove_path
+from enrollspark.session import remove_path, scratch_path
 
-BUCKETS = 64
+BUCKETS = 64  # one number for the life of a table
 
 STATE_SCHEMA = T.StructType(
     [
@@ -40,158 +34,68 @@ STATE_SCHEMA = T.StructType(
         T.StructField("PDPD_ID", T.StringType()),
     ]
 )
-
-
-class VersionTaken(Exception):
-    """Another run published this version first."""
+COLUMNS = STATE_SCHEMA.fieldNames()
+_TABLE_SCHEMA = T.StructType([*STATE_SCHEMA.fields, T.StructField("bucket", T.IntegerType())])
 
 
 def bucket_of(member: str = "MEME_CK", buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(member), F.lit(buckets)).cast("int")
 
 
-def _published(root: str) -> str:
-    return f"{root.rstrip('/')}/published"
+def _table(root: str) -> str:
+    return f"{root.rstrip('/')}/spans"
 
 
-def _folder(root: str, run: str, bucket: int | None = None) -> str:
-    base = f"{root.rstrip('/')}/data/{run}"
-    return base if bucket is None else f"{base}/bucket={bucket}"
+def _buckets(spark: SparkSession, root: str) -> DataFrame:
+    """The table's rows with their bucket; none where no state was written yet.
 
+    A row without key and member stands for a bucket that a change emptied.
+    """
+    try:
+        rows = spark.read.schema(_TABLE_SCHEMA).parquet(_table(root))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in _TABLE_SCHEMA])
+    return rows.filter(F.col("row_key").isNotNull() | F.col("MEME_CK").isNotNull())
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """The published versions, oldest first."""
-    fs, p = file_system(spark, _published(root))
-    if not fs.exists(p):
-        return []
-    names = [f.getPath().getName() for f in fs.listStatus(p)]
-    return sorted(int(n[2:-5]) for n in names if n.startswith("v=") and n.endswith(".json"))
 
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """The state's rows; an empty state when there is none."""
+    return _buckets(spark, root).select(*COLUMNS)
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    """Newest published version under ``root``, or None."""
-    return max(versions(spark, root), default=None)
 
+def _write(rows: DataFrame, root: str, how: str) -> None:
+    """Write rows with their bucket; a bucket's rows meet in few files, and Spark splits a partition that grows too large."""
+    out = rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", how)
+    out.partitionBy("bucket").parquet(_table(root))
 
-def read_manifest(spark: SparkSession, root: str, version: int) -> dict:
-    """``{"buckets": number, "runs": {bucket: run}}``; a bucket without rows isn't named."""
-    fs, p = file_system(spark, f"{_published(root)}/v={version}.json")
-    stream = fs.open(p)
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    m = json.loads(text)
-    return {"buckets": m["buckets"], "runs": {int(b): r for b, r in m["runs"].items()}}
 
+def write_state(state: DataFrame, root: str, buckets: int = BUCKETS) -> None:
+    """Replace the whole state."""
+    _write(state.select(*COLUMNS, bucket_of(buckets=buckets).alias("bucket")), root, "static")
 
-def _publish(spark: SparkSession, root: str, version: int, manifest: dict) -> None:
-    """Write the manifest under a name of its own, then rename it to the version's, which mustn't exist.
 
-    The rename is the exclusive step (atomic in a file system whose rename is, such as
-    HDFS); no reader sees half a manifest, and a run that dies before it leaves a draft.
-    """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    fs, target = file_system(spark, f"{_published(root)}/v={version}.json")
-    draft = hadoop.Path(f"{_published(root)}/{uuid.uuid4().hex}.draft")
-    out = fs.create(draft, False)
-    try:
-        out.write(bytearray(json.dumps(manifest).encode()))
-    finally:
-        out.close()
-    never_over = spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
-    never_over[0] = getattr(hadoop.Options.Rename, "NONE")
-    files = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
-    try:
-        files.rename(draft, target, never_over)
-    except Exception as e:
-        fs.delete(draft, False)
-        if fs.exists(target):
-            raise VersionTaken(f"state version {version} was published by another run") from e
-        raise
-
-
-def _read(spark: SparkSession, root: str, runs: dict[int, str]) -> DataFrame:
-    if not runs:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in STATE_SCHEMA])
-    # one path for each bucket at most
-    return spark.read.schema(STATE_SCHEMA).parquet(*[_folder(root, r, b) for b, r in sorted(runs.items())])
-
-
-def read_state(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The published ``version`` (default: newest); an empty state when there is none."""
-    if version is None:
-        version = latest_version(spark, root)
-    return _read(spark, root, {} if version is None else read_manifest(spark, root, version)["runs"])
-
-
-def _write(rows: DataFrame, root: str, buckets: int) -> tuple[str, set[int]]:
-    """Write rows into a new run folder by bucket; the run's name and the buckets that have rows."""
-    run = uuid.uuid4().hex
-    spark = rows.sparkSession
-    out = rows.select(*STATE_SCHEMA.fieldNames(), bucket_of(buckets=buckets).alias("bucket"))
-    # a bucket's rows meet in few files; Spark splits a partition that grows too large
-    out.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(_folder(root, run))
-    fs, p = file_system(spark, _folder(root, run))
-    names = [f.getPath().getName() for f in fs.listStatus(p)]
-    return run, {int(n.removeprefix("bucket=")) for n in names if n.startswith("bucket=")}
-
-
-def write_snapshot(state: DataFrame, root: str, version: int, buckets: int = BUCKETS) -> str:
-    """Write the whole ``state`` as ``version`` and publish it; refuses one that isn't newer than the newest."""
-    spark = state.sparkSession
-    latest = latest_version(spark, root)
-    if latest is not None and version <= latest:
-        raise ValueError(f"state version {version} is not newer than the published version {latest}")
-    run, filled = _write(state, root, buckets)
-    _publish(spark, root, version, {"buckets": buckets, "runs": dict.fromkeys(sorted(filled), run)})
-    return _folder(root, run)
-
-
-def update_state(
-    spark: SparkSession,
-    root: str,
-    members: DataFrame,
-    change: Callable[[DataFrame], DataFrame],
-    buckets: int = BUCKETS,
-    attempts: int = 5,
-) -> int:
-    """Publish the next version, in which the buckets of ``members`` (column MEME_CK) are rewritten by ``change``.
-
-    ``change`` gets the rows of those buckets and returns what they hold afterwards. If
-    another run publishes first, its version is read and the change applied again.
-    """
-    for _ in range(attempts):
-        latest = latest_version(spark, root)
-        now = {"buckets": buckets, "runs": {}} if latest is None else read_manifest(spark, root, latest)
-        n, runs = now["buckets"], now["runs"]
-        touched = {r["b"] for r in members.select(bucket_of(buckets=n).alias("b")).distinct().collect()}  # one row for each bucket
-        run, filled = _write(change(_read(spark, root, {b: r for b, r in runs.items() if b in touched})), root, n)
-        if filled - touched:
-            raise ValueError("a change may not put rows of members that it doesn't name")
-        new = {b: r for b, r in runs.items() if b not in touched} | dict.fromkeys(sorted(filled), run)
-        version = (latest or 0) + 1
-        try:
-            _publish(spark, root, version, {"buckets": n, "runs": new})
-        except VersionTaken:
-            remove_path(spark, _folder(root, run))
-            continue
-        return version
-    raise VersionTaken(f"no version could be published in {attempts} attempts")
-
-
-def retire_versions(spark: SparkSession, root: str, keep: int) -> list[int]:
-    """Unpublish all but the newest ``keep`` versions and delete the bucket folders that only they named.
-
-    Run it when no reader uses the old versions. Folders of runs that published
-    nothing stay, as such a run may still be at work.
+def update_state(spark: SparkSession, root: str, members: DataFrame, change: Callable[[DataFrame], DataFrame], buckets: int = BUCKETS) -> int:
+    """Rewrite the buckets of ``members`` (column MEME_CK) by ``change``; the number of buckets rewritten.
+
+    ``change`` gets the rows of those buckets and returns what they hold afterwards. The
+    result is staged before the table is touched, as it is made from the partitions that it
+    replaces. Rows of members in other buckets are an error.
     """
-    every = versions(spark, root)
-    old, kept = every[: max(0, len(every) - max(1, keep))], every[-max(1, keep) :]
-    used = {x for v in kept for x in read_manifest(spark, root, v)["runs"].items()}
-    gone = {x for v in old for x in read_manifest(spark, root, v)["runs"].items()} - used
-    for v in old:
-        remove_path(spark, f"{_published(root)}/v={v}.json")
-    for b, run in sorted(gone):
-        remove_path(spark, _folder(root, run, b))
-    return old
+    touched = sorted(r["b"] for r in members.select(bucket_of(buckets=buckets).alias("b")).distinct().collect())  # one row for each bucket
+    if not touched:
+        return 0
+    now = _buckets(spark, root).filter(F.col("bucket").isin(touched)).select(*COLUMNS)
+    path = scratch_path(spark, "state")
+    change(now).select(*COLUMNS, bucket_of(buckets=buckets).alias("bucket")).write.parquet(path)
+    after = spark.read.schema(_TABLE_SCHEMA).parquet(path)
+    filled = {r["bucket"] for r in after.select("bucket").distinct().collect()}
+    if filled - set(touched):
+        remove_path(spark, path)
+        raise ValueError("a change may not put rows of members that it doesn't name")
+    # an overwrite leaves a partition alone that it has no row for
+    empty = spark.createDataFrame([(None,) * len(COLUMNS) + (b,) for b in touched if b not in filled], _TABLE_SCHEMA)
+    _write(after.unionByName(empty), root, "dynamic")
+    remove_path(spark, path)
+    return len(touched)

@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 from enrollspark.plans.extract import ExtractConfig, run_extract
 from enrollspark.sources import fixtures as fx
 from enrollspark.sources.delimited import input_path, layout_path, write_delimited
-from enrollspark.sources.state import latest_version, read_state, write_snapshot
+from enrollspark.sources.state import read_state, write_state
 
 
 def test_change_run_writes_file_and_next_state(spark, tmp_out):
@@ -19,7 +19,7 @@ def test_change_run_writes_file_and_next_state(spark, tmp_out):
     inputs = {"DEMO": fx.change_demo(spark, d), "ELIG": fx.change_elig(spark, d)}
     for kind, df in inputs.items():
         write_delimited(df, input_path(staging, vendor, mode, state, kind), layout_path(layouts, kind))
-    write_snapshot(fx.span_state(spark, d), state_root, 1)
+    write_state(fx.span_state(spark, d), state_root)
 
     cfg = ExtractConfig(
         vendor=vendor, state=state, mode=mode, staging_dir=staging, layouts_dir=layouts, output_dir=out,
@@ -30,11 +30,10 @@ def test_change_run_writes_file_and_next_state(spark, tmp_out):
     assert len(files) == 1
     with open(files[0], encoding="utf-8") as f:
         assert sum(1 for _ in f) == res.rows > 0
-    assert res.state_version == 2 and latest_version(spark, state_root) == 2
+    assert 0 < res.state_buckets <= 64
     assert res.rejects == 5
     assert spark.read.parquet(f"{state_root}/rejects/*").count() == 5
     assert read_state(spark, state_root).count() == 682
-    assert read_state(spark, state_root, 1).count() == 500
 
 
 def test_full_run_leaves_state_alone(spark, tmp_out):
@@ -46,8 +45,8 @@ def test_full_run_leaves_state_alone(spark, tmp_out):
                         output_dir=out, state_root=f"{tmp_out}/state", as_of=fx.AS_OF)
     res = run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
     assert res.rows == 332
-    assert res.state_version is None
-    assert latest_version(spark, f"{tmp_out}/state") is None
+    assert res.state_buckets is None and res.lines is None
+    assert read_state(spark, f"{tmp_out}/state").count() == 0
 
 
 def test_command_line_job(spark, tmp_out):
@@ -66,7 +65,7 @@ def test_command_line_job(spark, tmp_out):
         spark=spark,
     )
     assert res["rows"] == 332 + 375
-    assert res["state_version"] is None
+    assert res["state_buckets"] is None
 
 
 def test_run_from_partitioned_tables(spark, tmp_out):
@@ -88,16 +87,32 @@ def test_repeated_change_run_publishes_identical_state(spark, tmp_out):
     staging, layouts, state_root = (f"{tmp_out}/{x}" for x in ("staging", "layouts", "state"))
     for kind, df in (("DEMO", fx.change_demo(spark, d)), ("ELIG", fx.change_elig(spark, d))):
         write_delimited(df, input_path(staging, "V", "CHANGE", "DC", kind), layout_path(layouts, kind))
-    write_snapshot(fx.span_state(spark, d), state_root, 1)
+    write_state(fx.span_state(spark, d), state_root)
     cfg = ExtractConfig(vendor="V", state="DC", mode="CHANGE", staging_dir=staging, layouts_dir=layouts,
                         output_dir=f"{tmp_out}/out", state_root=state_root, as_of=fx.AS_OF)
     first = run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
+    once = sorted(tuple(r) for r in read_state(spark, state_root).collect())
     second = run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
-    assert (first.state_version, second.state_version) == (2, 3)
-    v2 = sorted(tuple(r) for r in read_state(spark, state_root, 2).collect())
-    v3 = sorted(tuple(r) for r in read_state(spark, state_root, 3).collect())
-    assert v2 == v3 and len(v2) == 682
-    assert read_state(spark, state_root, 1).count() == 500
+    twice = sorted(tuple(r) for r in read_state(spark, state_root).collect())
+    assert first.state_buckets == second.state_buckets
+    assert once == twice and len(once) == 682
+
+
+def test_lines_are_counted_and_reports_written(spark, tmp_out):
+    d = SF_SMALL
+    staging, layouts = f"{tmp_out}/staging", f"{tmp_out}/layouts"
+    for kind, df in (("DEMO", fx.demo(spark, d)), ("ELIG", fx.elig(spark, d))):
+        write_delimited(df, input_path(staging, "V", "FULL", "DC", kind), layout_path(layouts, kind))
+    with open(f"{input_path(staging, 'V', 'FULL', 'DC', 'DEMO')}/more.txt".removeprefix("file:"), "w") as f:
+        f.write("DEMO|nobody\n")
+    cfg = ExtractConfig(vendor="V", state="DC", mode="FULL", staging_dir=staging, layouts_dir=layouts, output_dir=f"{tmp_out}/out",
+                        as_of=fx.AS_OF, check_lines=True, reports={"kinds": "SELECT REC_NUM, count(*) AS n FROM records GROUP BY REC_NUM"})
+    res = run_extract(spark, cfg, fx.prpr(spark, d), fx.prrg(spark, d))
+    assert res.rows == 332
+    demo, elig = fx.demo(spark, d).count(), fx.elig(spark, d).count()
+    assert res.lines == {"DEMO": {"lines": demo + 1, "short": 1, "surplus": 0}, "ELIG": {"lines": elig, "short": 0, "surplus": 0}}
+    got = {r["REC_NUM"]: r["n"] for r in spark.read.parquet(cfg.report_path("kinds")).collect()}
+    assert got == {1: 160, 2: 172}
 
 
 def test_a_change_run_without_a_state_fails_before_any_work(spark, tmp_out):

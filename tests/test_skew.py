@@ -155,3 +155,24 @@ def test_hot_subscriber_sends_few_rows(spark, skew_conf):
     assert sorted(tuple(r) for r in out.collect()) == sorted(want)
     p = out._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in p and "WindowGroupLimit" in p
+
+
+def test_hot_member_of_the_timeline_is_dealt_to_parts(spark, skew_conf):
+    """A member with very many policies meets its spans in several tasks; every row of the plain join is there once."""
+    from enrollspark.operators.change import member_timeline
+
+    demo = strings(spark, ["RECORD_TYPE", "CM_DEMO_MEME_CK", "D"], [("x", m, f"d{k}") for m in ("HOT", "7", "none") for k in range(2)])
+    elig = strings(spark, ["RECORD_TYPE", "CM_ELIG_MEME_CK", "E"], [("x", m, f"e{k}") for m in ("HOT", "7", "none", "other") for k in range(3)])
+    policies = [("HOT", f"p{k}") for k in range(300)] + [("HOT", "p1")] * 2 + [("7", "p"), (None, "q"), ("other", "r")]
+    cob = strings(spark, ["RECORD_TYPE", "CM_COB_MEME_CK", "P"], [("x", m, p) for m, p in policies])
+    out = member_timeline(demo, elig, cob, policies=20)
+    assert out.columns == ["RECORD_TYPE", "CM_DEMO_MEME_CK", "D", "CM_ELIG_MEME_CK", "E", "CM_COB_MEME_CK", "P"]
+    want = Counter()
+    for m in ("HOT", "7", "none"):
+        own = [p for q, p in policies if q == m] or [None]
+        want.update(("x", m, f"d{i}", m, f"e{k}", m if p else None, p) for i in range(2) for k in range(3) for p in own)
+    assert Counter(tuple(r) for r in out.collect()) == want
+    assert out.filter("CM_DEMO_MEME_CK = 'HOT'").select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+    # of two policies in two parts or more, parts without a policy give no rows
+    few = member_timeline(demo, elig, strings(spark, ["RECORD_TYPE", "CM_COB_MEME_CK", "P"], [("x", "7", "p")] * 5), policies=1)
+    assert few.filter("CM_DEMO_MEME_CK = '7'").count() == 30 and few.count() == 42

@@ -1,4 +1,4 @@
-"""Layout-driven delimited input and versioned state snapshots."""
+"""Layout-driven delimited input, and the state table."""
 
 import datetime as dt
 import glob
@@ -6,19 +6,10 @@ import os
 
 import pytest
 from helpers import strings
-from pyspark.sql import functions as F
+from pyspark.sql import Observation
 
-from enrollspark.sources.delimited import layout_schema, read_delimited, require_columns, write_delimited
-from enrollspark.sources.state import (
-    STATE_SCHEMA,
-    latest_version,
-    read_manifest,
-    read_state,
-    retire_versions,
-    update_state,
-    versions,
-    write_snapshot,
-)
+from enrollspark.sources.delimited import layout_schema, read_checked, read_delimited, require_columns, write_delimited
+from enrollspark.sources.state import STATE_SCHEMA, bucket_of, read_state, update_state, write_state
 
 
 def _write(path, text):
@@ -48,18 +39,24 @@ def test_write_then_read_keeps_values_null_and_empty(spark, tmp_out):
     assert norm(back.collect()) == norm(df.collect())
 
 
-def test_state_versions(spark, tmp_out):
+def test_checked_lines_are_counted_and_rows_stay(spark, tmp_out):
+    _write(f"{tmp_out}/layout/part.csv", "A|B|C\n")
+    _write(f"{tmp_out}/data/part.txt", '1|x|y\n2|only\n3|a|b|surplus\n4||\n5\n6|"q|r"|s\n7|"q|r"\n8|a"b|c"d|e\n9|"a\\"|b"|c\n')
+    schema = layout_schema(spark, f"{tmp_out}/layout")
+    obs = Observation("lines")
+    rows = sorted(tuple(r) for r in read_checked(spark, f"{tmp_out}/data", schema, obs).collect())
+    assert rows == sorted(tuple(r) for r in read_delimited(spark, f"{tmp_out}/data", schema).collect()) and len(rows) == 9
+    assert obs.get == {"lines": 9, "short": 3, "surplus": 2}
+
+
+def test_state_is_written_read_and_replaced(spark, tmp_out):
     root = f"{tmp_out}/state"
-    assert latest_version(spark, root) is None
-    assert read_state(spark, root).count() == 0
+    assert read_state(spark, root).count() == 0 and read_state(spark, root).columns == STATE_SCHEMA.fieldNames()
     row = ("1_2020-01-01", "1", dt.date(2020, 1, 1), None, "", "", "", "", "")
-    write_snapshot(spark.createDataFrame([row], STATE_SCHEMA), root, 1)
-    write_snapshot(spark.createDataFrame([row, row], STATE_SCHEMA), root, 2)
-    assert latest_version(spark, root) == 2
-    assert read_state(spark, root).count() == 2
-    assert read_state(spark, root, 1).count() == 1
-    with pytest.raises(ValueError):
-        write_snapshot(spark.createDataFrame([row], STATE_SCHEMA), root, 2)
+    write_state(spark.createDataFrame([row, row, (None, "x", *row[2:])], STATE_SCHEMA), root)
+    assert sorted(map(str, read_state(spark, root).collect())) == sorted(map(str, spark.createDataFrame([row, row, (None, "x", *row[2:])], STATE_SCHEMA).collect()))
+    write_state(spark.createDataFrame([row], STATE_SCHEMA), root)
+    assert [tuple(r) for r in read_state(spark, root).collect()] == [row]
 
 
 def _row(member, day, cspi=""):
@@ -67,67 +64,60 @@ def _row(member, day, cspi=""):
 
 
 def _files(root):
-    return sorted(f for f in glob.glob(f"{root.removeprefix('file:')}/data/*/bucket=*/*.parquet"))
-
-
-def test_unpublished_leftover_is_invisible(spark, tmp_out):
-    root = f"{tmp_out}/state"
-    write_snapshot(spark.createDataFrame([_row(1, 1)], STATE_SCHEMA), root, 1)
-    # a run that died after writing data files but before publishing
-    spark.createDataFrame([_row(1, 2)] * 5, STATE_SCHEMA).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{root}/data/dead")
-    assert latest_version(spark, root) == 1 and read_state(spark, root).count() == 1
-    write_snapshot(spark.createDataFrame([_row(m, 1) for m in range(3)], STATE_SCHEMA), root, 2)
-    assert latest_version(spark, root) == 2 and read_state(spark, root).count() == 3
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{root.removeprefix('file:')}/spans/bucket=*/*.parquet")}
 
 
-def _put(spark, root, rows, hook=lambda: None):
+def _put(spark, root, rows):
     new = spark.createDataFrame(rows, STATE_SCHEMA)
-
-    def change(old):
-        hook()
-        return old.join(new.select("MEME_CK").distinct(), "MEME_CK", "left_anti").select(*new.columns).unionByName(new)
-
+    change = lambda old: old.join(new.select("MEME_CK").distinct(), "MEME_CK", "left_anti").select(*new.columns).unionByName(new)
     return update_state(spark, root, new, change)
 
 
 def test_a_change_rewrites_only_the_buckets_of_its_members(spark, tmp_out):
     root = f"{tmp_out}/state"
-    write_snapshot(spark.createDataFrame([_row(m, d) for m in range(200) for d in (1, 2)], STATE_SCHEMA), root, 1)
+    write_state(spark.createDataFrame([_row(m, d) for m in range(200) for d in (1, 2)], STATE_SCHEMA), root)
     before = _files(root)
-    assert _put(spark, root, [_row(7, 9, "new")]) == 2
-    one, two = (read_manifest(spark, root, v)["runs"] for v in (1, 2))
-    assert sum(one[b] != two[b] for b in one) == 1
-    assert set(before) <= set(_files(root))
+    assert _put(spark, root, [_row(7, 9, "new")]) == 1
+    b = spark.createDataFrame([("7",)], "MEME_CK string").select(bucket_of()).first()[0]
+    changed = {f for f in before if f"/bucket={b}/" in f}
+    after = _files(root)
+    assert changed and all(after.get(f) == t for f, t in before.items() if f not in changed)
+    assert not changed & set(after)
     got = read_state(spark, root)
     assert got.count() == 399 and [r["CSPI_ID"] for r in got.filter("MEME_CK = '7'").collect()] == ["new"]
-    assert read_state(spark, root, 1).count() == 400
 
 
-def test_two_runs_from_one_version_both_keep_their_change(spark, tmp_out):
+def test_a_change_applied_again_gives_the_same_rows(spark, tmp_out):
     root = f"{tmp_out}/state"
-    write_snapshot(spark.createDataFrame([_row(m, 1) for m in range(10)], STATE_SCHEMA), root, 1)
-    raced = []
+    write_state(spark.createDataFrame([_row(m, 1) for m in range(50)], STATE_SCHEMA), root)
+    _put(spark, root, [_row(5, 3), _row(6, 3), _row(900, 4)])
+    once = sorted(map(str, read_state(spark, root).collect()))
+    _put(spark, root, [_row(5, 3), _row(6, 3), _row(900, 4)])
+    assert sorted(map(str, read_state(spark, root).collect())) == once and len(once) == 51
 
-    def other_run_is_faster():
-        if not raced:
-            raced.append(_put(spark, root, [_row(1, 5, "other"), _row(2, 5, "other")]))
 
-    assert _put(spark, root, [_row(2, 7, "mine"), _row(3, 7, "mine")], other_run_is_faster) == 3
-    assert raced == [2]
-    got = {r["MEME_CK"]: r["CSPI_ID"] for r in read_state(spark, root).collect()}
-    assert (got["1"], got["2"], got["3"], got["4"]) == ("other", "mine", "mine", "")
-    assert len(got) == 10
+def test_a_bucket_can_be_emptied_and_filled_again(spark, tmp_out):
+    root = f"{tmp_out}/state"
+    write_state(spark.createDataFrame([_row(m, 1) for m in range(3)], STATE_SCHEMA), root)
+    one = spark.createDataFrame([("1",)], "MEME_CK string")
+    assert update_state(spark, root, one, lambda old: old.filter("MEME_CK <> '1'")) == 1
+    assert sorted(r["MEME_CK"] for r in read_state(spark, root).collect()) == ["0", "2"]
+    _put(spark, root, [_row(1, 8)])
+    assert sorted(r["row_key"] for r in read_state(spark, root).collect()) == ["0_2020-01-01", "1_2020-01-08", "2_2020-01-01"]
+    assert update_state(spark, root, one.limit(0), lambda old: old) == 0
 
 
-def test_retired_versions_leave_what_newer_ones_use(spark, tmp_out):
+def test_only_touched_partitions_are_read(spark, tmp_out):
     root = f"{tmp_out}/state"
-    write_snapshot(spark.createDataFrame([_row(m, 1) for m in range(50)], STATE_SCHEMA), root, 1)
-    for d in (2, 3, 4):
-        _put(spark, root, [_row(5, d)])
-    n = len(_files(root))
-    assert retire_versions(spark, root, 2) == [1, 2]
-    assert versions(spark, root) == [3, 4] and len(_files(root)) < n
-    assert read_state(spark, root).count() == 50 and read_state(spark, root, 3).count() == 50
+    write_state(spark.createDataFrame([_row(m, 1) for m in range(100)], STATE_SCHEMA), root)
+    plans = []
+
+    def change(old):
+        plans.append(old._jdf.queryExecution().executedPlan().toString())
+        return old
+
+    update_state(spark, root, spark.createDataFrame([("1",)], "MEME_CK string"), change)
+    assert "PartitionFilters: [isnotnull(bucket" in plans[0] or "PartitionFilters: [(bucket" in plans[0] or "PartitionFilters: [bucket" in plans[0]
 
 
 def test_a_change_may_not_put_other_members(spark, tmp_out):
@@ -136,6 +126,7 @@ def test_a_change_may_not_put_other_members(spark, tmp_out):
     rows = spark.createDataFrame([_row(m, 1) for m in range(40)], STATE_SCHEMA)
     with pytest.raises(ValueError, match="doesn't name"):
         update_state(spark, root, members, lambda old: rows)
+    assert read_state(spark, root).count() == 0
 
 
 def test_slices_with_names_alike_stay_apart(spark, tmp_out):

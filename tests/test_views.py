@@ -1,0 +1,50 @@
+"""The extract's intermediate results as views for SQL."""
+
+import pytest
+
+from conftest import SF_SMALL
+from enrollspark.plans.views import VIEWS, extract_views, named_views
+from enrollspark.sources import fixtures as fx
+
+
+def _names(spark):
+    return {t.name for t in spark.catalog.listTables() if t.isTemporary}
+
+
+def _inputs(spark):
+    d = SF_SMALL
+    return fx.demo(spark, d), fx.elig(spark, d), fx.prpr(spark, d), fx.prrg(spark, d), fx.AS_OF
+
+
+def test_views_are_there_while_the_run_lasts(spark):
+    before = _names(spark)
+    with extract_views(spark, *_inputs(spark), cob=fx.cob(spark, SF_SMALL)) as sql:
+        assert _names(spark) - before == set(VIEWS)
+        n = sql("SELECT REC_NUM, count(*) AS n FROM records GROUP BY REC_NUM ORDER BY REC_NUM")
+        assert sql("SELECT count(*) AS n FROM members").first()["n"] == 160
+    assert _names(spark) == before
+    assert [tuple(r) for r in n.collect()] == [(1, 160), (2, 172), (3, 375)]  # a planned query outlives its views
+
+
+def test_without_cob_there_are_no_cob_views(spark):
+    with extract_views(spark, *_inputs(spark), prefix="p_") as sql:
+        assert {f"p_{n}" for n in VIEWS if n not in ("cob", "policies")} <= _names(spark)
+        assert "p_cob" not in _names(spark)
+        assert sql("SELECT count(*) AS n FROM p_spans").first()["n"] == 172
+
+
+def test_views_are_dropped_after_an_error_and_never_overwritten(spark):
+    with pytest.raises(ZeroDivisionError), named_views(spark, {"mine": spark.range(3)}):
+        1 / 0
+    assert "mine" not in _names(spark)
+    spark.range(5).createOrReplaceTempView("taken")
+    with pytest.raises(ValueError, match="taken"), named_views(spark, {"other": spark.range(1), "taken": spark.range(1)}):
+        pass
+    assert spark.table("taken").count() == 5 and "other" not in _names(spark)
+    spark.catalog.dropTempView("taken")
+
+
+def test_pruning_reaches_through_a_view(spark):
+    with extract_views(spark, *_inputs(spark), prefix="q_") as sql:
+        p = sql("SELECT PRCR_ID FROM q_registrations")._jdf.queryExecution().executedPlan().toString()
+    assert "struct<p_partkey:bigint,p_size:int>" in p

@@ -45,7 +45,7 @@ def main() -> None:
     print("# Final plans with every join as a shuffle join\n")
     print(f"Generated by `tools/show_plans.py {sf}`; node ids and plan ids removed, long lines cut.\n")
     shown = {
-        "extract_records, ordered parts": sort_records(QUERIES["extract_records"](spark, sf), single_file=False),
+        "extract_records, ordered parts": sort_records(QUERIES["extract_records"](spark, sf)),
         "state_after_change": QUERIES["state_after_change"](spark, sf),
         "latest_registration": QUERIES["latest_registration"](spark, sf),
         "cob_top5": QUERIES["cob_top5"](spark, sf),
