@@ -21,9 +21,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from enrollspark.llm.common import stage
+from enrollspark.llm.common import row_salt, stage
 from enrollspark.llm.components import components
-from enrollspark.llm.shards import row_salt, visit_shards
+from enrollspark.llm.shards import visit_shards
 
 THRESHOLD = 0.9
 TILE = 4096  # vectors that a task holds
@@ -39,10 +39,10 @@ def scaled_vector(embedding: Column) -> Column:
     """The vector in doubles, times a power of two that brings its largest component to 1 or 2, so that no norm over- or underflows; null if it is null, zero, or holds null or non-finite components."""
     x = F.transform(embedding, lambda v: v.cast("double"))
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf"))))
-    most = F.aggregate(F.when(~bad, x), F.lit(0.0), lambda a, v: F.greatest(a, F.abs(v)))
+    most = F.array_max(F.transform(F.when(~bad, x), lambda v: F.abs(v)))
     # in two steps, as the power itself may be beyond a double; the zeros of either sign are one
-    half = lambda: F.pow(F.lit(2.0), F.floor(-F.log2(most) / 2))
-    return F.when(most > 0, F.transform(x, lambda v: v * half() * half() + F.lit(0.0)))
+    half = F.transform(F.array(most), lambda m: F.when(m > 0, F.pow(F.lit(2.0), F.floor(-F.log2(m) / 2))))
+    return F.transform(half, lambda h: F.when(h.isNotNull(), F.transform(x, lambda v: v * h * h + F.lit(0.0))))[0]
 
 
 def unit(x: np.ndarray) -> np.ndarray:
