@@ -68,20 +68,39 @@ def filter_above(df: DataFrame, condition: Column) -> DataFrame:
     return df.withColumn(row, F.monotonically_increasing_id()).filter(condition & (F.col(row) >= 0)).drop(row)
 
 
+def row_salt() -> Column:
+    """A hash of a row's file and place there: rows that are equal in all columns differ in it. For tables read from staged files only."""
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
+
+
+def deal(staged: DataFrame, keys: list[Column], rows: int, out: str) -> DataFrame:
+    """Add ``out``, a number of a bucket of about ``rows`` rows: by the hash of ``keys``.
+
+    A bucket of more than twice as many, as rows with equal keys make it, is dealt on by file
+    and row, so no bucket is large whatever the rows hold. ``staged`` is read from files.
+    """
+    b, salt, n, parts = private(staged, f"{out}_hash", f"{out}_salt", f"{out}_of", f"{out}_parts")
+    buckets = max(1, -(-staged.count() // rows))
+    d = staged.select("*", F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias(b), row_salt().alias(salt))
+    crowded = d.groupBy(F.col(b).alias(n)).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(parts)).filter(F.col(parts) > 2)
+    if crowded.isEmpty():
+        return d.withColumn(out, F.col(b)).drop(b, salt)
+    d = d.join(crowded, F.col(b) == F.col(n), "left")
+    return d.withColumn(out, F.col(b) + F.lit(buckets) * F.pmod(F.col(salt), F.coalesce(F.col(parts), F.lit(1)))).drop(b, salt, n, parts)
+
+
 def number_rows(df: DataFrame, group: str, order: list[Column], out: str, rows_per_bucket: int = 4096) -> DataFrame:
     """Add ``out``: a gapless number from 0 within each ``group``, rows in ``order``.
 
-    No group is gathered in one task, however large: rows are dealt to buckets by the
+    No group is gathered in one task, however large, nor are rows with equal keys: rows are dealt
+    to buckets of bounded size (``deal``) by the
     hash of their order keys whatever their group, numbered by group in their bucket,
-    and start after their group's rows in the buckets before. The number of buckets
-    follows the number of rows, so a bucket stays near ``rows_per_bucket``. Rows with equal order keys
+    and start after their group's rows in the buckets before. Rows with equal order keys
     are numbered in any way; the numbers of a group are in hash order, not key order.
-    ``df`` is read twice, so give a staged or cheap one.
+    ``df`` is staged.
     """
     b, r, n, s = private(df, "bucket", "row", "rows", "start")
-    total = df.select(F.count(F.lit(1))).first()[0]
-    buckets = max(1, -(-total // rows_per_bucket))
-    d = df.withColumn(b, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+    d = deal(stage(df, "numbered"), order, rows_per_bucket, b)
     dealt = d.repartition(F.col(b))  # by bucket alone: a group's size makes no task larger
     w = Window.partitionBy(group, b).orderBy(*order)
     counts = d.groupBy(group, b).agg(F.count(F.lit(1)).alias(n))

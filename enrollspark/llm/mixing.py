@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from enrollspark.llm.common import number_rows, private, stage
 
 BLOCK = 64  # documents in a block
-RUN = 256  # slots that are scheduled together
+RUN = 256  # slots that are scheduled in a row
 
 
 def epochs(blocks: list[int], shares: list[int]) -> list[tuple[int, int, list[int], list[int]]]:
@@ -89,13 +89,19 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def weighted_slots(sizes: DataFrame, block: int) -> DataFrame:
-    """(name, block, slot) of every block of every source, from (name, rows): earliest deadline first over released blocks.
+def _time(pieces: Column, slots: Column) -> Column:
+    """Virtual time at which the ideal stream has run ``slots``; a hair later, so that rounding never holds a block back."""
+    return F.array_max(F.transform(pieces, lambda p: (slots - p["a"]) / p["w"])) * F.lit(1 + 1e-12)
 
-    Deadlines are compared by virtual time, which rises with the slot; ties go to the
-    name first in order, null before all. The schedule is a fold over the slots in one task,
-    each step of which looks at every source.
-    """
+
+def _begun(n: Column, w: Column, v: Column) -> Column:
+    """How many of a source's ``n`` blocks the ideal stream began before virtual time ``v``: those with k / w < v."""
+    guess = F.least(n, F.greatest(F.lit(0), F.ceil(v * w).cast("int")))
+    return F.when((guess < n) & (guess / w < v), guess + 1).when((guess > 0) & ((guess - 1) / w >= v), guess - 1).otherwise(guess)
+
+
+def _stream(sizes: DataFrame, block: int) -> DataFrame:
+    """One row for the stream: its sources' names, blocks (n) and weights (w) in order, the pieces of t(v), and how many slots it has."""
     s = sizes.select("name", F.ceil(F.col("rows") / block).cast("int").alias("n"), F.sqrt("rows").alias("w"))
     s = stage(s, "weights")
     one = s.agg(F.array_sort(F.collect_list(F.struct(F.col("name").isNotNull().alias("named"), "name", "n", "w"))).alias("all"))
@@ -103,44 +109,132 @@ def weighted_slots(sizes: DataFrame, block: int) -> DataFrame:
     dry = s.groupBy((F.col("n") / F.col("w")).alias("v")).agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
     before, after = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy("v").rowsBetween(0, Window.unboundedFollowing)
     pieces = dry.select(F.coalesce(F.sum("n").over(before), F.lit(0)).cast("double").alias("a"), F.sum("w").over(after).alias("w"))
-    one = one.crossJoin(pieces.agg(F.collect_list(F.struct("a", "w")).alias("pieces")))
-    jobs = F.transform("all", lambda x, i: F.struct(i.alias("i"), F.lit(0).alias("k"), x["n"].alias("n"), x["w"].alias("w")))
-    one = one.select(jobs.alias("jobs"), "pieces", F.aggregate("all", F.lit(0).cast("long"), lambda a, x: a + x["n"]).alias("total")).filter("total > 0")
+    pieces = pieces.agg(F.collect_list(F.struct("a", "w")).alias("pieces")).withColumn("one", F.lit(0))
+    one = one.withColumn("one", F.lit(0)).join(pieces, "one")
+    return one.select(
+        "one", F.col("all.name").alias("name"), F.col("all.n").alias("n"), F.col("all.w").alias("w"), "pieces",
+        F.aggregate("all", F.lit(0).cast("long"), lambda acc, x: acc + x["n"]).alias("total"),
+    )
 
-    def step(acc, t):
-        end = F.array_max(F.transform("pieces", lambda x: (t + 1 - x["a"]) / x["w"]))  # virtual time at the slot's end
-
-        def pick(end):
-            return F.array_min(
-                F.transform(
-                    acc["jobs"],
-                    # a block is released where the ideal stream begins it before the slot's end; one that rounding holds back comes after these
-                    lambda x: F.when(x["k"] < x["n"], F.struct((x["k"] / x["w"] >= end).alias("late"), ((x["k"] + 1) / x["w"]).alias("due"), x["i"].alias("i"), x["k"].alias("k"))),
-                )
+
+def _spread(rows: DataFrame, runs: int) -> DataFrame:
+    """A row for each run, in enough partitions: by number, as their bytes say nothing of their work."""
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(1, min(runs, tasks)), "run")
+
+
+def _behind(stream: DataFrame, runs: int, run: int) -> DataFrame:
+    """(run, behind): for every run the array of how many blocks begun are not done after each of its slots.
+
+    A slot always runs a block, so that is the blocks begun less the slots, whichever blocks they are.
+    """
+    spark = stream.sparkSession
+    d = spark.range(runs).select(F.col("id").alias("run"), F.lit(0).alias("one")).join(stream, "one")
+    after = F.sequence(F.col("run") * run + 1, F.least((F.col("run") + 1) * run, F.col("total")))
+
+    def count(slots: Column) -> Column:
+        return _bound(
+            _time(F.col("pieces"), slots), lambda v: F.aggregate(F.zip_with("n", "w", lambda n, w: _begun(n, w, v)), F.lit(0).cast("long"), lambda acc, x: acc + x) - slots
+        )
+
+    return _spread(d, runs).select("run", F.transform(after, count).alias("behind"))
+
+
+def _states(stream: DataFrame, runs: int, run: int) -> DataFrame:
+    """(run, done): how many blocks of each source the schedule has done when a run begins, for every run but the first.
+
+    Of each source at most the last block begun is not done. Of these blocks, earliest
+    deadline first leaves the ones with the latest deadlines undone, as many as are behind;
+    but blocks that began up to any slot can't be left beyond the number
+    that was behind at some slot since, when at most so many were waiting.
+    """
+    spark = stream.sparkSession
+    behind = stage(_behind(stream, runs, run), "behind")
+    d = _spread(spark.range(1, runs).select(F.col("id").alias("run"), F.lit(0).alias("one")).join(stream, "one"), runs)
+    d = d.select("run", "pieces", _time(F.col("pieces"), F.col("run") * run).alias("v"), F.posexplode(F.arrays_zip("n", "w")).alias("i", "x"))
+    d = d.select("run", "pieces", "i", F.col("x.w").alias("w"), _begun(F.col("x.n"), F.col("x.w"), F.col("v")).alias("begun"))
+    # the slot in which the last block began
+    u = (F.col("begun") - 1) / F.col("w")
+    d = d.withColumn("t", F.floor(F.array_min(F.transform("pieces", lambda p: p["a"] + u * p["w"]))))
+    d = d.withColumn("t", F.when((F.col("t") > 0) & (u < _time(F.col("pieces"), F.col("t"))), F.col("t") - 1).when(u < _time(F.col("pieces"), F.col("t") + 1), F.col("t")).otherwise(F.col("t") + 1))
+    d = d.select("run", "i", "begun", (F.col("begun") / F.col("w")).alias("due"), F.when(F.col("begun") > 0, F.col("t")).alias("t"))
+    # the least number behind since then: in its own run from its slot on, and in the runs between
+    own = behind.select(F.col("run").alias("own"), F.col("behind").alias("there"))
+    last = behind.select((F.col("run") + 1).alias("run"), F.array_min("behind").alias("low"))
+    d = d.join(own, F.floor(F.col("t") / run) == F.col("own"), "left").join(last, "run")
+    here = F.array_min(F.slice("there", (F.col("t") % run + 1).cast("int"), run))
+    d = d.withColumn("low", F.when(F.col("own") + 1 == F.col("run"), here).otherwise(F.col("low"))).drop("there")
+    since = Window.partitionBy("i", "begun").orderBy("run").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("low", F.min("low").over(since))
+    every = d.groupBy("run").agg(F.array_sort(F.collect_list(F.struct("i", "begun", "due", "t", "low"))).alias("all"))  # a struct for each source
+    every = every.withColumn("room", F.array_sort(F.transform(F.filter("all", lambda x: x["begun"] > 0), lambda x: F.struct(x["t"].alias("t"), x["i"].alias("i"), x["low"].alias("low")))))
+    every = every.withColumn("latest", F.reverse(F.array_sort(F.transform("room", lambda x: F.struct(F.get("all", x["i"])["due"].alias("due"), x["i"].alias("i"))))))
+    every = every.withColumn("place", F.col("room.i")).withColumn("room", F.col("room.low"))
+    total = F.aggregate("all", F.lit(0).cast("long"), lambda acc, x: acc + x["begun"])
+    # written out, so that the arrays aren't made anew in every step below
+    every = _spread(stage(every.select("run", F.col("all.begun").alias("begun"), "room", "latest", "place", (total - F.col("run") * run).alias("left")), "waiting"), runs)
+
+    def leave(acc: Column, x: Column) -> Column:
+        at = F.array_position("place", x["i"]).cast("int")
+
+        def put(ok: Column) -> Column:
+            return F.struct(
+                F.transform(acc["room"], lambda r, k: F.when(ok & (k + 1 >= at), r - 1).otherwise(r)).alias("room"),
+                (acc["left"] - ok.cast("long")).alias("left"),
+                F.when(ok, F.concat(acc["out"], F.array(x["i"]))).otherwise(acc["out"]).alias("out"),
             )
 
-        def run(p):
-            done = F.transform(acc["jobs"], lambda x: F.struct(x["i"].alias("i"), F.when(x["i"] == p["i"], x["k"] + 1).otherwise(x["k"]).alias("k"), x["n"].alias("n"), x["w"].alias("w")))
-            return F.struct(done.alias("jobs"), F.concat(acc["out"], F.array(F.struct(p["i"].alias("i"), p["k"].alias("k")))).alias("out"))
+        return _bound((acc["left"] > 0) & (F.array_min(F.slice(acc["room"], at, F.size("room"))) > 0), put)
+
+    start = F.struct(F.col("room"), F.col("left"), F.array().cast("array<int>").alias("out"))
+    out = every.select("run", "begun", F.aggregate("latest", start, leave, lambda acc: acc["out"]).alias("undone"))
+    flat = out.select("run", "undone", F.posexplode("begun").alias("i", "begun"))
+    flat = flat.select("run", "i", (F.col("begun") - F.array_contains("undone", F.col("i")).cast("int")).alias("done"))
+    return flat.groupBy("run").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "done"))), lambda x: x["done"]).alias("done"))
+
 
-        return _bound(_bound(end, pick), run)
+def weighted_slots(sizes: DataFrame, block: int, run: int = RUN) -> DataFrame:
+    """(name, block, slot) of every block of every source, from (name, rows): earliest deadline first over released blocks.
 
-    none = F.array().cast("array<struct<i:int,k:int>>")
+    Deadlines are compared by virtual time, which rises with the slot; ties go to the
+    name first in order, null before all. The stream is cut into runs of at least ``run``
+    slots, and of a slot for each source. What earliest deadline first has done when a run begins follows from
+    the windows alone (``_states``), so each run is scheduled on its own, in any task, and the
+    order is that of one schedule over the whole stream: every block meets its window,
+    and a source is less than one block from its ideal after every slot.
+    """
+    stream = stage(_stream(sizes, block), "stream")
+    spark = stream.sparkSession
+    size = stream.select("total", F.size("n").alias("sources")).first()
+    run = max(run, size["sources"])
+    runs = -(-size["total"] // run)
+    zero = spark.range(1 if runs else 0).select(F.col("id").alias("run"), F.lit(0).alias("one")).join(stream, "one")
+    d = zero.select("run", F.transform("n", lambda _: F.lit(0)).alias("done"))
+    if runs > 1:
+        d = d.union(_states(stream, runs, run))
+    d = _spread(d.withColumn("one", F.lit(0)).join(stream, "one"), runs)
+
+    def step(acc: Column, end: Column) -> Column:
+        # a block is released where the ideal stream begins it before the slot's end; one that rounding holds back comes after these
+        best = F.array_min(
+            F.transform(
+                acc["done"],
+                lambda k, i: F.when(k < F.get("n", i), F.struct((k / F.get("w", i) >= end).alias("late"), ((k + 1) / F.get("w", i)).alias("due"), i.alias("i"), k.alias("k"))),
+            )
+        )
+
+        def ran(p: Column) -> Column:
+            return F.struct(
+                F.transform(acc["done"], lambda k, i: F.when(i == p["i"], k + 1).otherwise(k)).alias("done"),
+                F.concat(acc["out"], F.array(F.struct(p["i"].alias("i"), p["k"].alias("k")))).alias("out"),
+            )
 
-    def runs(acc, r):
-        start = F.struct(acc["jobs"].alias("jobs"), none.alias("out"))
-        slots = F.sequence(r * RUN, F.least((r + 1) * RUN, F.col("total")) - 1)
-        made = F.aggregate(slots, start, step)
-        return _bound(made, lambda m: F.struct(m["jobs"].alias("jobs"), F.concat(acc["out"], F.array(m["out"])).alias("out")))
+        return _bound(best, ran)
 
-    start = F.struct(F.col("jobs"), F.array().cast("array<array<struct<i:int,k:int>>>").alias("out"))
-    all_runs = F.sequence(F.lit(0).cast("long"), F.floor((F.col("total") - 1) / RUN))
-    made = one.select(F.aggregate(all_runs, start, runs, lambda a: a["out"]).alias("out"))
-    made = made.select(F.posexplode("out").alias("run", "part")).select("run", F.posexplode("part").alias("at", "job"))
-    made = stage(made.select(F.col("job.i").alias("i"), F.col("job.k").cast("long").alias("block"), (F.col("run").cast("long") * RUN + F.col("at")).alias("slot")), "slots")
-    names = s.agg(F.array_sort(F.collect_list(F.struct(F.col("name").isNotNull().alias("named"), "name"))).alias("all"))
-    names = names.select(F.posexplode("all").alias("i", "x")).select("i", "x.name")
-    return made.join(names, "i").select("name", "block", "slot")
+    ends = F.transform(F.sequence(F.col("run") * run + 1, F.least((F.col("run") + 1) * run, F.col("total"))), lambda t: _time(F.col("pieces"), t))
+    start = F.struct("done", F.array().cast("array<struct<i:int,k:int>>").alias("out"))
+    made = d.select("run", "name", F.posexplode(F.aggregate(ends, start, step, lambda acc: acc["out"])).alias("at", "job"))
+    return stage(made.select(F.get("name", F.col("job.i")).alias("name"), F.col("job.k").cast("long").alias("block"), (F.col("run") * run + F.col("at")).alias("slot")), "slots")
 
 
 def _mix_by_size(docs: DataFrame, key: str, source: str, block: int) -> DataFrame:
@@ -221,7 +315,7 @@ def mixed_order(docs: DataFrame, shares: dict[str, int] | None = None, block: in
     stay and stand where one of them was scheduled, rows without an id come last.
     """
     at, k = private(docs, "position", "key")
-    ids = docs.select("doc_id", "source").filter("doc_id is not null").dropDuplicates(["doc_id"])
+    ids = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.min("source").alias("source"))  # of several sources the first in order
     where = mix_sources(stage(ids, "sources"), shares, block=block).select(F.col("doc_id").alias(k), F.col("position").alias(at))
     d = docs.join(stage(where, "positions"), F.col("doc_id") == F.col(k), "left").drop(k)
     return d.repartitionByRange(F.col(at).asc_nulls_last()).sortWithinPartitions(F.col(at).asc_nulls_last()).drop(at)

@@ -12,9 +12,11 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from enrollspark.llm.common import row_salt
+
 
 class Shard(Protocol):
     def visit(self, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
@@ -24,11 +26,6 @@ class Shard(Protocol):
         """What the shard gives after its last visitor."""
 
 
-def row_salt() -> Column:
-    """A hash of a row's file and place there: rows that are equal in all columns differ in it. For tables read from staged files only."""
-    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
-
-
 def deal_rows(staged: DataFrame, rows: int, out: str = "shard") -> tuple[DataFrame, int]:
     """Add ``out``, a shard of about ``rows`` rows, by file and row, so that no value makes a shard large; and the number of shards."""
     n = max(1, -(-staged.count() // rows))

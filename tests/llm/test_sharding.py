@@ -69,3 +69,49 @@ def test_balance_on_the_test_table(spark):
     d = read_table(spark, SF.replace("0.001", "0.1"), "documents")
     got = S.place_documents(d).groupBy("shard").count().collect()
     assert len(got) == 16 and max(r["count"] for r in got) < 1.25 * 10_000 / 16
+
+
+def test_equal_rows_are_dealt_to_buckets(spark):
+    from enrollspark.llm.common import deal, stage
+
+    d = spark.range(50_000).select(F.lit(None).cast("long").alias("id"), F.lit("t").alias("g")).union(spark.range(2000).select("id", F.lit("u").alias("g")))
+    dealt = deal(stage(d, "t"), [F.col("id")], 1000, "b")
+    sizes = [r["count"] for r in dealt.groupBy("b").count().collect()]
+    assert sum(sizes) == 52_000 and max(sizes) <= 2500
+    got = number_rows(d, "g", [F.col("id")], "n", rows_per_bucket=1000)
+    assert sorted((r["g"], r["c"], r["lo"], r["hi"], r["u"]) for r in got.groupBy("g").agg(F.count("*").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.countDistinct("n").alias("u")).collect()) == [
+        ("t", 50_000, 0, 49_999, 50_000), ("u", 2000, 0, 1999, 2000)
+    ]
+
+
+def brute_shard(doc_id, shards):
+    """The draw by hand: the hash of seed, level, the child's first shard and the id's text, from xxHash64 as Spark chains it."""
+    import math
+
+    import xxhash
+
+    def h(level, first):
+        seed = 42
+        for v in (17, level, first):
+            seed = xxhash.xxh64_intdigest(int(v).to_bytes(4, "little", signed=True), seed)
+        return xxhash.xxh64_intdigest(("" if doc_id is None else str(doc_id)).encode(), seed)
+
+    def draw(level, first, weight):
+        return math.log(((h(level, first) >> 11) + 0.5) / (1 << 53)) / weight
+
+    base = min(shards, 16)
+    regions = [list(range(k, min(base, k + 4))) for k in range(0, base, 4)] + [[s] for s in range(base, shards)]
+    region = max(regions, key=lambda r: draw(0, r[0], len(r)))
+    if len(region) == 1:
+        return region[0]
+    racks = [region[k : k + 2] for k in range(0, len(region), 2)]
+    rack = max(racks, key=lambda r: draw(1, r[0], len(r)))
+    return max(rack, key=lambda s: draw(2, s, 1))
+
+
+def test_shards_equal_the_draw_by_hand(spark):
+    from enrollspark.llm.sharding import place_documents
+
+    docs = read_table(spark, SF, "documents")
+    for r in place_documents(docs).collect():
+        assert (r["shard"], r["grown_shard"]) == (brute_shard(r["doc_id"], 16), brute_shard(r["doc_id"], 17))
