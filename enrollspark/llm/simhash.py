@@ -199,18 +199,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row of each group, with its own columns: the one with the smallest doc_id; of rows with equal ids any one.
+    """One row of each group, with its own columns: the one with the smallest doc_id, null after all others.
 
-    Ids are staged with their fingerprints; texts are read once more for the rows
-    kept. Of a group without any id any one row stays.
+    Of rows with equal ids in one group the one with the smallest fingerprint stays, then the one with the
+    smallest hash of its whole text, then the first in the staged table; two groups that hold the same id
+    both keep a row. Fingerprints and ids are staged and the row chosen by its place there, so a repeated
+    task chooses the same; texts are read once more for the rows kept.
     """
-    d = stage(fingerprints(docs.select("doc_id", "text"), "fp").select("doc_id", "fp"), "fingerprints")
-    groups = stage(near_groups(d), "groups")
-    kept = stage(groups.filter("component_id is not null").select(F.col("component_id").alias("doc_id")).distinct(), "kept")
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    fp, root = private(docs, "fp", "root")
-    unnamed = fingerprints(docs.filter("doc_id is null"), fp)
-    bare = groups.filter("component_id is null").select(F.col("fp").alias(fp), F.col("root").alias(root))
-    unnamed = unnamed.join(bare, fp).dropDuplicates([root])
     own = [F.col(f"`{c}`") for c in docs.columns]
-    return named.select(*own).unionAll(unnamed.select(*own))
+    fp, digest, place, root = private(docs, "fp", "digest", "place", "root")
+    d = fingerprints(docs, fp).withColumn(digest, F.xxhash64("text")).withColumn(place, F.monotonically_increasing_id())
+    rows = stage(d, "fingerprinted")
+    groups = stage(near_groups(rows.select("doc_id", F.col(fp).alias("fp"))), "groups").select(F.col("fp").alias(f"{fp}_g"), F.col("root").alias(root))
+    ids = rows.select("doc_id", fp, digest, place).join(groups, F.col(fp) == F.col(f"{fp}_g"))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(fp), F.col(digest), F.col(place))
+    kept = stage(ids.groupBy(root).agg(F.min(order).alias("first")).select(F.col(f"first.{place}").alias(root)), "kept")
+    return rows.join(kept, F.col(place) == F.col(root), "left_semi").select(*own)

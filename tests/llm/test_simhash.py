@@ -152,3 +152,16 @@ def test_empty_table(spark):
     assert out.columns == ["doc_id", "fingerprint", "component_id"] and out.count() == 0
 
 
+
+
+def test_a_repeated_id_in_two_groups_loses_no_text(spark):
+    a, b, c = (prose(k, 60) for k in (11, 12, 13))
+    d = documents(spark, [(1, a), (1, b), (2, c), (2, c + ""), (None, a), (None, prose(14, 50)), (None, prose(14, 50))])
+    got = sorted(((r["doc_id"], r["text"]) for r in S.drop_near_duplicates(d).collect()), key=str)
+    assert got == sorted([(1, a), (1, b), (2, c), (None, prose(14, 50))], key=str)
+
+
+def test_of_equal_ids_in_a_group_the_same_row_stays(spark):
+    rows = [(5, "same words here  again"), (5, "same words here again"), (5, "Same words here again")]
+    kept = {S.drop_near_duplicates(documents(spark, order).repartition(n)).first()["text"] for order, n in ((rows, 1), (rows[::-1], 3))}
+    assert len(kept) == 1
