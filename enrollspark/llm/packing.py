@@ -13,15 +13,16 @@ contiguous ranges of it and sequences are numbered along it.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from enrollspark.llm.common import stage
+from enrollspark.llm.common import deal, stage
 from enrollspark.llm.tokens import encoder
 
 LIMIT = 2048
@@ -30,8 +31,10 @@ CELL = 8192  # pieces of a cell, about
 ISLANDS = 2
 ROUNDS = 2
 POPULATION = 4
-GENERATIONS = 6
+GENERATIONS = 6  # at least, and as many as packing WORK pieces takes
+WORK = 30_000
 SEED = 5
+TRADED, TRIED = 24, 64  # pieces that are offered for an exchange, sequences that are offered them
 
 ROWS = 1024  # rows of a file that are numbered together
 
@@ -133,7 +136,42 @@ def crossover(a: Packing, b: Packing, rng: np.random.Generator) -> Packing:
             kept.append(g)
         else:
             displaced += [i for i in g if i not in taken]
-    return Packing(a.lengths, a.limit, [list(g) for g in given + kept]).best_fit(displaced)
+    child = Packing(a.lengths, a.limit, [list(g) for g in given + kept])
+    return child.best_fit(exchange(child.bins, child.free, displaced, a.lengths))
+
+
+def exchange(bins: list[list[int]], free: list[int], displaced: list[int], lengths: list[int]) -> list[int]:
+    """Before displaced pieces go back: exchange one to three pieces of a sequence for one to three displaced ones that fill it better.
+
+    The sequences with most room change in place, each at most once in a call; gives the pieces that are displaced then. An
+    exchange makes the displaced pieces shorter in sum, and short pieces fit where long ones don't. At most
+    TRADED displaced pieces, spread over all lengths, are offered; the others stay displaced.
+    """
+    by_length = sorted(displaced, key=lambda i: lengths[i])
+    offered = {int(k) for k in np.linspace(0, len(by_length) - 1, min(TRADED, len(by_length)))}
+    loose, rest = [i for k, i in enumerate(by_length) if k in offered], [i for k, i in enumerate(by_length) if k not in offered]
+    tried = [k for k in sorted(range(len(bins)), key=lambda k: -free[k])[:TRIED] if free[k] and len(bins[k]) <= TRADED]
+    sums: dict[int, tuple[int, ...]] = {}
+    for k in tried:
+        if not sums:
+            for n in (1, 2, 3):
+                for c in combinations(loose, n):
+                    sums.setdefault(sum(lengths[i] for i in c), c)
+            order = sorted(sums)
+        best: tuple = (0, (), ())
+        for n in (1, 2, 3):
+            for out in combinations(bins[k], n):
+                room = sum(lengths[i] for i in out)
+                at = bisect_right(order, room + free[k])
+                if at and order[at - 1] - room > best[0]:
+                    best = (order[at - 1] - room, out, sums[order[at - 1]])
+        gain, out, into = best
+        if gain:
+            bins[k] = [i for i in bins[k] if i not in out] + list(into)
+            free[k] -= gain
+            loose = [i for i in loose if i not in into] + list(out)
+            sums = {}
+    return loose + rest
 
 
 def mutate(a: Packing, rng: np.random.Generator) -> Packing:
@@ -141,7 +179,8 @@ def mutate(a: Packing, rng: np.random.Generator) -> Packing:
     order = sorted(range(len(a.bins)), key=lambda k: -a.free[k])
     gone = set(order[: 1 + len(order) // 50]) | set(rng.integers(0, len(order), 1 + len(order) // 50).tolist())
     loose = [i for k in gone for i in a.bins[k]]
-    return Packing(a.lengths, a.limit, [list(g) for k, g in enumerate(a.bins) if k not in gone]).best_fit(loose)
+    child = Packing(a.lengths, a.limit, [list(g) for k, g in enumerate(a.bins) if k not in gone])
+    return child.best_fit(exchange(child.bins, child.free, loose, a.lengths))
 
 
 def evolve(lengths: list[int], limit: int, elites: list[list[list[int]]], rng: np.random.Generator, generations: int = GENERATIONS) -> Packing:
@@ -162,7 +201,7 @@ def evolve(lengths: list[int], limit: int, elites: list[list[list[int]]], rng: n
             p.best_fit(some[k : k + 256])
         rest = set(some)
         people.append(p.best_fit([i for i in range(n) if i not in rest]))
-    for _ in range(generations):
+    for _ in range(max(generations, WORK // max(1, n))):
         people.sort(key=Packing.fitness, reverse=True)
         if len(people[0].bins) <= least:
             break
@@ -219,19 +258,19 @@ def _placed(key: tuple, pieces: pd.DataFrame, best: pd.DataFrame) -> pd.DataFram
 def pack_pieces(pieces: DataFrame, limit: int = LIMIT, islands: int = ISLANDS, rounds: int = ROUNDS, generations: int = GENERATIONS) -> DataFrame:
     """Add sequence_id and offset: every piece once, in sequences of at most ``limit``, gapless from 0.
 
-    The number of cells follows the number of pieces, whose hash deals them out, so
+    The number of cells follows the number of pieces, whose hash deals them out, and rows
+    that are equal are dealt on by file and row, so
     no document, source or group of copies makes a cell large. Pieces with a ``number``
     (gapless from 0) are dealt by it: a cell is the next CELL pieces, and sequence_id
     rises with the number of a sequence's longest piece. Repeated rows are packed
     as often as they come; an empty table gives an empty result.
     """
     pieces = stage(pieces, "pieces")
-    cells = max(1, -(-pieces.count() // CELL))
     if "number" in pieces.columns:
-        cell = F.floor(F.col("number") / CELL)
+        p = pieces.withColumn("cell", F.floor(F.col("number") / CELL).cast("int"))
     else:
-        cell = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(cells))
-    p = pieces.withColumn("cell", cell.cast("int"))
+        p = deal(pieces, [F.col(c) for c in ("doc_id", "piece", "ids_crc32")], CELL, "cell").withColumn("cell", F.col("cell").cast("int"))
+        p = stage(p, "cells")  # a row keeps its cell however often it is read
     every = F.array(*map(F.lit, range(islands)))
     came = pieces.sparkSession.range(0).selectExpr("0 AS cell", "0 AS island", "0 AS source", "id AS place", "id AS bin")
     for at in range(rounds):

@@ -1,6 +1,7 @@
 import random
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -74,22 +75,49 @@ def test_many_cells_and_two_rounds(spark, monkeypatch):
     check(out, sorted(rows, key=str))
 
 
-def test_evolution_beats_best_fit_where_best_fit_wastes():
-    r, limit = np.random.default_rng(1), 100
+def planted(seed, limit=100, slack=0):
+    """Pieces of 20 sequences that are full but for ``slack``, of three pieces each."""
+    g = np.random.default_rng(seed)
+    lengths = []
+    for _ in range(20):
+        cuts = sorted(g.choice(np.arange(15, limit - 14 - slack), 2, replace=False).tolist())
+        lengths += [b - a for a, b in zip([0, *cuts], [*cuts, limit - slack])]
+    return lengths
+
+
+@pytest.mark.parametrize("slack,least", [(0, 2), (1, 2)])
+def test_evolution_needs_fewer_sequences_than_best_fit(slack, least):
+    """With the shipped settings: two islands, two rounds, elites migrate."""
     wins = 0
     for seed in range(6):
-        g = np.random.default_rng(seed)
-        lengths = []
-        for _ in range(20):  # full sequences of three or four pieces each
-            cuts = sorted(g.choice(np.arange(15, 86), 2, replace=False).tolist())
-            lengths += [b - a for a, b in zip([0, *cuts], [*cuts, 100])]
+        lengths, limit = planted(seed, slack=slack), 100
         first = P.Packing(lengths, limit).best_fit(list(range(len(lengths))))
-        best = P.evolve(lengths, limit, [], r, generations=120)
-        assert sorted(i for b in best.bins for i in b) == list(range(len(lengths)))
-        assert all(sum(lengths[i] for i in b) <= limit for b in best.bins)
-        assert len(best.bins) <= len(first.bins)
-        wins += best.fitness() > first.fitness()
-    assert wins
+        elites = []
+        for at in range(P.ROUNDS):
+            elites = [P.evolve(lengths, limit, elites, np.random.default_rng([P.SEED, 0, i, at])).bins for i in range(P.ISLANDS)]
+        best = min(elites, key=len)
+        assert sorted(i for b in best for i in b) == list(range(len(lengths)))
+        assert all(sum(lengths[i] for i in b) <= limit for b in best)
+        assert len(best) <= len(first.bins)
+        wins += len(best) < len(first.bins)
+    assert wins >= least
+
+
+def test_equal_rows_are_dealt_to_cells(spark, monkeypatch):
+    monkeypatch.setattr(P, "CELL", 500)
+    rows = [(None, 0, 0, 300, 7)] * 6000 + [(k, 0, 0, 100 + k % 900, k) for k in range(2000)]
+    out = P.pack_pieces(spark.createDataFrame(rows, P.PIECES)).collect()
+    check(out, sorted(rows, key=str))
+    by = Counter(r["sequence_id"] >> 32 for r in out)
+    assert max(by.values()) <= 2 * 500 and sum(by.values()) == 8000
+
+
+def test_exchange_fills_sequences():
+    lengths = [50, 30, 35, 45, 20, 22]
+    bins, free = [[0, 1], [2, 3]], [20, 20]
+    loose = P.exchange(bins, free, [4, 5], lengths)
+    assert sorted([*loose, *bins[0], *bins[1]]) == list(range(6))
+    assert sum(lengths[i] for i in loose) < 42 and all(sum(lengths[i] for i in b) == 100 - f <= 100 for b, f in zip(bins, free))
 
 
 def test_crossover_injects_whole_sequences():
