@@ -71,7 +71,11 @@ def _pieces(path: str | None, limit: int, keep: tuple[str, ...] = ()):
 
 
 def token_pieces(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every document (null text: empty, so its end alone)."""
+    """doc_id, piece, start, length, ids_crc32 of every document (null text: empty, so its end alone).
+
+    Repeated rows and null ids give their pieces as often as they come; a text of any length is cut whole;
+    other columns are left behind, whatever their names; an empty table gives an empty result.
+    """
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(_pieces(path, limit), PIECES)
 
 
@@ -292,5 +296,9 @@ def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def pack_stream(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """As ``pack_documents``, in the order of the rows in their files, which the sequences follow cell by cell."""
+    """As ``pack_documents``, in the order of the rows in their files, which the sequences follow cell by cell.
+
+    ``docs`` is read from Parquet files. Null and empty texts are one piece, their end; repeated rows are
+    packed as often as they come; an empty table gives an empty result.
+    """
     return pack_pieces(stream_pieces(docs, path))

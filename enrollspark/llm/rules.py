@@ -188,7 +188,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     """At most ``most`` labelled documents: those whose id has the smallest hash; columns doc_id, text, label.
 
     ``learn`` says over doc_id which rows may be learnt from. An id labelled more
-    than once gets its smallest label; null ids and labels are left out.
+    than once gets its smallest label; null ids and labels are left out. A repeated id
+    brings all its rows, which the caller reduces in an order of its own. No labels, or an
+    empty table, give an empty sample.
     """
     usable = labels.filter(learn & F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     # about twice as many as wanted pass the threshold, so that the sort sees a bounded number of rows
@@ -200,9 +202,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
 
 
 def learn_quality(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_FIT) -> RuleModel:
+    """The model of a bounded sample of labelled documents (``labelled_sample``).
+
+    Null and empty texts have zero statistics. Of rows with one id the one with the
+    least statistics, in their order, counts, so the model is the same in every run. Without any
+    labelled document, or with one label only, the score is a constant. Other columns
+    of either table are not looked at, whatever their names.
+    """
     sample = labelled_sample(docs, labels, "quality", learn, most)
     p = free_prefix(sample)
-    rows = with_counts(sample, p).select("doc_id", "label", *stat_columns(p)).dropDuplicates(["doc_id"]).collect()
+    rows = with_counts(sample, p).select("doc_id", "label", *(c.alias(s) for s, c in zip(STATS, stat_columns(p))))
+    least = F.min(F.struct("label", *STATS)).alias("r")
+    rows = rows.groupBy("doc_id").agg(least).select("doc_id", "r.*").collect()  # at most ``most``
     rows.sort(key=lambda r: r["doc_id"])
     x = np.array([[r[s] for s in STATS] for r in rows], float).reshape(len(rows), len(STATS))
     return fit_rules(x, np.array([r["label"] for r in rows], float))

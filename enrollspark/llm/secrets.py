@@ -258,7 +258,12 @@ def _number(spans: Column, kind: str) -> Column:
 
 
 def secret_digest(docs: DataFrame) -> DataFrame:
-    """doc_id, the number of spans of each pattern kind, the SHA-256 of the pattern spans, and all spans as text."""
+    """doc_id, the number of spans of each pattern kind, the SHA-256 of the pattern spans, and all spans as text.
+
+    A row for each row of ``docs``, repeated ones and null ids included. Null and empty texts have no
+    spans: zero counts, the digest of the empty text, and empty ``spans``. Other columns are left
+    behind, whatever their names; an empty table gives an empty result.
+    """
     (s,) = private(docs, "secrets")
     # a column of its own, so that each text is scanned once
     d = find_secrets(docs.select("doc_id", text_or_empty(F.col("text")).alias("text")), s)

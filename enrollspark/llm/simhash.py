@@ -157,7 +157,7 @@ def _compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
 def near_links(fps: DataFrame, most: int = MOST_AT_ANCHOR) -> DataFrame:
     """(a, b) over distinct fingerprints (column fp): links of at most BITS bits that join all that are within BITS bits.
 
-    An anchor has one group, unless more than ``most`` fingerprints come to it: its
+    Null fingerprints meet nothing; an empty table gives no links. An anchor has one group, unless more than ``most`` fingerprints come to it: its
     fingerprints are then dealt to parts, and every pair of parts is a group. No
     fingerprint or pair is left out.
     """

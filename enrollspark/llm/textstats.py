@@ -94,7 +94,8 @@ def with_counts(df: DataFrame, prefix: str, text: str = "text") -> DataFrame:
 
     n_repeat_words counts the words in three-word windows found twice or more,
     the first included; windows are compared by a 64-bit key. Words, lines and
-    windows are columns of their own, each made once.
+    windows are columns of their own, each made once. A filter on these columns that follows would be
+    pushed below them and make them anew for each use: use ``filter_above``, or write the result first.
     """
     c = lambda n: F.col(prefix + n)
     d = df.select("*", text_or_empty(F.col(text)).alias(prefix + "t"), split_words(F.col(text)).alias(prefix + "w"))
