@@ -1,21 +1,23 @@
 """Toxicity by compression distance.
 
-Every word is recoded to the 8-byte hash of its stem (its first letters), so that a match
-in a dictionary is a whole stem and never a chance run of letters. Two zstandard
-dictionaries are trained from labelled texts: both begin with what windows of labelled
-text have in common, and end with the stems that stand out in toxic or in ordinary
-texts. A window is compressed with each; what the toxic dictionary saves over the ordinary
+Every word is recoded to two 8-byte hashes, one of its first letters and one of the whole
+word, so that a match in a dictionary is a word or a beginning and never a chance run of
+letters. One zstandard dictionary is trained on windows of toxic labelled texts and one
+on windows of ordinary ones; from the windows of each go, before training, the units that
+are not several times as frequent there as in the other's windows, as what both share costs the same with either.
+A window is compressed with each dictionary; what the toxic one saves over the ordinary
 one is its advantage. A document's advantages (the largest, the mean, the mean beyond a
 few bytes, the share of such windows) go through a logistic curve calibrated on
 labelled rows.
 
 Fitting takes at most ``MAX_FIT`` labelled documents, those with the smallest hash of
-their id, and at most ``MAX_WINDOWS`` of their windows; scoring takes all documents
+their id, and at most ``MAX_WINDOWS`` windows of either label; scoring takes all documents
 and whole texts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,41 +32,49 @@ from pyspark.sql import types as T
 from enrollspark.llm.common import private, stage, text_or_empty
 from enrollspark.llm.rules import MAX_FIT, cut_for, labelled_sample
 
-STEM = 4  # letters of a word that count
+START = 4  # letters of a word's beginning
 WINDOW = 32  # words
-MAX_WINDOWS = 20_000
-COMMON_STEMS, CLASS_STEMS = 256, 256
-LEAST_DOCS = 5  # labelled documents with a stem
-STANDS_OUT = ((4.5, 3.0), (6.0, 4.0), (8.0, 4.0))  # least z and least ratio of a class's own stem; held-out rows choose
-BASE_BYTES = 1024
+MAX_WINDOWS = 10_000  # of a label
+# how many times as frequent a unit must be in its own windows, and a dictionary's bytes; held-out rows choose
+TRIED = ((5.0, 1024), (12.0, 1024), (8.0, 2048), (8.0, 8192))
+HEADER = 256  # bytes of a dictionary's header at most
+LEAST_DOCS = 5  # of a label in a fold, to choose by
+CODE = 8
 POINT = 0.3
 SEED = 7
 MARKS = ".,;:!?\"'()[]{}#*$%&|<>-_"
 FEATURES = ("most", "mean", "beyond", "share")
 FEW_BYTES = 3
-MOST_CACHED = 1 << 20
+MOST_CACHED, LONGEST_CACHED = 1 << 20, 64
 
 
-def stems(text: str | None) -> list[str]:
-    return [w.strip(MARKS)[:STEM] for w in (text or "").lower().split()]
+def words(text: str | None) -> list[str]:
+    return [w for w in (x.strip(MARKS) for x in (text or "").lower().split()) if w]
+
+
+def units(word: str) -> list[str]:
+    """A word's beginning, marked by a sign that no word ends with, and the word; a word no longer than that is itself alone."""
+    return [word[:START] + "-", word] if len(word) > START else [word]
 
 
 class Coder:
-    """Stem to 8-byte code; remembers a bounded number of codes."""
+    """Word to the 8-byte codes of its units; remembers a bounded number of words of bounded length."""
 
     def __init__(self) -> None:
         self.known: dict[str, bytes] = {}
 
-    def __call__(self, stem: str) -> bytes:
-        code = self.known.get(stem)
+    def __call__(self, word: str) -> bytes:
+        code = self.known.get(word)
         if code is None:
-            if len(self.known) >= MOST_CACHED:
-                self.known.clear()
-            code = self.known[stem] = xxhash.xxh64_digest(stem.encode("utf-8", "surrogatepass"))
+            code = b"".join(xxhash.xxh64_digest(u.encode("utf-8", "surrogatepass")) for u in units(word))
+            if len(word) <= LONGEST_CACHED:
+                if len(self.known) >= MOST_CACHED:
+                    self.known.clear()
+                self.known[word] = code
         return code
 
     def windows(self, text: str | None) -> list[bytes]:
-        codes = list(map(self, stems(text)))
+        codes = list(map(self, words(text)))
         return [b"".join(codes[k : k + WINDOW]) for k in range(0, len(codes), WINDOW)]
 
 
@@ -75,7 +85,7 @@ class Advantage:
         self.coder = Coder()
         self.compress = []
         for d in (ordinary, toxic):
-            dictionary = zs.ZstdCompressionDict(d)
+            dictionary = zs.ZstdCompressionDict(d, dict_type=zs.DICT_TYPE_RAWCONTENT)
             params = zs.ZstdCompressionParameters(
                 window_log=16, hash_log=15, chain_log=15, search_log=4, min_match=6, strategy=zs.STRATEGY_GREEDY, write_content_size=0, write_checksum=0, write_dict_id=0
             )
@@ -119,38 +129,38 @@ class ToxicityModel:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
-Counts = dict[str, tuple[int, int]]  # toxic and ordinary documents with a stem
-
-
-def contrast_stems(counts: Counts, n_toxic: int, n_ordinary: int, least_z: float, least_ratio: float) -> tuple[list[str], list[str], list[str]]:
-    """Stems that stand out in toxic documents, those in ordinary ones, strongest first; and the commonest of the rest."""
-    at = {}
-    for s in sorted(s for s, (a, b) in counts.items() if s and a + b >= LEAST_DOCS):
-        a, b = counts[s]
-        p = (a + b + 1) / (n_toxic + n_ordinary + 2)
-        z = (a / max(1, n_toxic) - b / max(1, n_ordinary)) / np.sqrt(p * (1 - p) * (1 / max(1, n_toxic) + 1 / max(1, n_ordinary)))
-        at[s] = (z, (a + 0.5) / (n_toxic + 1) / ((b + 0.5) / (n_ordinary + 1)))
-    worst = sorted((s for s, (z, r) in at.items() if z >= least_z and r >= least_ratio), key=lambda s: (-at[s][0], s))[:CLASS_STEMS]
-    best = sorted((s for s, (z, r) in at.items() if z <= -least_z and r <= 1 / least_ratio), key=lambda s: (at[s][0], s))[:CLASS_STEMS]
-    out = {*worst, *best}
-    common = sorted((s for s in at if s not in out), key=lambda s: (-sum(counts[s]), s))[:COMMON_STEMS]
-    return worst, best, common
-
-
-def train_dictionaries(windows: list[list[str]], worst: list[str], best: list[str], common: list[str]) -> tuple[bytes, bytes]:
-    """(toxic, ordinary): a dictionary trained on the common stems of the windows, ended by each class's own stems, strongest last."""
-    code, keep = Coder(), set(common)
-    samples = [b"".join(code(s) for s in w if s in keep) for w in windows]
-    samples = [s for s in samples if len(s) >= 16]
-    base = b""
-    if len(samples) >= 64:
-        base = zs.train_dictionary(BASE_BYTES, samples, k=16, d=8, level=3).as_bytes()
-    ends = [b"".join(map(code, reversed(s))) for s in (worst, best)]
-    n = max(8, *map(len, ends))
+def _codes(window: bytes) -> list[bytes]:
+    return [window[k : k + CODE] for k in range(0, len(window), CODE)]
+
+
+def own_units(windows: list[bytes], others: list[bytes], ratio: float) -> list[list[bytes]]:
+    """Of each window the units, once each, that are at least ``ratio`` times as frequent in ``windows`` as in ``others``."""
+    here, there = (Counter(c for w in part for c in set(_codes(w))) for part in (windows, others))
+    keep = {c for c, n in here.items() if (n + 0.5) / (len(windows) + 1) >= ratio * (there[c] + 0.5) / (len(others) + 1)}
+    return [[c for c in dict.fromkeys(_codes(w)) if c in keep] for w in windows]
+
+
+def train_dictionary(windows: list[list[bytes]], size: int) -> bytes:
+    """A zstandard dictionary of at most ``size`` bytes in segments of one code; empty where there is too little to train on.
+
+    A sample is a code, so no run across two of them counts. zstandard puts what it chose first at the end
+    and cuts up to ``HEADER`` bytes off there for its header; codes of no unit, the most frequent, are chosen before all units.
+    """
     rng = np.random.default_rng(SEED)
-    fill = rng.bytes(n)
-    toxic, ordinary = (base + fill[: n - len(e)] + e for e in ends)
-    return toxic, ordinary
+    first = [rng.bytes(CODE) for _ in range(HEADER // CODE)]
+    samples = [c for w in windows if w for c in (*first, *w)]
+    try:
+        return zs.train_dictionary(size, samples, k=CODE, d=CODE, level=3).as_bytes() if samples else b""
+    except zs.ZstdError:  # its answer to too few samples
+        return b""
+
+
+def train_dictionaries(toxic: list[bytes], ordinary: list[bytes], ratio: float, size: int) -> tuple[bytes, bytes]:
+    """(toxic, ordinary): each trained on its own windows; the shorter filled up in front, so that distances compare."""
+    made = [train_dictionary(own_units(a, b, ratio), size) for a, b in ((toxic, ordinary), (ordinary, toxic))]
+    n = max(CODE, *map(len, made))
+    fill = np.random.default_rng(SEED).bytes(n)
+    return tuple(fill[: n - len(d)] + d for d in made)
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, point: float = POINT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,52 +183,40 @@ def calibrate(x: np.ndarray, y: np.ndarray, point: float = POINT) -> tuple[np.nd
     return centre, scale, w
 
 
-def _sample_windows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _windows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    coder = Coder()
     for part in parts:
-        rows = []
-        for text in part["text"]:
-            s = stems(text)
-            for k in range(0, len(s), WINDOW):
-                w = " ".join(s[k : k + WINDOW])
-                rows.append((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) >> 1, w))
-        yield pd.DataFrame(rows, columns=["h", "stems"])
-
-
-def _doc_stems(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in parts:
-        yield pd.Series([sorted(set(stems(t))) for t in texts], dtype=object)
+        rows = [(y, k, xxhash.xxh64_intdigest(w) >> 1, w) for t, y, k in zip(part["text"], part["label"], part["kept"]) for w in coder.windows(t)]
+        yield pd.DataFrame(rows, columns=["label", "kept", "h", "codes"])
 
 
-def _stem_counts(sample: DataFrame, n_toxic: int, n_ordinary: int) -> Counts:
-    """Of all stems those that contrast most, either way, and the commonest: all that the dictionaries can take."""
-    split = F.pandas_udf(_doc_stems, T.ArrayType(T.StringType()))
-    by = sample.select("label", F.explode(split("text")).alias("stem")).groupBy("stem").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
-    a, b, m, n = F.col("a"), F.col("b"), max(1, n_toxic), max(1, n_ordinary)
-    p = (a + b + 1) / (n_toxic + n_ordinary + 2)
-    by = stage(by.filter(a + b >= LEAST_DOCS).withColumn("z", (a / m - b / n) / F.sqrt(p * (1 - p) * (1 / m + 1 / n))), "stems")
-    ends = [by.orderBy(o, "stem").limit(4 * CLASS_STEMS) for o in (F.desc("z"), F.asc("z"), F.desc(a + b))]
-    return {r["stem"]: (r["a"], r["b"]) for e in ends for r in e.collect()}
+def _sample_windows(sample: DataFrame) -> dict[int, list[tuple[bool, bytes]]]:
+    """By label (kept, codes) of at most ``MAX_WINDOWS`` windows, those with the smallest hash; a window is at most 512 bytes."""
+    made = sample.select("text", F.col("label").cast("int").alias("label"), "kept").mapInPandas(_windows, "label int, kept boolean, h long, codes binary")
+    made = stage(made, "windows")
+    count = {r["label"]: r["count"] for r in made.groupBy("label").count().collect()}
+    out = {}
+    for y in (1, 0):
+        share = min(1.0, 0.9 * MAX_WINDOWS / max(1, count.get(y, 0)))
+        some = made.filter((F.col("label") == y) & (F.col("h") <= min((1 << 63) - 1, int(share * (1 << 63)))))
+        out[y] = sorted((r["kept"], bytes(r["codes"])) for r in some.orderBy("h", "kept").limit(MAX_WINDOWS).collect())
+    return out
 
 
 def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, most: int = MAX_FIT) -> ToxicityModel:
     """Fit from labelled documents; of equal texts one counts. One label only: a constant score.
 
-    How far a stem must stand out is chosen on a quarter of the labelled documents,
-    which the stems and the curve are not learnt from; the model is then fitted on all.
+    How much more frequent a unit must be in its own windows, and a dictionary's size, are chosen on a quarter
+    of the labelled documents, which the dictionaries and the curve are not learnt from; the model is then fitted on all.
     """
     sample = labelled_sample(docs, labels, "toxic", learn, most).withColumn("text", text_or_empty(F.col("text")))
     sample = sample.groupBy(F.xxhash64("text").alias("h")).agg(F.min_by(F.struct("doc_id", "text", "label"), "doc_id").alias("r"))
     sample = stage(sample.select("r.*", (F.pmod("h", F.lit(4)) == 0).alias("kept")), "labelled")
-    windows = stage(sample.select("text").mapInPandas(_sample_windows, "h long, stems string"), "windows")
-    share = min(1.0, 0.9 * MAX_WINDOWS / max(1, windows.count()))
-    windows = windows.filter(F.col("h") <= min((1 << 63) - 1, int(share * (1 << 63)))).limit(MAX_WINDOWS)
-    windows = [s.split(" ") for s in sorted(r["stems"] for r in windows.collect())]
+    windows = _sample_windows(sample)
     size = {(r["kept"], r["label"]): r["count"] for r in sample.groupBy("kept", "label").count().collect()}
 
-    def fit(part: DataFrame, folds: tuple[bool, ...]):
-        n = [sum(size.get((f, y), 0) for f in folds) for y in (1, 0)]
-        counts = _stem_counts(part, *n)
-        return lambda bar: train_dictionaries(windows, *contrast_stems(counts, *n, *bar))
+    def fit(by: tuple[float, int], folds: tuple[bool, ...]) -> tuple[bytes, bytes]:
+        return train_dictionaries(*([w for k, w in windows[y] if k in folds] for y in (1, 0)), *by)
 
     def features(pair: tuple[bytes, bytes]):
         rows = sample.select("doc_id", "label", "kept", window_features(F.col("text"), *pair).alias("f")).select("doc_id", "label", "kept", "f.*").collect()
@@ -226,18 +224,18 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, most: int
         x = np.array([[r[n] for n in FEATURES] for r in rows], float).reshape(len(rows), len(FEATURES))
         return x, np.array([r["label"] for r in rows], float), np.array([r["kept"] for r in rows], bool)
 
-    bar = STANDS_OUT[1]
+    by = TRIED[0]
     if all(size.get((f, y), 0) >= LEAST_DOCS for f in (True, False) for y in (0, 1)):
-        made, worth = fit(sample.filter(~F.col("kept")), (False,)), []
-        for b in STANDS_OUT:
-            x, y, kept = features(made(b))
+        worth = []
+        for tried in TRIED:
+            x, y, kept = features(fit(tried, (False,)))
             centre, scale, w = calibrate(x[~kept], y[~kept])
             margin = ((x - centre) / scale) @ w[:-1] + w[-1]
             good, bad = np.sort(margin[kept & (y == 0)]), margin[kept & (y == 1)]
             # the share of pairs in the right order, ties half
             worth.append(float((np.searchsorted(good, bad, "left") + np.searchsorted(good, bad, "right")).mean()) / 2 / len(good))
-        bar = STANDS_OUT[int(np.argmax(worth))]
-    pair = fit(sample, (True, False))(bar)
+        by = TRIED[int(np.argmax(worth))]
+    pair = fit(by, (True, False))
     x, y, _ = features(pair)
     return ToxicityModel(*pair, *(tuple(map(float, v)) for v in calibrate(x, y)))
 

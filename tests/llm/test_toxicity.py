@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-import zstandard as zs
+import xxhash
 from pyspark.sql import functions as F
 
 from enrollspark.llm import toxicity as X
@@ -33,15 +33,29 @@ def test_learns_planted_words(spark):
 
 
 def test_a_window_costs_less_with_the_dictionary_that_knows_it():
-    worst, common = ["vile", "mean", "rott"], ["the", "rive", "bank", "hold"]
-    toxic, ordinary = X.train_dictionaries([["the", "rive", "bank", "hold"] * 8] * 100, worst, [], common)
-    assert toxic != ordinary and zs.ZstdCompressionDict(toxic).dict_id() == zs.ZstdCompressionDict(ordinary).dict_id()
+    rows, labels = planted()
+    c = X.Coder()
+    windows = {y: [w for (_, t), (_, _, z) in zip(rows, labels) if z == y for w in c.windows(t)] for y in (1, 0)}
+    toxic, ordinary = X.train_dictionaries(windows[1], windows[0], 5.0, 2048)
+    assert len(toxic) == len(ordinary) <= 2048
+    for w in BAD:
+        assert all(xxhash.xxh64_digest(u) in toxic and xxhash.xxh64_digest(u) not in ordinary for u in X.units(w))
     a = X.Advantage(toxic, ordinary)
     bad = a.features("the river bank holds vilestuff and some meanword too")
     good = a.features("the river bank holds stones and some water too")
     assert bad[0] >= 2 * X.FEW_BYTES and good[0] <= 1
 
 
+def test_units_of_a_class_and_too_little_to_train_on():
+    w = lambda *codes: b"".join(c * 8 for c in codes)
+    toxic, ordinary = [w(b"a", b"x", b"x")] * 20, [w(b"a", b"b")] * 15 + [w(b"x")]
+    assert X.own_units(toxic, ordinary, 5.0) == [[b"x" * 8]] * 20
+    assert X.own_units(toxic, ordinary, 50.0) == [[]] * 20
+    assert X.train_dictionary([], 1024) == b""
+    a, b = X.train_dictionaries([], [], 5.0, 1024)
+    assert a == b and X.Advantage(a, b).features("vilestuff and more") == (0.0, 0.0, 0.0, 0.0)
+
+
 def test_held_out_accuracy(spark):
     d = SF.replace("0.001", "0.1")
     docs, labels = read_table(spark, d, "documents"), read_table(spark, d, "labels")
@@ -80,7 +94,10 @@ def test_edges(spark):
     assert X.score_toxicity(documents(spark, []), m).count() == 0
 
 
-def test_stems_and_codes():
-    assert X.stems("The (VILE) words! été") == ["the", "vile", "word", "été"]
+def test_words_units_and_codes():
+    assert X.words("The (VILE) words! - été") == ["the", "vile", "words", "été"]
+    assert X.units("word") == ["word"] and X.units("words") == ["word-", "words"]
     c = X.Coder()
     assert len(c.windows(" ".join(["w"] * 70))) == 3 and c.windows("") == [] and c.windows(None) == []
+    c("x" * 1000)
+    assert len(c.known) == 1
