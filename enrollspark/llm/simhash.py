@@ -204,7 +204,8 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Of rows with equal ids in one group the one with the smallest fingerprint stays, then the one with the
     smallest hash of its whole text, then the first in the staged table; two groups that hold the same id
     both keep a row. Fingerprints and ids are staged and the row chosen by its place there, so a repeated
-    task chooses the same; texts are read once more for the rows kept.
+    task chooses the same; texts are read once more for the rows kept and move once to meet their
+    places, by one plan at every size: the places kept grow with the rows and aren't broadcast.
     """
     own = [F.col(f"`{c}`") for c in docs.columns]
     fp, digest, place, root = private(docs, "fp", "digest", "place", "root")
@@ -214,4 +215,4 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     ids = rows.select("doc_id", fp, digest, place).join(groups, F.col(fp) == F.col(f"{fp}_g"))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(fp), F.col(digest), F.col(place))
     kept = stage(ids.groupBy(root).agg(F.min(order).alias("first")).select(F.col(f"first.{place}").alias(root)), "kept")
-    return rows.join(kept, F.col(place) == F.col(root), "left_semi").select(*own)
+    return rows.join(kept.hint("merge"), F.col(place) == F.col(root), "left_semi").select(*own)
