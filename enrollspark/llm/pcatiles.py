@@ -7,8 +7,9 @@ leading components; pairs whose bound can't reach the threshold stop there, othe
 to more components, and what is left is computed on the vectors as they came.
 
 Vectors are dealt to cells by medians of the leading components, and cells to tiles of
-bounded size. Two cells whose boxes can't hold a link are not compared at all. Each of two
-tiles that meet goes to the other's task once. Equal vectors are one before any of this,
+bounded size. Two cells whose boxes can't hold a link are not compared at all. A task holds
+several tiles, so that there are few tasks that a vector visits: of two tasks with tiles that
+meet, the one's vectors go to the other once. Equal vectors are one before any of this,
 and a task gives a vector's number of links and one link to follow, never all its links.
 """
 
@@ -26,7 +27,9 @@ from enrollspark.llm.components import components
 from enrollspark.llm.shards import visit_shards
 
 THRESHOLD = 0.9
-TILE = 4096  # vectors that a task holds
+TILE = 4096  # vectors that are compared as one
+TASKS = 12  # while none of them holds more than HELD vectors, no more tasks than these
+HELD = 65_536  # vectors that a task holds, but a tile at least
 CELLS = 1024  # most cells; a cell with more than TILE vectors is dealt to parts
 FIT = 8192  # most vectors that the axes and medians are fitted on; every vector is compared whatever they are
 LEADING = (16, 32)  # components after which the bound is looked at
@@ -202,6 +205,34 @@ class Tile:
         yield pd.DataFrame({"node": self.node, "other": self.node[self.root], "links": self.links})
 
 
+class Tiles:
+    """The tiles of one task; ``cells`` has each tile's place in ``meet``, which tells the cells that are compared."""
+
+    def __init__(self, rows: pd.DataFrame, axes: dict[int, Axes], threshold: float, cells: np.ndarray, meet: np.ndarray) -> None:
+        self.cells, self.meet = cells, meet
+        self.rows = {int(t): own for t, own in rows.groupby("tile")}
+        self.tiles = {t: Tile(own, axes, threshold) for t, own in self.rows.items()}
+
+    def visit(self, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for cell, some in rows.groupby(self.cells[rows["tile"]]):
+            for t, tile in self.tiles.items():
+                if self.meet[cell, self.cells[t]]:
+                    yield from tile.visit(some)
+
+    def close(self) -> Iterator[pd.DataFrame]:
+        for a, own in self.rows.items():
+            for b, tile in self.tiles.items():
+                if a < b and self.meet[self.cells[a], self.cells[b]]:
+                    yield from tile.visit(own)
+        for tile in self.tiles.values():
+            yield from tile.close()
+
+
+def tiles_of_a_task(tiles: int, rows: int, tasks: int = TASKS, held: int = HELD) -> int:
+    """How many of ``tiles`` tiles with ``rows`` vectors one task holds."""
+    return max(1, min(-(-tiles // tasks), held * tiles // max(1, rows)))
+
+
 def fit_axes(vectors: DataFrame, rows: int, sample: int = FIT) -> dict[int, Axes]:
     """The axes for each length of vector (column vec), from the ``sample`` vectors of that length with the least hash."""
     lengths = {r["n"]: r["rows"] for r in vectors.groupBy(F.size("vec").alias("n")).agg(F.count(F.lit(1)).alias("rows")).collect()}  # a row for each length
@@ -232,17 +263,33 @@ def links_of(classes: DataFrame, threshold: float = THRESHOLD, tile: int = TILE)
     of = {(int(n), int(c)): k for k, (n, c) in enumerate(zip(boxes["length"], boxes["cell"]))}
     own = spark.createDataFrame([(n, c, first[k], parts[k]) for (n, c), k in of.items()], "length int, cell int, first int, parts int")
     back = {k: c for c, k in of.items()}
-    met = spark.createDataFrame([(*back[i], first[j], parts[j]) for i, j in meeting_cells(boxes, threshold)], "length int, cell int, other int, others int")
+    meet = np.zeros((len(boxes), len(boxes)), bool)
+    for i, j in meeting_cells(boxes, threshold):
+        meet[i, j] = True
+    cells = np.repeat(np.arange(len(boxes)), parts)
+    many = tiles_of_a_task(tiles, int(boxes["rows"].sum()))
+    shards = -(-tiles // many)
+    visited = [(i, s) for i in range(len(boxes)) for s in np.unique(np.flatnonzero(meet[i][cells]) // many).tolist()]
+    met = spark.createDataFrame([(*back[i], s) for i, s in visited], "length int, cell int, shard int")
     # both have at most CELLS, or CELLS squared, rows for each length
     d = placed.withColumn("salt", row_salt()).join(F.broadcast(own), ["length", "cell"])
-    d = d.withColumn("tile", (F.col("first") + F.pmod("salt", F.col("parts"))).cast("int")).select("node", "copies", "vec", "length", "cell", "tile")
-    guests = d.join(F.broadcast(met), ["length", "cell"]).withColumn("shard", F.explode(F.sequence(F.col("other"), F.col("other") + F.col("others") - 1)))
-    # of two tiles the one goes to the other; every tile receives about as many as it sends
-    ahead = F.pmod(F.col("shard") - F.col("tile"), F.lit(tiles))
-    guests = guests.filter((ahead > 0) & ((2 * ahead < tiles) | ((2 * ahead == tiles) & (F.col("tile") < F.col("shard")))))
-    rows = ["node", "copies", "vec", "shard"]
+    d = d.withColumn("tile", (F.col("first") + F.pmod("salt", F.col("parts"))).cast("int"))
+    # single precision where it holds every component as it is
+    single = F.col("vec").cast("array<float>")
+    if not placed.filter(single.cast("array<double>") != F.col("vec")).isEmpty():
+        single = F.col("vec")
+    d = d.select("node", "copies", single.alias("vec"), "length", "cell", "tile", F.floor(F.col("tile") / many).cast("int").alias("home"))
+    guests = d.join(F.broadcast(met), ["length", "cell"])
+    # of two tasks the one's vectors go to the other; every task receives about as many as it sends
+    ahead = F.pmod(F.col("shard") - F.col("home"), F.lit(shards))
+    guests = guests.filter((ahead > 0) & ((2 * ahead < shards) | ((2 * ahead == shards) & (F.col("home") < F.col("shard")))))
+    rows = ["node", "copies", "vec", "tile", "shard"]
     return visit_shards(
-        d.withColumn("shard", F.col("tile")).select(*rows), guests.select(*rows), tiles, lambda _, r: Tile(r, axes, threshold), "node long, other long, links long"
+        d.withColumn("shard", F.col("home")).select(*rows),
+        guests.select(*rows),
+        shards,
+        lambda _, r: Tiles(r, axes, threshold, cells, meet),
+        "node long, other long, links long",
     )
 
 

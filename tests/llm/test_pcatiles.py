@@ -104,6 +104,24 @@ def test_distant_cells_are_not_compared():
     assert P.meeting_cells(boxes, 0.9) == [(0, 0), (1, 1), (2, 2)]
 
 
+def test_tasks_that_a_vector_visits_do_not_grow_with_the_rows():
+    """Before, a vector went to half the tiles: 128 of 256."""
+    for rows, tiles in [(600_000, 256), (60_000, 16), (3_000, 1)]:
+        many = P.tiles_of_a_task(tiles, rows)
+        assert -(-tiles // many) <= P.TASKS and many * rows / tiles <= P.HELD
+    assert P.tiles_of_a_task(1024, 4_000_000) == 16  # a task holds no more than HELD
+
+
+@pytest.mark.parametrize("single", [True, False])
+def test_few_tasks_hold_all_tiles(spark, single):
+    rows = [(i, [float(np.float32(c)) for c in v] if single else v) for i, v in cloud(6, 400)]
+    d = P.stage(spark.createDataFrame(rows, E).select(P.F.col("vec_id").alias("node"), P.F.lit(1).cast("long").alias("copies"), P.F.col("embedding").alias("vec")), "classes")
+    links = P.links_of(d, tile=10)
+    assert run(spark, rows, 10) == brute(rows)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "cast(vec" in plan if single else "cast(vec" not in plan
+
+
 def test_query_equals_sql(spark):
     d = SF.replace("0.001", "0.01")
     con = duckdb.connect()
