@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from enrollspark.operators.change import member_timeline, with_composite_keys
 from enrollspark.operators.optional import cob_top, cob_with_members
 from enrollspark.operators.providers import latest_registration, with_registration
-from enrollspark.operators.records import cob_records, demo_records, elig_records, merge_records
+from enrollspark.operators.records import cob_records, demo_records, elig_records, merge_records, with_body
 from enrollspark.operators.spans import active_members, span_detail
 
 # the views of a run; those of COB only where the run has it
@@ -48,7 +48,8 @@ def intermediate_results(demo: DataFrame, elig: DataFrame, prpr: DataFrame, prrg
         "registrations": latest_registration(prrg),
         "timeline": with_composite_keys(member_timeline(demo, elig)),
     }
-    records = [demo_records(members, strict_width), elig_records(spans)]
+    bodies = with_registration(with_body(span_detail(elig, demo, as_of)), prpr, prrg)
+    records = [demo_records(members, strict_width), elig_records(bodies)]
     if cob is not None:
         out |= {"cob": cob, "policies": cob_with_members(cob_top(cob), demo)}
         records.append(cob_records(out["policies"]))
