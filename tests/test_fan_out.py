@@ -1,5 +1,6 @@
 """Registrations with very many ties: the extract's rows grow with spans times ties, what is moved and staged doesn't."""
 
+import os
 from collections import Counter
 
 from conftest import SF_SMALL
@@ -10,6 +11,7 @@ from enrollspark.operators.providers import with_registration
 from enrollspark.operators.records import elig_records, with_body
 from enrollspark.operators.spans import span_detail
 from enrollspark.plans.queries import QUERIES
+from enrollspark.session import shared_dir
 from enrollspark.sources import fixtures as fx
 
 PRPR, PRRG = ["PRPR_ID", "PRCR_ID"], ["PRCR_ID", "PRRG_MCTR_TYPE", "PRRG_SEQ_NO", "PRRG_ID"]
@@ -37,3 +39,13 @@ def test_a_body_is_encoded_once_a_span(spark):
     assert Counter(map(tuple, early.collect())) == Counter(map(tuple, late.collect()))
     plan = QUERIES["elig_records"](spark, d)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("AS rec_type") < plan.index("Join LeftOuter") < plan.index("AS _rec_body")
+
+
+def staged(spark):
+    return set(os.listdir(shared_dir(spark).removeprefix("file:")))
+
+
+def test_state_scaffold_stages_no_records(spark):
+    before = staged(spark)
+    assert QUERIES["state_scaffold"](spark, SF_SMALL).count() > 5
+    assert staged(spark) == before
