@@ -176,3 +176,16 @@ def test_hot_member_of_the_timeline_is_dealt_to_parts(spark, skew_conf):
     # of two policies in two parts or more, parts without a policy give no rows
     few = member_timeline(demo, elig, strings(spark, ["RECORD_TYPE", "CM_COB_MEME_CK", "P"], [("x", "7", "p")] * 5), policies=1)
     assert few.filter("CM_DEMO_MEME_CK = '7'").count() == 30 and few.count() == 42
+
+
+def test_the_timeline_joins_in_as_many_tasks_as_a_shuffle(spark):
+    """Before, AQE merged the tasks by the few bytes that are shuffled, and the joined rows spilled."""
+    from enrollspark.operators.change import member_timeline
+
+    members = [str(k) for k in range(200)]
+    demo = strings(spark, ["RECORD_TYPE", "CM_DEMO_MEME_CK"], [("x", m) for m in members])
+    elig = strings(spark, ["RECORD_TYPE", "CM_ELIG_MEME_CK", "E"], [("x", m, "e") for m in members])
+    cob = strings(spark, ["RECORD_TYPE", "CM_COB_MEME_CK", "P"], [("x", m, f"p{k}") for m in [*members, None] for k in range(3)])
+    out = member_timeline(demo, elig, cob)
+    assert out.count() == 600
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
