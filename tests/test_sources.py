@@ -189,3 +189,31 @@ def test_read_input_names_missing_layout_columns(spark, tmp_out):
     write_delimited(elig, input_path(f"{tmp_out}/s", "V", "FULL", "DC", "ELIG"), layout_path(f"{tmp_out}/l", "ELIG"))
     with pytest.raises(ValueError, match="lacks columns: CM_MEPE_ELIG_IND, CM_PRPR_NAME"):
         read_input(spark, f"{tmp_out}/l", f"{tmp_out}/s", "V", "FULL", "DC", "ELIG")
+
+
+def test_checked_lines_are_judged_whole_where_one_column_is_used(spark, tmp_out):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from enrollspark.sources.delimited import read_checked
+
+    spark.createDataFrame([("1|a|b",), ("2|a",), ("3|a|b|c",), ("4||",)], "value string").write.option("compression", "lz4").text(tmp_out)
+    obs = Observation("lines")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("k", "x", "y")])
+    got = read_checked(spark, tmp_out, schema, obs).agg(F.sum(F.col("k").cast("long"))).first()[0]
+    assert got == 10 and obs.get == {"lines": 4, "short": 1, "surplus": 1}
+
+
+def test_malformed_lines_stages_counts_not_rows(spark):
+    import glob
+
+    from conftest import SF_SMALL
+    from enrollspark.plans.queries import QUERIES
+    from enrollspark.session import shared_dir
+
+    where = f"{shared_dir(spark).removeprefix('file:')}/malformed-*/rows"
+    before = set(glob.glob(where))
+    QUERIES["malformed_lines"](spark, SF_SMALL)
+    new = set(glob.glob(where)) - before
+    assert len(new) == 3 and all(spark.read.parquet(p).count() == 1 for p in new)
