@@ -3,14 +3,16 @@
 import os
 from collections import Counter
 
+import pytest
 from conftest import SF_SMALL
 from helpers import strings
 from pyspark.sql import functions as F
 
 from enrollspark.operators.providers import with_registration
-from enrollspark.operators.records import elig_records, with_body
+from enrollspark.operators.records import SORT_KEYS, elig_records, with_body
 from enrollspark.operators.spans import span_detail
-from enrollspark.plans.queries import QUERIES
+from enrollspark.plans.extract import build_extract, record_bodies, write_extract
+from enrollspark.plans.queries import QUERIES, _file_lines
 from enrollspark.session import shared_dir
 from enrollspark.sources import fixtures as fx
 
@@ -49,3 +51,34 @@ def test_state_scaffold_stages_no_records(spark):
     before = staged(spark)
     assert QUERIES["state_scaffold"](spark, SF_SMALL).count() > 5
     assert staged(spark) == before
+
+
+@pytest.mark.parametrize("held", [10**6, 0])
+def test_write_extract_sorts_bodies_and_writes_all_records(spark, tmp_out, held):
+    """Against the plain sort of whole records: ties beyond one chunk, copied spans, a provider of several groups, blank ids."""
+    d = SF_SMALL
+    elig = fx.elig(spark, d)
+    elig = elig.unionByName(elig.filter(F.col("CM_PRPR_ID") == "P1")).withColumn("CM_PRPR_ID", F.when(F.col("CM_PRPR_ID").isin("P3", "P4"), "P1").otherwise(F.col("CM_PRPR_ID")))
+    elig = elig.unionByName(elig.withColumn("CM_PRPR_ID", F.concat("CM_PRPR_ID", F.lit(" "))))  # the same body, another provider key
+    prpr = fx.prpr(spark, d).unionByName(strings(spark, PRPR, [("P1", "BIG"), ("P1", "BIG"), ("P1", "C2"), ("P1 ", "SMALL"), ("P2 ", None), (None, "C1")]))
+    ties = [("BIG", "MD", "99", f"M{k * 7919 % 1300:04d}") for k in range(1300)]
+    prrg = fx.prrg(spark, d).unionByName(strings(spark, PRRG, [*ties, ("SMALL", "MD ", "1", "M0500x"), ("SMALL", "MD", "1", None)]))
+    records = build_extract(fx.demo(spark, d), elig, prpr, prrg, fx.AS_OF)
+    keys = [F.col(k).asc_nulls_first() for k in SORT_KEYS]
+    want = [r["rec_type"] for r in records.sort(*keys).collect()]
+    assert len(want) > 2600
+    bodies = record_bodies(fx.demo(spark, d), elig, fx.AS_OF)
+    assert bodies.count() < len(want) / 2
+    for single in (True, False):
+        path = f"{tmp_out}/{single}"
+        assert write_extract(bodies, prpr, prrg, path, single_file=single, lines=500, held=held) == len(want)
+        assert [r["rec_type"] for r in _file_lines(spark, path, 1).sort("line_no").collect()] == want
+        assert (len(spark.read.text(path).inputFiles()) == 1) == single
+
+
+def test_lines_are_numbered_without_a_shuffle_of_the_lines(spark, tmp_out):
+    spark.range(1000).selectExpr("concat('line ', lpad(id, 4, '0')) AS value").repartitionByRange(5, "value").sortWithinPartitions("value").write.text(tmp_out)
+    out = _file_lines(spark, tmp_out, 1000)
+    assert [(r[0], r[1]) for r in out.sort("line_no").collect()] == [(k + 1, f"line {k:04d}") for k in range(1000)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") > plan.index("Join")  # only the blocks' counts are ordered
