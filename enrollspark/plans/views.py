@@ -48,7 +48,7 @@ def intermediate_results(demo: DataFrame, elig: DataFrame, prpr: DataFrame, prrg
         "registrations": latest_registration(prrg),
         "timeline": with_composite_keys(member_timeline(demo, elig)),
     }
-    bodies = with_registration(with_body(span_detail(elig, demo, as_of)), prpr, prrg)
+    bodies = with_registration(with_body(span_detail(elig, demo, as_of)), prpr, prrg, printed=True)
     records = [demo_records(members, strict_width), elig_records(bodies)]
     if cob is not None:
         out |= {"cob": cob, "policies": cob_with_members(cob_top(cob), demo)}

@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from helpers import strings
 from pyspark.sql import functions as F
 
-from enrollspark.operators.providers import with_registration
+from enrollspark.operators.providers import IDS, PRINTED_ID, latest_ids, with_registration
 from enrollspark.operators.records import SORT_KEYS, elig_records, with_body
 from enrollspark.operators.spans import span_detail
 from enrollspark.plans.extract import build_extract, record_bodies, write_extract
@@ -43,6 +43,40 @@ def test_a_body_is_encoded_once_a_span(spark):
     assert plan.index("AS rec_type") < plan.index("Join LeftOuter") < plan.index("AS _rec_body")
 
 
+def test_a_span_meets_ids_in_rows_of_many(spark):
+    """Against the ids by hand: ties beyond one row, equal and null ids, two kinds, providers without a registration."""
+    ids = [f" M{k % 2000} " for k in range(2 * IDS + 300)] + [None, None]
+    prrg = strings(spark, PRRG, [("C", "MD", "9", i) for i in ids] + [("C", "MD ", "2", "other"), ("C", "MD ", "2", None), ("D", "MD", "1", None), ("C", "NP", "99", "no")])
+    prpr = strings(spark, PRPR, [("P0", "C"), ("P1", "D"), ("P2", "none"), ("P3", None), ("P4", "C"), ("P4", "D")])
+    spans = strings(spark, ["TAG", "CM_PRPR_ID"], [(f"s{p}", f"P{p}") for p in range(6)] + [("s0", "P0")])
+    c, d, blank = [i and i.strip() for i in ids] + ["other", None], [None], [" " * 15]
+    want = Counter((t, g, i) for t, g, of in [("s0", "C", c * 2), ("s1", "D", d), ("s2", "none", blank), ("s3", None, blank), ("s4", "C", c), ("s4", "D", d), ("s5", None, blank)] for i in of)
+    assert Counter((r["TAG"], r["PRCR_ID"], r["elig_pcp_mdcd_id"]) for r in with_registration(spans, prpr, prrg).collect()) == want
+    printed = Counter((r["TAG"], r["PRCR_ID"], r[PRINTED_ID]) for r in with_registration(spans, prpr, prrg, printed=True).collect())
+    by_hand = Counter()
+    for (t, g, i), n in want.items():
+        by_hand[t, g, (i or " ").ljust(15)] += n
+    assert printed == by_hand
+    sizes = [len(r["_ids"]) for r in latest_ids(prrg).collect()]
+    assert sum(sizes) == len(c + d) and max(sizes) <= IDS and len(sizes) == 5
+
+
+def test_an_id_is_padded_once_a_registration(spark):
+    plan = QUERIES["elig_records"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "rpad" not in plan[: plan.index("Join LeftOuter")] and "AS rec_type" in plan[: plan.index("Join LeftOuter")]
+
+
+def test_delimited_spans_are_parsed_once(spark):
+    plan = QUERIES["delimited_roundtrip"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan csv" in line]
+    assert scans and not any("CM_ELIG_" in line for line in scans)
+
+
+def test_state_ids_need_no_registration(spark):
+    plan = QUERIES["state_scaffold"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2  # those of the records
+
+
 def staged(spark):
     return set(os.listdir(shared_dir(spark).removeprefix("file:")))
 
