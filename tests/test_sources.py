@@ -217,3 +217,21 @@ def test_malformed_lines_stages_counts_not_rows(spark):
     QUERIES["malformed_lines"](spark, SF_SMALL)
     new = set(glob.glob(where)) - before
     assert len(new) == 3 and all(spark.read.parquet(p).count() == 1 for p in new)
+
+
+def test_compressed_delimited_files_hold_so_many_lines_and_read_back(spark, tmp_out):
+    rows = [(str(k), None if k % 3 == 0 else f' {k} | "q" ') for k in range(100)]
+    df = strings(spark, ["A", "B"], rows).coalesce(1)
+    write_delimited(df, f"{tmp_out}/text", f"{tmp_out}/layout", compression="lz4", lines=30)
+    back = read_delimited(spark, f"{tmp_out}/text", layout_schema(spark, f"{tmp_out}/layout"))
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    names = [f.rsplit("/", 1)[-1] for f in back.inputFiles()]
+    assert len(names) == 4 and all(n.endswith(".csv.lz4") for n in names)
+
+
+def test_the_roundtrip_leaves_compressed_text(spark):
+    from conftest import SF_SMALL
+    from enrollspark.plans.queries import QUERIES
+
+    read = [f for f in QUERIES["delimited_roundtrip"](spark, SF_SMALL).inputFiles() if ".csv" in f]
+    assert read and all(f.endswith(".csv.gz") for f in read)
